@@ -8,41 +8,69 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+BIGINT, INT, STRING, BOOLEAN = T.LongType(), T.IntegerType(), T.StringType(), T.BooleanType()
+DATE, TIMESTAMP, TIMESTAMP_NTZ = T.DateType(), T.TimestampType(), T.TimestampNTZType()
 
-def _ddl(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
 
+def record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
-_USER = "struct<login: string, id: bigint>"
-_LABELS = "array<struct<id: bigint, name: string, color: string>>"
+
+USER = record(login=STRING, id=BIGINT)
+LABELS = T.ArrayType(record(id=BIGINT, name=STRING, color=STRING))
 
 # ----- landed API records -----
-REPOSITORY = _ddl(
-    f"id bigint, name string, full_name string, owner {_USER}, description string, "
-    "stargazers_count bigint, forks_count bigint, open_issues_count bigint, language string, "
-    "license struct<key: string, spdx_id: string>, topics array<string>, "
-    "created_at timestamp, updated_at timestamp"
+REPOSITORY = record(
+    id=BIGINT,
+    name=STRING,
+    full_name=STRING,
+    owner=USER,
+    description=STRING,
+    stargazers_count=BIGINT,
+    forks_count=BIGINT,
+    open_issues_count=BIGINT,
+    language=STRING,
+    license=record(key=STRING, spdx_id=STRING),
+    topics=T.ArrayType(STRING),
+    created_at=TIMESTAMP,
+    updated_at=TIMESTAMP,
 )
-COMMIT = _ddl(
-    "sha string, "
-    "`commit` struct<author: struct<name: string, email: string, date: timestamp>, message: string>, "
-    f"author {_USER}, parents array<struct<sha: string, url: string>>"
+COMMIT = record(
+    sha=STRING,
+    commit=record(author=record(name=STRING, email=STRING, date=TIMESTAMP), message=STRING),
+    author=USER,
+    parents=T.ArrayType(record(sha=STRING, url=STRING)),
 )
-ISSUE = _ddl(
-    f"number bigint, title string, state string, user {_USER}, created_at timestamp, "
-    f"updated_at timestamp, closed_at timestamp, comments bigint, labels {_LABELS}, "
-    "pull_request struct<url: string>"
+ISSUE = record(
+    number=BIGINT,
+    title=STRING,
+    state=STRING,
+    user=USER,
+    created_at=TIMESTAMP,
+    updated_at=TIMESTAMP,
+    closed_at=TIMESTAMP,
+    comments=BIGINT,
+    labels=LABELS,
+    pull_request=record(url=STRING),
 )
-PULL_REQUEST = _ddl(
-    f"number bigint, title string, state string, user {_USER}, created_at timestamp, "
-    f"updated_at timestamp, merged_at timestamp, labels {_LABELS}"
+PULL_REQUEST = record(
+    number=BIGINT,
+    title=STRING,
+    state=STRING,
+    user=USER,
+    created_at=TIMESTAMP,
+    updated_at=TIMESTAMP,
+    merged_at=TIMESTAMP,
+    labels=LABELS,
 )
-RELEASE = _ddl("id bigint, tag_name string, name string, published_at timestamp")
-DOWNLOAD_LOG = _ddl(
-    "timestamp timestamp, file struct<project: string>, "
-    "details struct<installer: struct<name: string>>, dt date"
+RELEASE = record(id=BIGINT, tag_name=STRING, name=STRING, published_at=TIMESTAMP)
+DOWNLOAD_LOG = record(
+    timestamp=TIMESTAMP,
+    file=record(project=STRING),
+    details=record(installer=record(name=STRING)),
+    dt=DATE,
 )
-PROJECTS = _ddl("repo string, package string")
+PROJECTS = record(repo=STRING, package=STRING)
 
 ENDPOINTS: dict[str, T.StructType] = {
     "repositories": REPOSITORY,
@@ -53,8 +81,8 @@ ENDPOINTS: dict[str, T.StructType] = {
 }
 
 # ----- raw tables: the landed record plus where it came from and when it was loaded -----
-PROVENANCE = _ddl("_repo string, _loaded_at timestamp")
-RAW_DOWNLOADS = _ddl("_package string, date string, downloads bigint, _loaded_at timestamp")
+PROVENANCE = record(_repo=STRING, _loaded_at=TIMESTAMP)
+RAW_DOWNLOADS = record(_package=STRING, date=STRING, downloads=BIGINT, _loaded_at=TIMESTAMP)
 RAW: dict[str, T.StructType] = {
     **{name: T.StructType(schema.fields + PROVENANCE.fields) for name, schema in ENDPOINTS.items()},
     "downloads": RAW_DOWNLOADS,
@@ -62,51 +90,49 @@ RAW: dict[str, T.StructType] = {
 
 # ----- mart contracts -----
 MARTS: dict[str, T.StructType] = {
-    "dim_dates": _ddl(
-        "date_key int, full_date date, year bigint, quarter bigint, month bigint, "
-        "month_name string, day_of_month bigint, day_of_week bigint, day_name string, "
-        "is_weekend boolean, week_of_year bigint"
+    "dim_dates": record(
+        date_key=INT, full_date=DATE, year=BIGINT, quarter=BIGINT, month=BIGINT, month_name=STRING,
+        day_of_month=BIGINT, day_of_week=BIGINT, day_name=STRING, is_weekend=BOOLEAN,
+        week_of_year=BIGINT,
     ),
-    "dim_contributors": _ddl(
-        "contributor_key string, username string, first_commit_date date, last_commit_date date, "
-        "total_commits bigint, total_prs_opened bigint, total_prs_merged bigint, "
-        "distinct_projects_count bigint, primary_project string"
+    "dim_contributors": record(
+        contributor_key=STRING, username=STRING, first_commit_date=DATE, last_commit_date=DATE,
+        total_commits=BIGINT, total_prs_opened=BIGINT, total_prs_merged=BIGINT,
+        distinct_projects_count=BIGINT, primary_project=STRING,
     ),
-    "dim_repositories": _ddl(
-        "repository_key string, repository_id bigint, repository_name string, name string, "
-        "owner_login string, description string, language string, license_spdx string, "
-        "topics string, created_at timestamp, updated_at timestamp, valid_from date, "
-        "valid_to date, is_current boolean"
+    "dim_repositories": record(
+        repository_key=STRING, repository_id=BIGINT, repository_name=STRING, name=STRING,
+        owner_login=STRING, description=STRING, language=STRING, license_spdx=STRING, topics=STRING,
+        created_at=TIMESTAMP, updated_at=TIMESTAMP, valid_from=DATE, valid_to=DATE, is_current=BOOLEAN,
     ),
-    "dim_labels": _ddl("label_key string, label_name string, label_color string"),
-    "fct_commits": _ddl(
-        "commit_key string, repository_key string, contributor_key string, date_key int, "
-        "commit_hash string, committed_at timestamp, _loaded_at timestamp"
+    "dim_labels": record(label_key=STRING, label_name=STRING, label_color=STRING),
+    "fct_commits": record(
+        commit_key=STRING, repository_key=STRING, contributor_key=STRING, date_key=INT,
+        commit_hash=STRING, committed_at=TIMESTAMP, _loaded_at=TIMESTAMP,
     ),
-    "fct_pull_requests": _ddl(
-        "pr_key string, repository_key string, author_key string, opened_date_key int, "
-        "merged_date_key int, is_merged boolean, time_to_merge_hours bigint"
+    "fct_pull_requests": record(
+        pr_key=STRING, repository_key=STRING, author_key=STRING, opened_date_key=INT,
+        merged_date_key=INT, is_merged=BOOLEAN, time_to_merge_hours=BIGINT,
     ),
-    "fct_issues": _ddl(
-        "issue_key string, repository_key string, author_key string, opened_date_key int, "
-        "closed_date_key int, is_closed boolean, time_to_close_hours bigint, comment_count bigint"
+    "fct_issues": record(
+        issue_key=STRING, repository_key=STRING, author_key=STRING, opened_date_key=INT,
+        closed_date_key=INT, is_closed=BOOLEAN, time_to_close_hours=BIGINT, comment_count=BIGINT,
     ),
-    "fct_releases": _ddl(
-        "release_key string, repository_key string, date_key int, tag_name string, "
-        "release_name string, published_at timestamp, _loaded_at timestamp"
+    "fct_releases": record(
+        release_key=STRING, repository_key=STRING, date_key=INT, tag_name=STRING, release_name=STRING,
+        published_at=TIMESTAMP, _loaded_at=TIMESTAMP,
     ),
-    "fct_daily_downloads": _ddl(
-        "download_key string, package string, repository_key string, date_key int, "
-        "download_count bigint"
+    "fct_daily_downloads": record(
+        download_key=STRING, package=STRING, repository_key=STRING, date_key=INT, download_count=BIGINT,
     ),
-    "fct_repository_metrics": _ddl(
-        "metric_key string, repository_id bigint, repository_name string, repository_key string, "
-        "date_key int, stars bigint, forks bigint, open_issues bigint"
+    "fct_repository_metrics": record(
+        metric_key=STRING, repository_id=BIGINT, repository_name=STRING, repository_key=STRING,
+        date_key=INT, stars=BIGINT, forks=BIGINT, open_issues=BIGINT,
     ),
-    "fct_contributor_activity_monthly": _ddl(
-        "activity_key string, contributor_key string, username string, event_month timestamp_ntz, "
-        "month_date_key int, commits bigint, prs_opened bigint, prs_merged bigint, "
-        "issues_opened bigint, issues_closed bigint"
+    "fct_contributor_activity_monthly": record(
+        activity_key=STRING, contributor_key=STRING, username=STRING, event_month=TIMESTAMP_NTZ,
+        month_date_key=INT, commits=BIGINT, prs_opened=BIGINT, prs_merged=BIGINT, issues_opened=BIGINT,
+        issues_closed=BIGINT,
     ),
-    "bridge_issue_labels": _ddl("issue_key string, label_key string"),
+    "bridge_issue_labels": record(issue_key=STRING, label_key=STRING),
 }
