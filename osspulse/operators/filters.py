@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
-from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,22 +41,25 @@ def since(df: DataFrame, moment: Column, as_of: datetime, days: int) -> DataFram
     return df.filter(moment >= F.lit(opens.isoformat(sep=" ")).cast("timestamp_ntz"))
 
 
-def watermark(target: DataFrame, column: str) -> Any:
-    """Highest value loaded so far, or None for an empty target. Reads that column only."""
-    return target.agg(F.max(column)).first()[0]
+def watermark(target: DataFrame, column: str) -> Column | None:
+    """Highest value loaded so far as a literal, or None for an empty target.
+
+    Reads that column only. The value travels as text, so no driver time zone gets at it.
+    """
+    kind = target.schema[column].dataType.simpleString()
+    highest = target.agg(F.max(column).cast("string")).first()[0]
+    return None if highest is None else F.lit(highest).cast(kind)
 
 
-def after_watermark(batch: DataFrame, moment: Column, mark: Any) -> DataFrame:
-    """Rows at or after `mark`: a literal, a scalar subquery, or None to keep everything.
+def after_watermark(batch: DataFrame, moment: Column, mark: Column | None) -> DataFrame:
+    """Rows at or after `mark`, a literal or scalar subquery; a missing or NULL mark keeps all.
 
     The bound is inclusive, so the newest rows are read again; the keyed write removes the
-    repetition. A literal reaches the scan as a pushed filter.
+    repetition. A literal folds to a plain comparison, which reaches the scan as a pushed filter.
     """
     if mark is None:
         return batch
-    if isinstance(mark, Column):
-        return batch.filter((moment >= mark) | mark.isNull())
-    return batch.filter(moment >= F.lit(mark))
+    return batch.filter((moment >= mark) | mark.isNull())
 
 
 def recent_groups(df: DataFrame, column: str, n: int) -> DataFrame:
