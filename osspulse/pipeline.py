@@ -15,10 +15,8 @@ from osspulse.operators.filters import after_watermark, watermark
 from osspulse.plans import activity, dims, facts, staging
 from osspulse.sinks import (
     Layer,
-    catalog_marts,
     ensure_layers,
     merge_table,
-    row_counts,
     snapshot_table,
     write_table,
 )
@@ -41,27 +39,29 @@ UNDATED = "0000-00"
 class RawTable:
     """How one endpoint is merged into its raw table.
 
-    `cursor`: newest value loaded so far bounds the next load. `month_of` picks the storage
-    partition; `key_fixes_partition` if a record's key implies it (a commit hash covers its date).
+    `cursor`: newest value loaded so far bounds the next load. `version` tells which of several
+    records with one key is the newest. `month_of` picks the storage partition;
+    `key_fixes_partition` if a record's key implies it (a commit hash covers its date).
     """
 
     keys: Sequence[str]
     month_of: str
     cursor: str | None = None
     key_fixes_partition: bool = False
+    version: str = "_loaded_at"
 
 
 RAW_TABLES: dict[str, RawTable] = {
-    "repositories": RawTable(["id"], "created_at"),
+    "repositories": RawTable(["id"], "created_at", version="updated_at"),
     "commits": RawTable(["sha"], "commit.author.date", "commit.author.date", True),
-    "issues": RawTable(["_repo", "number"], "created_at", "updated_at"),
-    "pull_requests": RawTable(["_repo", "number"], "created_at", "updated_at"),
+    "issues": RawTable(["_repo", "number"], "created_at", "updated_at", version="updated_at"),
+    "pull_requests": RawTable(["_repo", "number"], "created_at", "updated_at", version="updated_at"),
     "releases": RawTable(["id"], "published_at"),
 }
 DOWNLOADS = RawTable(["_package", "date"], "date", None, True)
 
 
-def _partitioned(df: DataFrame, table: RawTable) -> DataFrame:
+def with_month(df: DataFrame, table: RawTable) -> DataFrame:
     month = F.date_format(F.col(table.month_of).cast("timestamp"), "yyyy-MM")
     return df.withColumn(RAW_PARTITION, F.coalesce(month, F.lit(UNDATED)))
 
@@ -91,10 +91,10 @@ def load_raw(
     return merge_table(
         spark,
         name,
-        _partitioned(batch, table),
+        with_month(batch, table),
         table.keys,
         RAW_PARTITION,
-        order_col="_loaded_at",
+        order_col=table.version,
         key_fixes_partition=table.key_fixes_partition,
     )
 
@@ -104,10 +104,10 @@ def load_downloads(spark: SparkSession, counted: DataFrame) -> int:
     return merge_table(
         spark,
         Layer.RAW.table("downloads"),
-        _partitioned(counted, DOWNLOADS),
+        with_month(counted, DOWNLOADS),
         DOWNLOADS.keys,
         RAW_PARTITION,
-        order_col="_loaded_at",
+        order_col=DOWNLOADS.version,
         key_fixes_partition=DOWNLOADS.key_fixes_partition,
     )
 
@@ -294,16 +294,3 @@ def run_day(
     build_marts(spark, projects, now, backfill)
     return spark.createDataFrame(list(loaded.items()), "table string, n bigint")
 
-
-__all__ = [
-    "after_cursor",
-    "build_marts",
-    "catalog_marts",
-    "is_backfill",
-    "load_downloads",
-    "load_raw",
-    "raw_tables",
-    "row_counts",
-    "run_day",
-    "staged",
-]

@@ -20,6 +20,7 @@ from osspulse.operators.history import OPEN_END, scd2_snapshot
 from osspulse.operators.merge import delete_insert, latest_in_batch
 from osspulse.sinks.contracts import assert_contract, assert_same_schema
 from osspulse.sinks.staging_area import cut_lineage
+from osspulse.sources.tables import fresh_table
 
 
 def _create(df: DataFrame, name: str, partition_by: str | None) -> None:
@@ -84,7 +85,7 @@ def merge_table(
         _create(batch, name, partition_by)
         return spark.table(name).count()
 
-    target = spark.table(name)
+    target = fresh_table(spark, name)
     batch = cut_lineage(assert_same_schema(target, batch))
     per_value = batch.groupBy(partition_by).agg(F.count("*").alias("n")).collect()
     arriving = {row[0] for row in per_value}
@@ -139,7 +140,7 @@ def snapshot_table(
         first = scd2_snapshot(spark.createDataFrame([], nothing), current, key, check_cols, run_ts)
         _create(first.withColumn("closed_on", closed_on), name, "closed_on")
         return
-    table = spark.table(name)
+    table = fresh_table(spark, name)
     assert_same_schema(table.select(*current.columns), current)
     today = utc_naive(run_ts).date().isoformat()
     live = table.filter(F.col("closed_on").isin(OPEN_END, today)).select(*history_columns)

@@ -38,6 +38,21 @@ def stamp(df: DataFrame, load_ts: datetime | Column, **constants: str | Column)
     return df.withColumns(columns)
 
 
+def _configured(reader, endpoint: str, multi_line: bool):
+    record = schemas.ENDPOINTS[endpoint]
+    return (
+        reader.schema(T.StructType(record.fields + REPO_PARTITIONS.fields))
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
+    )
+
+
+def attributed(rows: DataFrame, endpoint: str, load_ts: datetime | Column) -> DataFrame:
+    """Landed records with the repository from their directory and the load time."""
+    repo = F.concat_ws("/", "repo_owner", "repo_name")
+    return stamp(rows, load_ts, _repo=repo).select(*schemas.RAW[endpoint].fieldNames())
+
+
 def read_endpoint(
     spark: SparkSession,
     root: str,
@@ -51,14 +66,7 @@ def read_endpoint(
     `repos` limits the load to those `owner/name`s by directory. A record that does not fit
     the schema fails the read.
     """
-    path = os.path.join(root, endpoint)
-    record = schemas.ENDPOINTS[endpoint]
-    reader = (
-        spark.read.schema(T.StructType(record.fields + REPO_PARTITIONS.fields))
-        .option("mode", "FAILFAST")
-        .option("multiLine", multi_line)
-    )
-    rows = reader.json(path)
+    rows = _configured(spark.read, endpoint, multi_line).json(os.path.join(root, endpoint))
     if repos is not None:
         owned: dict[str, list[str]] = {}
         for repo in repos:
@@ -68,8 +76,15 @@ def read_endpoint(
         for owner, names in owned.items():
             wanted = wanted | ((F.col("repo_owner") == owner) & F.col("repo_name").isin(names))
         rows = rows.filter(wanted)
-    repo_name = F.concat_ws("/", "repo_owner", "repo_name")
-    return stamp(rows, load_ts, _repo=repo_name).select(*schemas.RAW[endpoint].fieldNames())
+    return attributed(rows, endpoint, load_ts)
+
+
+def stream_endpoint(
+    spark: SparkSession, root: str, endpoint: str, multi_line: bool = True, **options: str
+) -> DataFrame:
+    """Landed records as a stream: each file is delivered once. Pass batches to `attributed`."""
+    reader = _configured(spark.readStream, endpoint, multi_line).options(**options)
+    return reader.json(os.path.join(root, endpoint))
 
 
 def read_repositories(spark: SparkSession, root: str, load_ts: datetime, **options) -> DataFrame:
