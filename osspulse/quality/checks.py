@@ -70,7 +70,7 @@ def unique(*columns: str, severity: str = "error") -> Check:
 
     def find(df: DataFrame) -> DataFrame:
         rows = df.filter(F.col(columns[0]).isNotNull()) if len(columns) == 1 else df
-        return rows.groupBy(*columns).agg(F.count("*").alias("n")).filter("n > 1")
+        return rows.groupBy(*columns).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
 
     return Check(f"unique({','.join(columns)})", severity, find=find)
 
@@ -79,11 +79,11 @@ def relationships(column: str, parent: DataFrame, parent_column: str, severity:
     """Every value exists in `parent`; NULL passes. Values are counted before they meet the parent."""
 
     def find(df: DataFrame) -> DataFrame:
-        values = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+        values = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_rows"))
         keys = parent.select(F.col(parent_column).alias(column))
         return values.join(keys, column, "left_anti")
 
-    return Check(f"relationships({column})", severity, find=find, weight="n")
+    return Check(f"relationships({column})", severity, find=find, weight="n_rows")
 
 
 def adjacent_ranges(key: str, lower: str, upper: str, severity: str = "error") -> Check:
@@ -108,7 +108,7 @@ def row_count(low: int, high: int, severity: str = "error") -> Check:
     """Number of rows within the closed range."""
 
     def find(df: DataFrame) -> DataFrame:
-        return df.agg(F.count("*").alias("n")).filter(~F.col("n").between(low, high))
+        return df.agg(F.count("*").alias("n_rows")).filter(~F.col("n_rows").between(low, high))
 
     return Check(f"row_count({low},{high})", severity, find=find)
 

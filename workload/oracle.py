@@ -448,13 +448,13 @@ select s.c_custkey, s.c_name, s.segment, timestamp '2024-02-01', null
 from seen s left join known k using (c_custkey)
 where k.c_custkey is null or s.segment is distinct from k.c_mktsegment""",
     "dq_not_null": "select commit_sha from commits where author_login is null",
-    "dq_unique": "select author_login, count(*) as n from issues group by 1 having count(*) > 1",
+    "dq_unique": "select author_login, count(*) as n_rows from issues group by 1 having count(*) > 1",
     "dq_unique_combination": """
-select repository, pr_number, label_name, count(*) as n from pr_tags group by 1, 2, 3 having count(*) > 1""",
+select repository, pr_number, label_name, count(*) as n_rows from pr_tags group by 1, 2, 3 having count(*) > 1""",
     "dq_accepted_values": """
 select event_id, event_type from events where event_type not in ('view', 'click', 'signup')""",
     "dq_relationships": """
-select o_custkey, count(*) as n from orders
+select o_custkey, count(*) as n_rows from orders
 where o_custkey not in (select c_custkey from customer where c_acctbal > 0) group by 1""",
     "dq_ranges": """
 select * from (
@@ -462,7 +462,7 @@ select * from (
   from (select distinct n_nationkey, published_at::date as opened, published_at::date + 30 as closed
         from rels join nation on n_name = repository where published_at is not null))
 where next_lower <> closed""",
-    "dq_row_count": "select count(*) as n from fct_issues having count(*) not between 1 and 1000",
+    "dq_row_count": "select count(*) as n_rows from fct_issues having count(*) not between 1 and 1000",
     "dq_between": """
 select issue_key, time_to_close_hours from fct_issues
 where is_closed and time_to_close_hours not between 0 and 24""",
