@@ -33,6 +33,8 @@ from osspulse.sources import (
 # Storage partition of a raw table: the month of a moment that belongs to the record.
 RAW_PARTITION = "_month"
 UNDATED = "0000-00"
+# Storage partition of the incremental facts.
+FACT_PARTITION = "date_key"
 
 
 @dataclass(frozen=True)
@@ -81,13 +83,25 @@ def after_cursor(
     return after_watermark(bounded, F.col(cursor), F.col("_mark")).select(*batch.columns)
 
 
+def partition_watermark(spark: SparkSession, table: str, column: str) -> Column | None:
+    """Highest value of the partition column, from the catalog's list of partitions: no scan."""
+    kind = spark.table(table).schema[column].dataType.simpleString()
+    value = F.regexp_extract("partition", f"{column}=([^/]*)", 1).cast(kind)
+    values = spark.sql(f"SHOW PARTITIONS {table}").select(value.alias(column))
+    return watermark(values, column)
+
+
 def load_raw(
     spark: SparkSession, endpoint: str, batch: DataFrame, cursor_by: Sequence[str] = ()
 ) -> int:
     """Upsert landed records of one endpoint into its raw table; returns the rows loaded."""
     table, name = RAW_TABLES[endpoint], Layer.RAW.table(endpoint)
     if table.cursor is not None and spark.catalog.tableExists(name):
-        batch = after_cursor(batch, spark.table(name), table.cursor, cursor_by)
+        raw = spark.table(name)
+        if table.cursor == table.month_of and not cursor_by:
+            # The newest value is in the newest month.
+            raw = raw.filter(F.col(RAW_PARTITION) == partition_watermark(spark, name, RAW_PARTITION))
+        batch = after_cursor(batch, raw, table.cursor, cursor_by)
     return merge_table(
         spark,
         name,
@@ -157,13 +171,17 @@ def _merge_fact(
     """
     table = Layer.MARTS.table(name)
     if spark.catalog.tableExists(table) and not backfill:
-        rows = after_watermark(rows, moment, watermark(spark.table(table), mark))
+        if mark == FACT_PARTITION:
+            newest = partition_watermark(spark, table, mark)
+        else:
+            newest = watermark(spark.table(table), mark)
+        rows = after_watermark(rows, moment, newest)
     merge_table(
         spark,
         table,
         build(rows),
         [key],
-        "date_key",
+        FACT_PARTITION,
         schema=schemas.MARTS[name],
         key_fixes_partition=key_fixes_partition,
     )

@@ -12,7 +12,7 @@ day, which bounds it.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,6 +42,16 @@ def _months(marts: Marts, key: str, date_from: date | None, date_to: date | None
     return F.broadcast(days.select(key, month_start(F.col("full_date")).alias("month")))
 
 
+def _recent(fact: DataFrame, key: str, as_of: datetime, days: int) -> DataFrame:
+    """Rows whose day key can fall into the last `days` days.
+
+    Implied by the exact condition on the moment or date, and in terms of the stored key, so that
+    it prunes partitions and row groups.
+    """
+    opens = utc_naive(as_of) - timedelta(days=days)
+    return fact.filter(F.col(key) >= int(opens.strftime("%Y%m%d")))
+
+
 def _zero(column: Column) -> Column:
     return F.coalesce(column, F.lit(0).cast("bigint"))
 
@@ -123,10 +133,14 @@ def repo_snapshot(marts: Marts, repos: Repos = None) -> DataFrame:
 def commits_per_month(
     marts: Marts, repos: Repos = None, date_from: date | None = None, date_to: date | None = None
 ) -> DataFrame:
-    per_day = marts["fct_commits"].groupBy("repository_key", "date_key").agg(F.count("*").alias("n"))
+    counted = (
+        marts["fct_commits"]
+        .join(_months(marts, "date_key", date_from, date_to), "date_key")
+        .groupBy("repository_key", "month")
+        .agg(F.count("*").alias("n"))
+    )
     return (
-        per_day.join(_months(marts, "date_key", date_from, date_to), "date_key")
-        .join(_versions(marts, repos), "repository_key")
+        counted.join(_versions(marts, repos), "repository_key")
         .groupBy("month", "repository_name")
         .agg(F.sum("n").alias("commits"))
         .orderBy("month", F.asc_nulls_last("repository_name"))
@@ -187,7 +201,7 @@ def health_components(marts: Marts, as_of: datetime, repos: Repos = None) -> Dat
         return joined.groupBy("repository_name").agg(*sums)
 
     commits = named(
-        since(marts["fct_commits"], F.col("committed_at"), as_of, 90)
+        since(_recent(marts["fct_commits"], "date_key", as_of, 90), F.col("committed_at"), as_of, 90)
         .groupBy("repository_key")
         .agg(F.count("*").alias("n")),
         F.sum("n").alias("commits_90d"),
@@ -196,7 +210,7 @@ def health_components(marts: Marts, as_of: datetime, repos: Repos = None) -> Dat
     def yearly_rate(fact: str, flag: str, name: str) -> DataFrame:
         days = since(_days(marts, "opened_date_key"), F.col("full_date"), as_of, 365)
         counts = (
-            marts[fact]
+            _recent(marts[fact], "opened_date_key", as_of, 365)
             .join(F.broadcast(days.select("opened_date_key")), "opened_date_key")
             .groupBy("repository_key")
             .agg(F.count_if(flag).alias("yes"), F.count(flag).alias("known"))

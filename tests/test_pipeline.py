@@ -192,3 +192,19 @@ def test_backfill_rule():
     assert not is_backfill(datetime(2024, 1, 3), datetime(2024, 1, 2))
     assert not is_backfill(datetime(2024, 1, 3, 23), datetime(2024, 1, 2))
     assert is_backfill(datetime(2024, 1, 4), datetime(2024, 1, 2))
+
+
+def test_date_range_prunes_partitions(spark, two_days):
+    marts = catalog_marts(spark)
+    df = queries.commits_per_month(marts, [REPO], date(2024, 1, 1), date(2024, 1, 2))
+    assert [row["commits"] for row in df.collect()] == [1]
+    assert "dynamicpruning" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_health_window_prunes_partitions(spark, two_days):
+    df = queries.health_components(catalog_marts(spark), datetime(2024, 1, 11), [REPO])
+    row = dicts(df)[0]
+    assert (row["commits_90d"], row["pr_merge_rate"], row["days_since_release"]) == (3, 1.0, 10)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "committed_at" in line)
+    assert "date_key" in scan.split("PartitionFilters: [")[1] and "20231013" in scan

@@ -81,3 +81,38 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["month", "repository_name", "median_merge_hours"]
     assert df.count() > 0
+
+
+def test_hot_repository_is_split_at_run_time(spark):
+    """One name with half of the rows: the skew rule cuts its partition in the versions join."""
+    from pyspark.sql import functions as F
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        names = F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("r"), F.col("id") % 500))
+        facts = spark.range(0, 40_000, 1, 8).select(
+            "id", names.alias("repo"), F.lit("2024-01-01").cast("date").alias("day")
+        )
+        versions = facts.select(
+            F.md5("repo").alias("repository_key"),
+            F.col("repo").alias("repository_name"),
+            F.lit("1900-01-01").cast("date").alias("valid_from"),
+            F.lit("9999-12-31").cast("date").alias("valid_to"),
+        ).distinct()
+        df = scd2_join(facts, versions, F.col("repo"), F.col("day"))
+        assert len(df.collect()) == 40_000
+        assert "SortMergeJoin(skew=true)" in plan_of(df)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -375,6 +375,22 @@ from fct_releases join named using (repository_key)""",
 select min(full_date) as first_day, max(full_date) as last_day from dim_dates
 where date_key in (select date_key from fct_commits union select opened_date_key from fct_pull_requests
   union select opened_date_key from fct_issues union select date_key from fct_releases)""",
+    "pr_velocity_between": """
+select month, repository_name, median(time_to_merge_hours) as median_merge_hours
+from fct_pull_requests join dim_dates on date_key = merged_date_key join named using (repository_key)
+where is_merged and full_date between '1997-03-15' and '1999-06-20' group by 1, 2""",
+    "commits_per_month_of_region": """
+select month, repository_name, count(*) as commits
+from fct_commits join dim_dates using (date_key) join named using (repository_key)
+where repository_name in (select n_name from nation where n_regionkey = 1) group by all""",
+    "flattened_records": """
+select o_orderkey as id, o_custkey as owner__id, o_orderstatus as owner__status__code,
+  o_orderpriority as owner__status__priority
+from orders""",
+    "cursor_per_group": """
+select s.* from second_load s
+left join (select o_custkey, max(o_orderdate) as mark from first_load group by 1) using (o_custkey)
+where mark is null or s.o_orderdate >= mark""",
     "bus_factor": """
 select repository_name, 1 + count(*) filter (where running < total / 2) as bus_factor
 from (select repository_name, sum(commits) over (partition by repository_name) as total,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +12,12 @@ from osspulse.operators import (
     after_watermark,
     child_rows,
     delete_insert,
+    flatten_struct,
     scd2_join,
     scd2_snapshot,
     upsert,
 )
+from osspulse.pipeline import after_cursor
 from osspulse.plans import dims, metrics, queries, staging
 from osspulse.quality import checks
 from osspulse.sources import daily_downloads, spine_between
@@ -162,7 +164,20 @@ def non_merge_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_commits(raw).select("commit_sha", "repository", "author_login")
 
 
+@query
+def flattened_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders nested two levels deep and flattened to path-named columns."""
+    status = F.struct(F.col("o_orderstatus").alias("code"), F.col("o_orderpriority").alias("priority"))
+    owner = F.struct(F.col("o_custkey").alias("id"), status.alias("status"))
+    orders = Tables(spark, sf_dir)["orders"].select(F.col("o_orderkey").alias("id"), owner.alias("owner"))
+    return flatten_struct(orders)
+
+
 # ----- questions -----
+def _region(t: Tables, region: int) -> DataFrame:
+    return t["nation"].filter(F.col("n_regionkey") == region).select("n_name")
+
+
 question("all_repo_names", queries.all_repo_names)
 question("overview_kpis", queries.overview_kpis, authors=True)
 question("repo_snapshot", queries.repo_snapshot)
@@ -183,6 +198,11 @@ question("multi_project_contributors", queries.multi_project_contributors)
 question("releases", queries.releases)
 question("release_gaps", queries.release_gaps)
 question("date_bounds", queries.date_bounds)
+question(
+    "pr_velocity_between",
+    lambda m: queries.pr_velocity_monthly(m, None, date(1997, 3, 15), date(1999, 6, 20)),
+)
+question("commits_per_month_of_region", lambda m: queries.commits_per_month(m, _region(m.t, 1)))
 question("bus_factor", lambda m: metrics.bus_factor(queries.commit_share(m)), authors=True)
 question("lorenz_curve", lambda m: metrics.lorenz_curve(queries.commit_share(m)), authors=True)
 question("retention_heatmap", lambda m: metrics.retention_heatmap(queries.retention_cohort(m)))
@@ -240,6 +260,13 @@ def incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delete_insert(first, after_watermark(second, F.col("o_orderdate"), mark), ["o_orderkey"])
 
 
+@query
+def cursor_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second load bounded by each customer's newest order in the first; new customers in full."""
+    first, second = _two_loads(Tables(spark, sf_dir))
+    return after_cursor(second, first, "o_orderdate", ["o_custkey"])
+
+
 @query
 def late_days_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders per day that a day watermark leaves out of the second load."""
