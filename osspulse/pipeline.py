@@ -152,6 +152,17 @@ def staged(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def register_views(spark: SparkSession) -> list[str]:
+    """Staging and the activity events as temporary views, for SQL over them; returns their names."""
+    views = staged(raw_tables(spark))
+    views["contributor_activity"] = activity.contributor_activity(
+        views["stg_commits"], views["stg_pull_requests"], views["stg_issues"]
+    )
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return sorted(views)
+
+
 def _merge_fact(
     spark: SparkSession,
     name: str,

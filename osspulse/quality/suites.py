@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,7 @@ from osspulse.quality.checks import (
     adjacent_ranges,
     between,
     expression,
+    freshness,
     not_null,
     relationships,
     row_count,
@@ -22,8 +24,9 @@ from osspulse.quality.checks import (
     unique,
 )
 
-# Accepted sizes of a mart.
+# Accepted sizes of a mart, and the age in hours of a source at which it warns and fails.
 MIN_ROWS, MAX_ROWS = 1, 10_000_000
+WARN_HOURS, ERROR_HOURS, DOWNLOADS_ERROR_HOURS = 12, 24, 48
 
 
 def _size(severity: str) -> Check:
@@ -175,6 +178,18 @@ def staging_suites() -> dict[str, list[Check]]:
     }
 
 
+def source_freshness(raw: Mapping[str, DataFrame], as_of: datetime) -> DataFrame:
+    """Age of every raw table; downloads may be a day older than the rest before they fail."""
+    downloads = {name: df for name, df in raw.items() if name == "downloads"}
+    others = {name: df for name, df in raw.items() if name != "downloads"}
+    parts = [
+        freshness(tables, as_of, WARN_HOURS, error)
+        for tables, error in ((others, ERROR_HOURS), (downloads, DOWNLOADS_ERROR_HOURS))
+        if tables
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_suites(tables: Mapping[str, DataFrame], suites: Mapping[str, list[Check]]) -> DataFrame:
     """`table, check, severity, violations, status` for every table that has checks."""
     parts = [

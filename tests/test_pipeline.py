@@ -9,9 +9,9 @@ from landing import REPO, commit, records, write_landing, write_projects
 from pyspark.sql import functions as F
 
 from osspulse import schemas
-from osspulse.pipeline import is_backfill, raw_tables, run_day, staged
+from osspulse.pipeline import is_backfill, raw_tables, register_views, run_day, staged
 from osspulse.plans import queries
-from osspulse.quality.suites import mart_suites, run_suites, staging_suites
+from osspulse.quality.suites import mart_suites, run_suites, source_freshness, staging_suites
 from osspulse.sinks import catalog_marts
 from osspulse.sources import has_marts
 
@@ -194,6 +194,18 @@ def test_backfill_rule():
     assert is_backfill(datetime(2024, 1, 4), datetime(2024, 1, 2))
 
 
+def test_views(spark, two_days):
+    assert "stg_commits" in register_views(spark)
+    assert spark.sql("select count(*) from contributor_activity").first()[0] > 0
+
+
+def test_source_freshness(spark, two_days):
+    # The last load of the landed records was on the 13th, of the downloads on the 12th.
+    rows = source_freshness(raw_tables(spark), datetime(2024, 1, 13, 11)).collect()
+    status = {row["table"]: row["status"] for row in rows}
+    assert (status["repositories"], status["downloads"]) == ("pass", "warn")
+
+
 def test_date_range_prunes_partitions(spark, two_days):
     marts = catalog_marts(spark)
     df = queries.commits_per_month(marts, [REPO], date(2024, 1, 1), date(2024, 1, 2))

@@ -102,3 +102,11 @@ def test_freshness(spark):
         "old": "error",
         "empty": "error",
     }
+
+
+def test_downloads_may_be_older(spark):
+    from osspulse.quality.suites import source_freshness
+
+    raw = {name: spark.createDataFrame([(datetime(2024, 1, 1),)], "_loaded_at timestamp") for name in ("commits", "downloads")}
+    rows = source_freshness(raw, datetime(2024, 1, 2, 6)).collect()
+    assert {r["table"]: r["status"] for r in rows} == {"commits": "error", "downloads": "warn"}

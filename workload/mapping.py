@@ -196,17 +196,24 @@ def repositories_now(t: Tables) -> DataFrame:
 
 def history(t: Tables) -> DataFrame:
     """A version per nation and order year. The window holds the years of one nation."""
-    year = F.year("o_orderdate").alias("y")
-    years = _orders_by_nation(t).select("n_nationkey", "n_name", year).distinct()
+    years = (
+        _orders_by_nation(t)
+        .select(
+            F.col("n_nationkey").cast("bigint").alias("repository_id"),
+            F.col("n_name").alias("repository_name"),
+            F.year("o_orderdate").alias("y"),
+        )
+        .distinct()
+    )
     opened = F.make_date("y", F.lit(1), F.lit(1)).cast("timestamp_ntz")
-    closed = F.lead(opened).over(Window.partitionBy("n_nationkey").orderBy("y"))
+    closed = F.lead(opened).over(Window.partitionBy("repository_id").orderBy("y"))
     return years.select(
-        F.col("n_nationkey").cast("bigint").alias("repository_id"),
-        F.col("n_name").alias("repository_name"),
-        F.lower("n_name").alias("name"),
+        "repository_id",
+        "repository_name",
+        F.lower("repository_name").alias("name"),
         F.lit("nations").alias("owner_login"),
         F.concat(F.lit("as of "), F.col("y")).alias("description"),
-        F.when(F.col("n_nationkey") % 2 == 0, "Python").otherwise("Rust").alias("language"),
+        F.when(F.col("repository_id") % 2 == 0, "Python").otherwise("Rust").alias("language"),
         F.lit("MIT").alias("license_spdx"),
         F.concat(F.lit("topic"), F.col("y")).alias("topics"),
         F.lit("1990-01-01").cast("timestamp_ntz").alias("created_at"),
