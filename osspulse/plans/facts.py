@@ -18,6 +18,7 @@ def _with_author(
 ) -> tuple[DataFrame, list[Column]]:
     if contributors is None:
         return rows, []
+    # Spread by a column that is read anyway.
     take = {"contributor_key": key_name}
     joined = lookup_join(rows, contributors, "author_login", "username", take, spread_by)
     return joined, [F.col(key_name)]
@@ -33,7 +34,7 @@ def fct_commits(
     """One row per commit, at the repository version of the author date."""
     moment = F.col("committed_at")
     rows = scd2_join(commits, repositories, F.col("repository"), F.to_date(moment))
-    rows, author = _with_author(rows, contributors, "contributor_key", "commit_sha")
+    rows, author = _with_author(rows, contributors, "contributor_key", "committed_at")
     return rows.select(
         surrogate_key(F.col("repository"), F.col("commit_sha")).alias("commit_key"),
         "repository_key",
@@ -50,7 +51,7 @@ def fct_pull_requests(
 ) -> DataFrame:
     """One row per pull request, at the repository version of the opening day."""
     rows = scd2_join(pull_requests, repositories, F.col("repository"), F.to_date("created_at"))
-    rows, author = _with_author(rows, contributors, "author_key", "pr_number")
+    rows, author = _with_author(rows, contributors, "author_key", "created_at")
     return rows.select(
         surrogate_key(F.col("repository"), F.col("pr_number")).alias("pr_key"),
         "repository_key",
@@ -67,7 +68,7 @@ def fct_issues(
 ) -> DataFrame:
     """One row per issue. Closed goes by the state, the hours by the closing time."""
     rows = scd2_join(issues, repositories, F.col("repository"), F.to_date("created_at"))
-    rows, author = _with_author(rows, contributors, "author_key", "issue_number")
+    rows, author = _with_author(rows, contributors, "author_key", "created_at")
     return rows.select(
         surrogate_key(F.col("repository"), F.col("issue_number")).alias("issue_key"),
         "repository_key",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,11 +41,20 @@ def query(function: Callable) -> Callable:
     return function
 
 
+# Questions that need nothing but marts, and so also run on stored ones.
+QUESTIONS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {}
+
+
 def question(name: str, plan: Callable[[LazyMarts], DataFrame], authors: bool = False) -> None:
     """Register a plan over the marts; `authors` if it reads author keys."""
     REGISTRY[name] = lambda spark, sf_dir: plan(LazyMarts(spark, sf_dir, authors))
 
 
+def mart_question(name: str, plan: Callable[[LazyMarts], DataFrame], authors: bool = False) -> None:
+    QUESTIONS[name] = plan
+    question(name, plan, authors)
+
+
 # ----- models -----
 for _name in (
     "dim_contributors",
@@ -178,49 +187,51 @@ def _region(t: Tables, region: int) -> DataFrame:
     return t["nation"].filter(F.col("n_regionkey") == region).select("n_name")
 
 
-question("all_repo_names", queries.all_repo_names)
-question("overview_kpis", queries.overview_kpis, authors=True)
-question("repo_snapshot", queries.repo_snapshot)
-question("commits_per_month", queries.commits_per_month)
-question("stars_forks_over_time", queries.stars_forks_over_time)
-question("downloads_over_time", queries.downloads_over_time)
-question("downloads_vs_stars", queries.downloads_vs_stars)
-question("health_components", lambda m: queries.health_components(m, AS_OF))
-question("pr_velocity_monthly", queries.pr_velocity_monthly)
-question("pr_throughput_monthly", queries.pr_throughput_monthly)
-question("issue_resolution_monthly", queries.issue_resolution_monthly)
-question("issue_label_breakdown", queries.issue_label_breakdown)
-question("commit_share", queries.commit_share, authors=True)
-question("contributor_leaderboard", queries.contributor_leaderboard, authors=True)
-question("retention_cohort", queries.retention_cohort)
-question("active_contributors_monthly", queries.active_contributors_monthly)
-question("multi_project_contributors", queries.multi_project_contributors)
-question("releases", queries.releases)
-question("release_gaps", queries.release_gaps)
-question("date_bounds", queries.date_bounds)
-question(
+mart_question("all_repo_names", queries.all_repo_names)
+mart_question("overview_kpis", queries.overview_kpis, authors=True)
+mart_question("repo_snapshot", queries.repo_snapshot)
+mart_question("commits_per_month", queries.commits_per_month)
+mart_question("stars_forks_over_time", queries.stars_forks_over_time)
+mart_question("downloads_over_time", queries.downloads_over_time)
+mart_question("downloads_vs_stars", queries.downloads_vs_stars)
+mart_question("health_components", lambda m: queries.health_components(m, AS_OF))
+mart_question("pr_velocity_monthly", queries.pr_velocity_monthly)
+mart_question("pr_throughput_monthly", queries.pr_throughput_monthly)
+mart_question("issue_resolution_monthly", queries.issue_resolution_monthly)
+mart_question("issue_label_breakdown", queries.issue_label_breakdown)
+mart_question("commit_share", queries.commit_share, authors=True)
+mart_question("contributor_leaderboard", queries.contributor_leaderboard, authors=True)
+mart_question("retention_cohort", queries.retention_cohort)
+mart_question("active_contributors_monthly", queries.active_contributors_monthly)
+mart_question("multi_project_contributors", queries.multi_project_contributors)
+mart_question("releases", queries.releases)
+mart_question("release_gaps", queries.release_gaps)
+mart_question("date_bounds", queries.date_bounds)
+mart_question(
     "pr_velocity_between",
     lambda m: queries.pr_velocity_monthly(m, None, date(1997, 3, 15), date(1999, 6, 20)),
 )
 question("commits_per_month_of_region", lambda m: queries.commits_per_month(m, _region(m.t, 1)))
-question("bus_factor", lambda m: metrics.bus_factor(queries.commit_share(m)), authors=True)
-question("lorenz_curve", lambda m: metrics.lorenz_curve(queries.commit_share(m)), authors=True)
-question("retention_heatmap", lambda m: metrics.retention_heatmap(queries.retention_cohort(m)))
-question("release_cadence", lambda m: metrics.release_cadence(queries.release_gap_counts(m)))
-question("release_gap_histogram", lambda m: metrics.release_gap_histogram(queries.release_gap_counts(m)))
-question("label_states_long", lambda m: metrics.label_states_long(queries.issue_label_breakdown(m)))
-question("series_status", lambda m: metrics.series_status(queries.stars_forks_over_time(m), "date"))
-question("downloads_ready", lambda m: metrics.has_downloads(queries.downloads_vs_stars(m)))
+mart_question("bus_factor", lambda m: metrics.bus_factor(queries.commit_share(m)), authors=True)
+mart_question("lorenz_curve", lambda m: metrics.lorenz_curve(queries.commit_share(m)), authors=True)
+mart_question("retention_heatmap", lambda m: metrics.retention_heatmap(queries.retention_cohort(m)))
+mart_question("release_cadence", lambda m: metrics.release_cadence(queries.release_gap_counts(m)))
+mart_question("release_gap_histogram", lambda m: metrics.release_gap_histogram(queries.release_gap_counts(m)))
+mart_question("label_states_long", lambda m: metrics.label_states_long(queries.issue_label_breakdown(m)))
+mart_question("series_status", lambda m: metrics.series_status(queries.stars_forks_over_time(m), "date"))
+mart_question("downloads_ready", lambda m: metrics.has_downloads(queries.downloads_vs_stars(m)))
 
 
-@query
-def health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _health_score(marts: Mapping[str, DataFrame]) -> DataFrame:
     """Rounded: logarithms and powers differ between engines in the last bits."""
-    scored = metrics.compute_health(queries.health_components(LazyMarts(spark, sf_dir, False), AS_OF))
+    scored = metrics.compute_health(queries.health_components(marts, AS_OF))
     names = [*metrics.WEIGHTS, "health_score"]
     return scored.select("repository_name", *(F.round(name, 9).alias(name) for name in names))
 
 
+mart_question("health_score", _health_score)
+
+
 # ----- merges and history -----
 def _load(t: Tables, number: int, kept: Column) -> DataFrame:
     return t["orders"].filter(kept).select(
