@@ -47,7 +47,7 @@ def _overwrite_partitions(df: DataFrame, name: str, partition_by: str) -> None:
 def write_table(
     df: DataFrame, name: str, schema: T.StructType | None = None, partition_by: str | None = None
 ) -> None:
-    """Full rebuild. Readers keep the old table until the new one is complete."""
+    """Full rebuild beside the old table, which is replaced once the new one is complete."""
     spark = df.sparkSession
     if schema is not None:
         df = assert_contract(df, schema)
@@ -89,6 +89,8 @@ def merge_table(
     batch = cut_lineage(assert_same_schema(target, batch))
     per_value = batch.groupBy(partition_by).agg(F.count("*").alias("n")).collect()
     arriving = {row[0] for row in per_value}
+    if None in arriving:
+        raise ValueError(f"{name}: the batch has rows without {partition_by}")
     touched = set(arriving)
     if not key_fixes_partition:
         places = target.select(*dict.fromkeys([*keys, partition_by]))

@@ -86,6 +86,8 @@ def test_merge_fails_on_schema_drift(spark):
     merge_table(spark, "t.s", batch, ["id"], "day")
     with pytest.raises(ContractError):
         merge_table(spark, "t.s", batch.withColumn("w", F.lit(1)), ["id"], "day")
+    with pytest.raises(ValueError, match="without day"):
+        merge_table(spark, "t.s", spark.createDataFrame([(2, None, "a")], SCHEMA), ["id"], "day")
 
 
 def test_snapshot_table_over_runs(spark):

@@ -6,19 +6,72 @@ Orders are pull requests, line items commits, events issues and downloads, natio
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from osspulse.schemas import BIGINT, INT, STRING, TIMESTAMP_NTZ, record
+
+DOUBLE = T.DoubleType()
+
+
+# Stated, so that setting up a query reads no file footers.
+SCHEMAS: dict[str, T.StructType] = {
+    "nation": record(n_nationkey=INT, n_name=STRING, n_regionkey=INT),
+    "customer": record(
+        c_custkey=BIGINT, c_name=STRING, c_nationkey=INT, c_acctbal=DOUBLE, c_mktsegment=STRING
+    ),
+    "supplier": record(s_suppkey=BIGINT, s_name=STRING, s_nationkey=INT, s_acctbal=DOUBLE),
+    "part": record(
+        p_partkey=BIGINT, p_name=STRING, p_brand=STRING, p_type=STRING, p_size=INT, p_retailprice=DOUBLE
+    ),
+    "orders": record(
+        o_orderkey=BIGINT, o_custkey=BIGINT, o_orderstatus=STRING, o_totalprice=DOUBLE,
+        o_orderdate=TIMESTAMP_NTZ, o_orderpriority=STRING,
+    ),
+    "lineitem": record(
+        l_orderkey=BIGINT, l_partkey=BIGINT, l_suppkey=BIGINT, l_linenumber=INT, l_quantity=DOUBLE,
+        l_extendedprice=DOUBLE, l_discount=DOUBLE, l_tax=DOUBLE, l_returnflag=STRING, l_linestatus=STRING,
+        l_shipdate=TIMESTAMP_NTZ,
+    ),
+    "events": record(
+        event_id=BIGINT, ts=TIMESTAMP_NTZ, user_id=BIGINT, event_type=STRING, value=DOUBLE, props=STRING
+    ),
+    "documents": record(doc_id=BIGINT, text=STRING, lang=STRING, source=STRING, n_chars=BIGINT),
+    "conversations": record(conv_id=BIGINT, turn=BIGINT, role=STRING, text=STRING),
+}
 
 
 class Tables:
+    """The tables of one data directory, and the views over them; each is set up once per query."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self.frames:
+            reader = self.spark.read.schema(SCHEMAS[name])
+            self.frames[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.frames[name]
+
+
+def view(define: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    @wraps(define)
+    def once(t: Tables) -> DataFrame:
+        key = f"view {define.__name__}"
+        if key not in t.frames:
+            t.frames[key] = define(t)
+        return t.frames[key]
+
+    return once
 
 
+@view
 def _orders_by_nation(t: Tables) -> DataFrame:
     customer = t["customer"].select("c_custkey", "c_name", "c_nationkey")
     nation = t["nation"].select("n_nationkey", "n_name")
@@ -29,6 +82,7 @@ def _orders_by_nation(t: Tables) -> DataFrame:
     )
 
 
+@view
 def pull_requests(t: Tables) -> DataFrame:
     """Merged at the first shipment on or after the order date, for finished orders."""
     shipped = t["lineitem"].select("l_orderkey", "l_shipdate")
@@ -59,6 +113,7 @@ def pull_requests(t: Tables) -> DataFrame:
     )
 
 
+@view
 def commits(t: Tables) -> DataFrame:
     """The supplier's nation is the repository, the customer the author; open new lines have none."""
     orders = t["orders"].select("o_orderkey", "o_custkey")
@@ -86,6 +141,7 @@ def _digits(props: str):
     return F.regexp_replace(props, "[^0-9]", "").cast("bigint")
 
 
+@view
 def issues(t: Tables) -> DataFrame:
     """Errors and views stay open; the others close after ten minutes per unit of value."""
     still_open = F.col("event_type").isin("error", "view")
@@ -108,6 +164,7 @@ def issues(t: Tables) -> DataFrame:
     )
 
 
+@view
 def releases(t: Tables) -> DataFrame:
     """Urgent orders; open ones are drafts."""
     urgent = _orders_by_nation(t).filter(F.col("o_orderpriority") == "1-URGENT")
@@ -121,6 +178,7 @@ def releases(t: Tables) -> DataFrame:
     )
 
 
+@view
 def pr_labels(t: Tables) -> DataFrame:
     """A part's type as label name and its brand as color, per line of an order."""
     part = t["part"].select("p_partkey", "p_type", "p_brand")
@@ -138,6 +196,7 @@ def pr_labels(t: Tables) -> DataFrame:
     )
 
 
+@view
 def issue_labels(t: Tables) -> DataFrame:
     """Two labels per event: its type, and the tens of the number in its properties."""
     nation = t["nation"].select("n_nationkey", "n_name")
@@ -157,6 +216,7 @@ def issue_labels(t: Tables) -> DataFrame:
     )
 
 
+@view
 def download_log(t: Tables) -> DataFrame:
     """Errors come from a mirror, signups do not report an installer."""
     installer = F.when(F.col("event_type") == "error", "bandersnatch").when(
@@ -170,12 +230,14 @@ def download_log(t: Tables) -> DataFrame:
     )
 
 
+@view
 def projects(t: Tables) -> DataFrame:
     """A package per nation, except in region 4; packages 25 to 29 have no repository."""
     package = F.when(F.col("n_regionkey") != 4, F.concat(F.lit("pkg"), F.col("n_nationkey")))
     return t["nation"].select(F.col("n_name").alias("repo"), package.alias("package"))
 
 
+@view
 def repositories_now(t: Tables) -> DataFrame:
     """Monthly captures: customers as stars, orders as forks, open orders as open issues."""
     month = F.trunc(F.to_date("o_orderdate"), "month").cast("timestamp_ntz")
@@ -194,6 +256,7 @@ def repositories_now(t: Tables) -> DataFrame:
     )
 
 
+@view
 def history(t: Tables) -> DataFrame:
     """A version per nation and order year. The window holds the years of one nation."""
     years = (
