@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from osspulse.functions import utc_naive
 from osspulse.operators.history import OPEN_END, scd2_snapshot
-from osspulse.operators.merge import delete_insert, latest_in_batch
+from osspulse.operators.joins import BROADCAST_ROWS
+from osspulse.operators.merge import latest_in_batch
 from osspulse.sinks.contracts import assert_contract, assert_same_schema
 from osspulse.sinks.staging_area import cut_lineage
 from osspulse.sources.tables import fresh_table
@@ -91,29 +92,36 @@ def merge_table(
     arriving = {row[0] for row in per_value}
     if None in arriving:
         raise ValueError(f"{name}: the batch has rows without {partition_by}")
+    rows = sum(row["n"] for row in per_value)
     touched = set(arriving)
+    batch_keys = batch.select(*keys).distinct()
+    if rows <= BROADCAST_ROWS:
+        # Counted, so that looking keys up in the table shuffles none of the table.
+        batch_keys = F.broadcast(batch_keys)
     if not key_fixes_partition:
         places = target.select(*dict.fromkeys([*keys, partition_by]))
-        known = places.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+        known = places.join(batch_keys, list(keys), "left_semi")
         touched |= {row[0] for row in known.select(partition_by).distinct().collect()}
     if not touched:
         return 0
 
-    # Partition values, not rows: a list as long as the partitions the batch touches.
-    affected = target.filter(F.col(partition_by).isin(sorted(touched)))
-    merged = delete_insert(affected, batch, keys)
-    # A partition all of whose rows moved away gets no file, and so is not overwritten: drop it.
+    def kept(values: set) -> DataFrame:
+        # Partition values, not rows: a list as long as the partitions the batch touches.
+        chosen = fresh_table(spark, name).filter(F.col(partition_by).isin(sorted(values)))
+        return chosen.join(batch_keys, list(keys), "left_anti")
+
+    # A partition all of whose rows move away gets no file, and so is not overwritten: drop it.
+    # That comes first, as a run that stops half-way is repeated with the same batch: it brings
+    # missing rows again, but would not know of rows left behind.
     leaving = touched - arriving
-    emptied: set = set()
     if leaving:
-        left = affected.filter(F.col(partition_by).isin(sorted(leaving)))
-        kept = left.join(batch.select(*keys), list(keys), "left_anti")
-        emptied = leaving - {row[0] for row in kept.select(partition_by).distinct().collect()}
-    _overwrite_partitions(merged, name, partition_by)
-    for value in sorted(emptied):
-        literal = value if isinstance(value, int) else f"'{value}'"
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_by} = {literal})")
-    return sum(row["n"] for row in per_value)
+        stays = {row[0] for row in kept(leaving).select(partition_by).distinct().collect()}
+        for value in sorted(leaving - stays):
+            literal = value if isinstance(value, int) else f"'{value}'"
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_by} = {literal})")
+        touched = arriving | stays
+    _overwrite_partitions(kept(touched).unionByName(batch), name, partition_by)
+    return rows
 
 
 def snapshot_table(
