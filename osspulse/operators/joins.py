@@ -22,8 +22,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     Stored tables need no check: their file size is known when the join is planned. Without the
     hint the join is a shuffle join, whose hot partitions adaptive execution splits.
     """
-    rows = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if rows <= max_rows else df
+    # A full count combines in the tasks; a limit would send its rows through a single one.
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def scd2_join(

@@ -203,6 +203,13 @@ def test_expand_runs(spark):
     }
 
 
+def test_a_long_run_is_spread_over_tasks(spark):
+    runs = spark.createDataFrame([("hot", 100_000)], "k string, n int")
+    out = expand_runs(runs, "n", "i", ["k"])
+    per_task = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_task) > 1 and max(row["count"] for row in per_task) < 100_000
+
+
 def test_weighted_median(spark):
     rng = random.Random(1)
     groups = {g: [rng.randint(0, 20) for _ in range(rng.randint(1, 30))] for g in range(20)}
