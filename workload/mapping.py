@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -258,18 +258,27 @@ def repositories_now(t: Tables) -> DataFrame:
 
 @view
 def history(t: Tables) -> DataFrame:
-    """A version per nation and order year. The window holds the years of one nation."""
-    years = (
+    """A version per nation and order year. The set holds the years of one nation."""
+    nations = (
         _orders_by_nation(t)
-        .select(
-            F.col("n_nationkey").cast("bigint").alias("repository_id"),
-            F.col("n_name").alias("repository_name"),
-            F.year("o_orderdate").alias("y"),
+        .groupBy(F.col("n_nationkey").cast("bigint").alias("repository_id"))
+        .agg(
+            F.max("n_name").alias("repository_name"),
+            F.array_sort(F.collect_set(F.year("o_orderdate"))).alias("years"),
         )
-        .distinct()
     )
-    opened = F.make_date("y", F.lit(1), F.lit(1)).cast("timestamp_ntz")
-    closed = F.lead(opened).over(Window.partitionBy("repository_id").orderBy("y"))
+
+    def version(year: Column, position: Column) -> Column:
+        return F.struct(year.alias("y"), F.get("years", position + 1).alias("next_y"))
+
+    years = nations.select(
+        "repository_id", "repository_name", F.inline(F.transform("years", version))
+    )
+
+    def new_year(year: str) -> Column:
+        return F.make_date(year, F.lit(1), F.lit(1)).cast("timestamp_ntz")
+
+    opened, closed = new_year("y"), new_year("next_y")
     return years.select(
         "repository_id",
         "repository_name",
