@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from osspulse.functions import utc_literal
 
-# Fixed value: the end of a validity range that is still open, at date grain.
+# The validity columns of a history are `dbt_valid_from` and `dbt_valid_to`; the end of
+# a range that is still open, at date grain.
 OPEN_END = "9999-12-31"
 
 
