@@ -18,7 +18,10 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--target-date", type=date.fromisoformat, help="download day, default yesterday")
     parser.add_argument("--interval-end", type=datetime.fromisoformat, help="end of the scheduled interval")
     parser.add_argument("--backfill", action="store_true", help="also load days before the newest one")
-    parser.add_argument("--json-lines", action="store_true", help="landed files hold one record per line")
+    parser.add_argument("--full-refresh", action="store_true", help="rebuild the incremental facts from all raw rows")
+    parser.add_argument("--landed-since", type=date.fromisoformat, help="first landing day to read")
+    parser.add_argument("--pages", action="store_true", help="landed files hold one response page each, not JSON lines")
+    parser.add_argument("--report-only", action="store_true", help="failed checks do not stop the run")
     options = parser.parse_args(arguments)
 
     spark = build_session()
@@ -32,7 +35,10 @@ def main(arguments: list[str] | None = None) -> None:
         target_date=options.target_date,
         interval_end=options.interval_end,
         backfill=options.backfill,
-        multi_line=not options.json_lines,
+        full_refresh=options.full_refresh,
+        landed_since=options.landed_since,
+        multi_line=options.pages,
+        enforce=not options.report_only,
     )
     counts.show(truncate=False)
 

@@ -9,7 +9,7 @@ from osspulse.operators.filters import (
     watermark,
 )
 from osspulse.operators.history import OPEN_END, scd2_snapshot
-from osspulse.operators.joins import broadcast_if_small, lookup_join, scd2_join
+from osspulse.operators.joins import lookup_join, scd2_join, spread_null
 from osspulse.operators.latest import latest_per_key
 from osspulse.operators.merge import delete_insert, latest_in_batch, upsert
 from osspulse.operators.nested import child_rows, flatten_struct
@@ -18,7 +18,6 @@ from osspulse.operators.runs import expand_runs, weighted_median
 __all__ = [
     "OPEN_END",
     "after_watermark",
-    "broadcast_if_small",
     "by_dates",
     "by_repos",
     "child_rows",
@@ -32,6 +31,7 @@ __all__ = [
     "scd2_join",
     "scd2_snapshot",
     "since",
+    "spread_null",
     "upsert",
     "watermark",
     "weighted_median",

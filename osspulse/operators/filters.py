@@ -54,12 +54,13 @@ def watermark(target: DataFrame, column: str) -> Column | None:
 def after_watermark(batch: DataFrame, moment: Column, mark: Column | None) -> DataFrame:
     """Rows at or after `mark`, a literal or scalar subquery; a missing or NULL mark keeps all.
 
-    The bound is inclusive, so the newest rows are read again; the keyed write removes the
+    So does a row without a moment: it cannot be told to be old, and the keyed write makes reading
+    it again harmless. The bound is inclusive, so the newest rows are read again; the keyed write removes the
     repetition. A literal folds to a plain comparison, which reaches the scan as a pushed filter.
     """
     if mark is None:
         return batch
-    return batch.filter((moment >= mark) | mark.isNull())
+    return batch.filter(moment.isNull() | (moment >= mark) | mark.isNull())
 
 
 def recent_groups(df: DataFrame, column: str, n: int) -> DataFrame:

@@ -7,23 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a frame may have to be shipped to every executor. The frames in question are narrow
-# (a key or two, a name, two dates), so this is some tens of MB.
-BROADCAST_ROWS = 200_000
+# Copies of a dimension over which the rows of a hot key are split when the join is not a broadcast.
+SALTS = 4
 
-# Partitions over which facts without a key are spread.
-NULL_KEY_SLOTS = 64
+def spread_null(key: Column, spread_by: Column) -> Column:
+    """`key`, or for rows without one a made-up key from the full hash of `spread_by`.
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """`df` with a broadcast hint if it was counted to hold at most `max_rows`, else as it is.
-
-    For frames derived by joins and aggregates, whose size the optimizer can only overestimate.
-    Stored tables need no check: their file size is known when the join is planned. Without the
-    hint the join is a shuffle join, whose hot partitions adaptive execution splits.
+    No real key looks like it; the join condition still has to keep such rows unmatched.
     """
-    # A full count combines in the tasks; a limit would send its rows through a single one.
-    return F.broadcast(df) if df.count() <= max_rows else df
+    return F.coalesce(key, F.concat(F.lit("\u0000"), F.xxhash64(spread_by).cast("string")))
 
 
 def scd2_join(
@@ -32,14 +24,13 @@ def scd2_join(
     name: Column,
     day: Column,
     take: Sequence[str] = ("repository_key",),
-    salts: int = 1,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Left join to the version in force on `day`: `valid_from <= day < valid_to`.
 
     The name is an equality key, so this is a hash or merge join with the range as a residual
-    condition. A small `versions` is broadcast by size. Otherwise hot names are split at run time
-    by the skew-join rule; `salts > 1` also splits them in the plan, by the event day, against
-    that many copies of the versions.
+    condition. Spark broadcasts `versions` if they turn out small. Otherwise rows without a name are
+    spread by their day, and hot names are split by the event day over `salts` copies of the versions.
     """
     sides = [
         F.col("repository_name").alias("_version_name"),
@@ -49,7 +40,7 @@ def scd2_join(
     ]
     right = versions.select(*sides)
     match = (
-        (name == F.col("_version_name"))
+        (spread_null(name, day) == F.col("_version_name"))
         & (day >= F.col("_version_from"))
         & (day < F.col("_version_to"))
     )
@@ -69,16 +60,24 @@ def lookup_join(
     dim_key: str,
     take: dict[str, str],
     spread_by: str,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Left join on one key, taking `{dim column: result column}`.
 
-    Facts without a key match nothing but would all hash to one task; they are spread over
-    `NULL_KEY_SLOTS` made-up keys by `spread_by`, and the condition keeps them unmatched.
+    Facts without a key match nothing but would all hash to one task; they are spread by the full
+    hash of `spread_by`, and the condition keeps them unmatched. A hot key is split over `salts`
+    copies of the dimension, by the same hash.
     """
-    slot = F.pmod(F.xxhash64(spread_by), F.lit(NULL_KEY_SLOTS)).cast("string")
+    salts = max(1, salts)
     right = dim.select(
         F.col(dim_key).alias("_dim_key"), *(F.col(old).alias(new) for old, new in take.items())
     )
-    keyed = facts.withColumn("_fact_key", F.coalesce(fact_key, slot))
-    match = (F.col("_fact_key") == F.col("_dim_key")) & F.col(fact_key).isNotNull()
-    return keyed.join(right, match, "left").drop("_fact_key", "_dim_key")
+    right = right.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    keyed = facts.withColumns({"_fact_key": spread_null(F.col(fact_key), F.col(spread_by)), "_fact_salt": salt})
+    match = (
+        (F.col("_fact_key") == F.col("_dim_key"))
+        & (F.col("_fact_salt") == F.col("_dim_salt"))
+        & F.col(fact_key).isNotNull()
+    )
+    return keyed.join(right, match, "left").drop("_fact_key", "_dim_key", "_fact_salt", "_dim_salt")

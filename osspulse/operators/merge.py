@@ -13,21 +13,25 @@ from pyspark.sql import functions as F
 from osspulse.operators.latest import latest_per_key
 
 
-def latest_in_batch(batch: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """One row per key: the one with the highest `order_col`, equal ones settled by content."""
+def latest_in_batch(batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """One row per key: the one with the highest `order_by` columns, equal ones settled by content.
+
+    Order by the version first and then by when and where a row landed, so that content decides
+    between rows of one file only.
+    """
     others = [column for column in batch.columns if column not in keys]
     ranked = batch.withColumn("_content", F.xxhash64(*batch.columns))
-    return latest_per_key(ranked, keys, [order_col, "_content"], others).select(*batch.columns)
+    return latest_per_key(ranked, keys, [*order_by, "_content"], others).select(*batch.columns)
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Target rows whose key is absent from the batch, and the batch with one row per key."""
-    newest = latest_in_batch(batch, keys, order_col)
+    newest = latest_in_batch(batch, keys, order_by)
     kept = target.join(newest.select(*keys), list(keys), "left_anti")
     return kept.unionByName(newest)
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key is absent from the batch, and the whole batch, repetitions included."""
-    kept = target.join(batch.select(*keys), list(keys), "left_anti")
+    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
     return kept.unionByName(batch)

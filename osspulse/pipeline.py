@@ -13,15 +13,19 @@ from osspulse import schemas
 from osspulse.functions import date_key, utc_naive
 from osspulse.operators.filters import after_watermark, watermark
 from osspulse.plans import activity, dims, facts, staging
+from osspulse.quality.suites import mart_suites, run_suites, staging_suites
 from osspulse.sinks import (
     Layer,
+    catalog_marts,
     ensure_layers,
     merge_table,
     snapshot_table,
     write_table,
 )
 from osspulse.sources import (
+    PAGE,
     daily_downloads,
+    fresh_table,
     read_endpoint,
     read_projects,
     stamp,
@@ -33,8 +37,16 @@ from osspulse.sources import (
 # Storage partition of a raw table: the month of a moment that belongs to the record.
 RAW_PARTITION = "_month"
 UNDATED = "0000-00"
-# Storage partition of the incremental facts.
+# Storage partitions of the facts.
 FACT_PARTITION = "date_key"
+OPENED_PARTITION = "opened_date_key"
+# The day up to which landed records were loaded, by endpoint; the results of the checks.
+LOAD_STATE = Layer.RAW.table("load_state")
+CHECK_RESULTS = Layer.INTERMEDIATE.table("check_results")
+
+
+class ChecksFailed(Exception):
+    """Checks of severity `error` have violations."""
 
 
 @dataclass(frozen=True)
@@ -86,7 +98,8 @@ def after_cursor(
 def partition_watermark(spark: SparkSession, table: str, column: str) -> Column | None:
     """Highest value of the partition column, from the catalog's list of partitions: no scan."""
     kind = spark.table(table).schema[column].dataType.simpleString()
-    value = F.regexp_extract("partition", f"{column}=([^/]*)", 1).cast(kind)
+    # The partition of rows without a value does not cast, and is no mark.
+    value = F.regexp_extract("partition", f"{column}=([^/]*)", 1).try_cast(kind)
     values = spark.sql(f"SHOW PARTITIONS {table}").select(value.alias(column))
     return watermark(values, column)
 
@@ -99,8 +112,9 @@ def load_raw(
     if table.cursor is not None and spark.catalog.tableExists(name):
         raw = spark.table(name)
         if table.cursor == table.month_of and not cursor_by:
-            # The newest value is in the newest month.
-            raw = raw.filter(F.col(RAW_PARTITION) == partition_watermark(spark, name, RAW_PARTITION))
+            # The newest value is in the newest month; without any month nothing has a value.
+            newest = partition_watermark(spark, name, RAW_PARTITION)
+            raw = raw.filter(F.col(RAW_PARTITION) == (F.lit(UNDATED) if newest is None else newest))
         batch = after_cursor(batch, raw, table.cursor, cursor_by)
     return merge_table(
         spark,
@@ -108,7 +122,8 @@ def load_raw(
         with_month(batch, table),
         table.keys,
         RAW_PARTITION,
-        order_col=table.version,
+        order_by=[table.version, "_loaded_at", PAGE],
+        transient=[PAGE],
         key_fixes_partition=table.key_fixes_partition,
     )
 
@@ -121,7 +136,7 @@ def load_downloads(spark: SparkSession, counted: DataFrame) -> int:
         with_month(counted, DOWNLOADS),
         DOWNLOADS.keys,
         RAW_PARTITION,
-        order_col=DOWNLOADS.version,
+        order_by=[DOWNLOADS.version],
         key_fixes_partition=DOWNLOADS.key_fixes_partition,
     )
 
@@ -198,19 +213,31 @@ def _merge_fact(
     )
 
 
-def build_marts(spark: SparkSession, projects: DataFrame, run_ts: datetime, backfill: bool = False) -> None:
+def build_marts(
+    spark: SparkSession,
+    projects: DataFrame,
+    run_ts: datetime,
+    backfill: bool = False,
+    full_refresh: bool = False,
+) -> None:
     """Snapshot, dimensions and facts from the raw tables.
 
     `backfill` lifts the day watermark of downloads and metrics, which otherwise leaves out days
-    older than the newest one loaded.
+    older than the newest one loaded. `full_refresh` rebuilds the incremental facts from all raw rows.
     """
     s = staged(raw_tables(spark))
 
-    def rebuild(name: str, df: DataFrame) -> DataFrame:
+    def rebuild(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         table = Layer.MARTS.table(name)
-        write_table(df, table, schemas.MARTS[name])
+        write_table(df, table, schemas.MARTS[name], partition_by)
         return spark.table(table)
 
+    def merge(name: str, rows: DataFrame, moment: Column, mark: str, build, key: str, **options) -> None:
+        if full_refresh:
+            rebuild(name, build(rows), FACT_PARTITION)
+        else:
+            _merge_fact(spark, name, rows, moment, mark, build, key, **options)
+
     snapshot_table(
         spark,
         Layer.SNAPSHOTS.table("snap_repositories"),
@@ -221,7 +248,7 @@ def build_marts(spark: SparkSession, projects: DataFrame, run_ts: datetime, back
     )
     history = spark.table(Layer.SNAPSHOTS.table("snap_repositories"))
     rebuild("dim_dates", dims.dim_dates(spark))
-    labels = rebuild("dim_labels", dims.dim_labels(s["stg_issue_labels"], s["stg_pr_labels"]))
+    rebuild("dim_labels", dims.dim_labels(s["stg_issue_labels"], s["stg_pr_labels"]))
     repositories = rebuild("dim_repositories", dims.dim_repositories(history))
     people = rebuild(
         "dim_contributors",
@@ -229,9 +256,9 @@ def build_marts(spark: SparkSession, projects: DataFrame, run_ts: datetime, back
     )
 
     pulls = facts.fct_pull_requests(s["stg_pull_requests"], repositories, people)
-    rebuild("fct_pull_requests", pulls)
-    rebuild("fct_issues", facts.fct_issues(s["stg_issues"], repositories, people))
-    rebuild("bridge_issue_labels", facts.bridge_issue_labels(s["stg_issue_labels"], labels))
+    rebuild("fct_pull_requests", pulls, OPENED_PARTITION)
+    rebuild("fct_issues", facts.fct_issues(s["stg_issues"], repositories, people), OPENED_PARTITION)
+    rebuild("bridge_issue_labels", facts.bridge_issue_labels(s["stg_issue_labels"]))
     events = activity.contributor_activity(s["stg_commits"], s["stg_pull_requests"], s["stg_issues"])
     rebuild(
         "fct_contributor_activity_monthly", facts.fct_contributor_activity_monthly(events, people)
@@ -239,8 +266,7 @@ def build_marts(spark: SparkSession, projects: DataFrame, run_ts: datetime, back
 
     # By load time: author and publishing dates do not only grow.
     loaded = F.col("_loaded_at")
-    _merge_fact(
-        spark,
+    merge(
         "fct_commits",
         s["stg_commits"],
         loaded,
@@ -249,8 +275,7 @@ def build_marts(spark: SparkSession, projects: DataFrame, run_ts: datetime, back
         "commit_key",
         key_fixes_partition=True,
     )
-    _merge_fact(
-        spark,
+    merge(
         "fct_releases",
         s["stg_releases"],
         loaded,
@@ -259,8 +284,7 @@ def build_marts(spark: SparkSession, projects: DataFrame, run_ts: datetime, back
         "release_key",
     )
     # By day.
-    _merge_fact(
-        spark,
+    merge(
         "fct_daily_downloads",
         s["stg_downloads"],
         date_key(F.col("download_date")),
@@ -270,8 +294,7 @@ def build_marts(spark: SparkSession, projects: DataFrame, run_ts: datetime, back
         key_fixes_partition=True,
         backfill=backfill,
     )
-    _merge_fact(
-        spark,
+    merge(
         "fct_repository_metrics",
         s["stg_repositories"],
         date_key(loaded),
@@ -283,6 +306,46 @@ def build_marts(spark: SparkSession, projects: DataFrame, run_ts: datetime, back
     )
 
 
+def load_state(spark: SparkSession) -> dict[str, date]:
+    """Day up to which each endpoint was loaded; one row per endpoint."""
+    schema = schemas.record(endpoint=schemas.STRING, load_day=schemas.DATE)
+    return {row.endpoint: row.load_day for row in table_or_empty(spark, LOAD_STATE, schema).collect()}
+
+
+def _save_load_state(spark: SparkSession, state: dict[str, date]) -> None:
+    rows = spark.createDataFrame(sorted(state.items()), "endpoint string, load_day date")
+    write_table(rows.coalesce(1), LOAD_STATE)
+
+
+def check_layer(spark: SparkSession, layer: str, tables, suites, run_ts: datetime, enforce: bool) -> None:
+    """Run the suites, keep their result in `CHECK_RESULTS`, and fail on violations of severity `error`."""
+    found = run_suites(tables, suites).select(
+        F.lit(layer).alias("layer"), F.lit(utc_naive(run_ts).isoformat(sep=" ")).alias("run_at"), "*"
+    )
+    merge_table(spark, CHECK_RESULTS, found, ["layer", "run_at", "table", "check"], "run_at")
+    run_at = utc_naive(run_ts).isoformat(sep=" ")
+    results = fresh_table(spark, CHECK_RESULTS).filter((F.col("run_at") == run_at) & (F.col("layer") == layer))
+    failed = results.filter("status = 'error'").select("table", "check", "violations").collect()
+    if failed and enforce:
+        raise ChecksFailed("; ".join(f"{row.table}: {row.check}: {row.violations}" for row in failed))
+
+
+def child_counts(spark: SparkSession) -> dict[str, int]:
+    """Rows of the lists in the raw tables: topics, parents and labels."""
+    raw = raw_tables(spark)
+    lists = {
+        "repositories__topics": ("repositories", "topics"),
+        "commits__parents": ("commits", "parents"),
+        "issues__labels": ("issues", "labels"),
+        "pull_requests__labels": ("pull_requests", "labels"),
+    }
+    sizes = {
+        name: raw[table].agg(F.coalesce(F.sum(F.greatest(F.size(column), F.lit(0))), F.lit(0))).first()[0]
+        for name, (table, column) in lists.items()
+    }
+    return sizes
+
+
 def run_day(
     spark: SparkSession,
     landing: str,
@@ -294,13 +357,19 @@ def run_day(
     interval_end: datetime | None = None,
     cursor_by: Sequence[str] = (),
     backfill: bool = False,
-    multi_line: bool = True,
+    full_refresh: bool = False,
+    landed_since: date | None = None,
+    multi_line: bool = False,
+    enforce: bool = True,
 ) -> DataFrame:
-    """One daily run; returns `table, n`: rows loaded per raw table.
-
-    `now` is the load time and the run time of the snapshot. Downloads are counted for
-    `target_date`, by default the day before. Landed records are skipped when `interval_end` shows
-    that an old interval is being repeated, and when no repository is tracked.
+    """One daily run; returns `table, n`: rows loaded per raw table, and rows of the raw tables' lists.
+
+    `now` is the run time of the snapshot. Landing days are read from the last one loaded, or from
+    `landed_since`, up to the day of `now`; with a cursor per group (`cursor_by`) all of
+    them are. `full_refresh` rebuilds the incremental facts. Downloads are counted for `target_date`, by default the day before. Landed
+    records are skipped when `interval_end` shows that an old interval is being repeated, and when no
+    repository is tracked. The checks of a layer run when it is complete; with `enforce` a violation of
+    severity `error` stops the run there.
     """
     ensure_layers(spark)
     write_table(read_projects(spark, projects_path), Layer.STAGING.table("projects"), schemas.PROJECTS)
@@ -309,10 +378,13 @@ def run_day(
     loaded: dict[str, int] = {}
     tracked = target_repos(projects)
     if not (interval_end and is_backfill(now, interval_end)) and not tracked.isEmpty():
+        state, today = load_state(spark), utc_naive(now).date()
         for endpoint in RAW_TABLES:
-            landed = read_endpoint(spark, landing, endpoint, now, multi_line=multi_line)
-            chosen = landed.join(tracked.toDF("_repo"), "_repo", "left_semi").select(*landed.columns)
-            loaded[endpoint] = load_raw(spark, endpoint, chosen, cursor_by)
+            first_day = landed_since or (None if cursor_by else state.get(endpoint))
+            landed = read_endpoint(spark, landing, endpoint, first_day, today, tracked, multi_line)
+            loaded[endpoint] = load_raw(spark, endpoint, landed, cursor_by)
+            state[endpoint] = max(today, state.get(endpoint, today))
+        _save_load_state(spark, state)
     if download_log is not None:
         packages = target_packages(projects)
         day = target_date or (utc_naive(now).date() - timedelta(days=1))
@@ -320,6 +392,10 @@ def run_day(
             counted = stamp(daily_downloads(download_log, day, packages), now)
             loaded["downloads"] = load_downloads(spark, counted)
 
-    build_marts(spark, projects, now, backfill)
-    return spark.createDataFrame(list(loaded.items()), "table string, n bigint")
+    checked = {**staged(raw_tables(spark)), "projects": projects}
+    check_layer(spark, "staging", checked, staging_suites(), now, enforce)
+    build_marts(spark, projects, now, backfill, full_refresh)
+    marts = catalog_marts(spark)
+    check_layer(spark, "marts", marts, mart_suites(marts), now, enforce)
+    return spark.createDataFrame([*loaded.items(), *child_counts(spark).items()], "table string, n bigint")
 

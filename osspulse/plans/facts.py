@@ -1,7 +1,4 @@
-"""Facts and the bridge.
-
-`contributors=None` leaves the author key out, and with it the join, for plans that do not read it.
-"""
+"""Facts and the bridge."""
 
 from __future__ import annotations
 
@@ -13,15 +10,9 @@ from osspulse.operators.joins import lookup_join, scd2_join
 from osspulse.plans.activity import ACTIVITY_TYPES
 
 
-def _with_author(
-    rows: DataFrame, contributors: DataFrame | None, key_name: str, spread_by: str
-) -> tuple[DataFrame, list[Column]]:
-    if contributors is None:
-        return rows, []
+def _with_author(rows: DataFrame, contributors: DataFrame, key_name: str, spread_by: str) -> DataFrame:
     # Spread by a column that is read anyway.
-    take = {"contributor_key": key_name}
-    joined = lookup_join(rows, contributors, "author_login", "username", take, spread_by)
-    return joined, [F.col(key_name)]
+    return lookup_join(rows, contributors, "author_login", "username", {"contributor_key": key_name}, spread_by)
 
 
 def _hours(start: str, end: str) -> Column:
@@ -29,16 +20,16 @@ def _hours(start: str, end: str) -> Column:
 
 
 def fct_commits(
-    commits: DataFrame, repositories: DataFrame, contributors: DataFrame | None
+    commits: DataFrame, repositories: DataFrame, contributors: DataFrame
 ) -> DataFrame:
     """One row per commit, at the repository version of the author date."""
     moment = F.col("committed_at")
     rows = scd2_join(commits, repositories, F.col("repository"), F.to_date(moment))
-    rows, author = _with_author(rows, contributors, "contributor_key", "committed_at")
+    rows = _with_author(rows, contributors, "contributor_key", "committed_at")
     return rows.select(
         surrogate_key(F.col("repository"), F.col("commit_sha")).alias("commit_key"),
         "repository_key",
-        *author,
+        "contributor_key",
         date_key(moment).alias("date_key"),
         F.col("commit_sha").alias("commit_hash"),
         "committed_at",
@@ -47,15 +38,15 @@ def fct_commits(
 
 
 def fct_pull_requests(
-    pull_requests: DataFrame, repositories: DataFrame, contributors: DataFrame | None
+    pull_requests: DataFrame, repositories: DataFrame, contributors: DataFrame
 ) -> DataFrame:
     """One row per pull request, at the repository version of the opening day."""
     rows = scd2_join(pull_requests, repositories, F.col("repository"), F.to_date("created_at"))
-    rows, author = _with_author(rows, contributors, "author_key", "created_at")
+    rows = _with_author(rows, contributors, "author_key", "created_at")
     return rows.select(
         surrogate_key(F.col("repository"), F.col("pr_number")).alias("pr_key"),
         "repository_key",
-        *author,
+        "author_key",
         date_key(F.col("created_at")).alias("opened_date_key"),
         date_key(F.col("merged_at")).alias("merged_date_key"),
         F.col("merged_at").isNotNull().alias("is_merged"),
@@ -64,15 +55,15 @@ def fct_pull_requests(
 
 
 def fct_issues(
-    issues: DataFrame, repositories: DataFrame, contributors: DataFrame | None
+    issues: DataFrame, repositories: DataFrame, contributors: DataFrame
 ) -> DataFrame:
     """One row per issue. Closed goes by the state, the hours by the closing time."""
     rows = scd2_join(issues, repositories, F.col("repository"), F.to_date("created_at"))
-    rows, author = _with_author(rows, contributors, "author_key", "created_at")
+    rows = _with_author(rows, contributors, "author_key", "created_at")
     return rows.select(
         surrogate_key(F.col("repository"), F.col("issue_number")).alias("issue_key"),
         "repository_key",
-        *author,
+        "author_key",
         date_key(F.col("created_at")).alias("opened_date_key"),
         date_key(F.col("closed_at")).alias("closed_date_key"),
         (F.col("state") == "closed").alias("is_closed"),
@@ -150,9 +141,12 @@ def fct_contributor_activity_monthly(activity: DataFrame, contributors: DataFram
     )
 
 
-def bridge_issue_labels(issue_labels: DataFrame, labels: DataFrame) -> DataFrame:
-    """One row per issue and label, under the issue key of `fct_issues`."""
-    pairs = issue_labels.select("repository", "issue_number", "label_name").distinct()
-    joined = pairs.join(labels.select("label_name", "label_key"), "label_name")
+def bridge_issue_labels(issue_labels: DataFrame) -> DataFrame:
+    """One row per issue and label, under the issue key of `fct_issues`.
+
+    `dim_labels` has every label name, and its key follows from the name: no join, so no hot label.
+    """
+    named = issue_labels.filter(F.col("label_name").isNotNull())
+    pairs = named.select("repository", "issue_number", "label_name").distinct()
     issue = surrogate_key(F.col("repository"), F.col("issue_number"))
-    return joined.select(issue.alias("issue_key"), "label_key")
+    return pairs.select(issue.alias("issue_key"), surrogate_key(F.col("label_name")).alias("label_key"))

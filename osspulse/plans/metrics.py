@@ -107,12 +107,17 @@ def lorenz_curve(share: DataFrame) -> DataFrame:
     )
 
 
-def retention_heatmap(cohorts: DataFrame) -> DataFrame:
-    """`retention_cohort` limited to 24 months and the 36 latest cohorts, with a `yyyy-MM` label."""
-    shown = cohorts.filter(F.col("months_since") <= MAX_MONTHS_SINCE)
-    return recent_groups(shown, "cohort_month", MAX_COHORTS).withColumn(
-        "cohort", month_label(F.col("cohort_month"))
-    )
+def retention_heatmap(
+    cohorts: DataFrame, max_months: int | None = MAX_MONTHS_SINCE, max_cohorts: int | None = MAX_COHORTS
+) -> DataFrame:
+    """`retention_cohort` with a `yyyy-MM` label, limited to the first months and the latest cohorts.
+
+    None lifts a limit.
+    """
+    shown = cohorts if max_months is None else cohorts.filter(F.col("months_since") <= max_months)
+    if max_cohorts is not None:
+        shown = recent_groups(shown, "cohort_month", max_cohorts)
+    return shown.withColumn("cohort", month_label(F.col("cohort_month")))
 
 
 def release_cadence(gap_counts: DataFrame) -> DataFrame:
@@ -127,9 +132,10 @@ def release_gap_histogram(gap_counts: DataFrame, max_bins: int = MAX_BINS) -> Da
     most `max_bins` bins from the shortest to the longest gap.
     """
     low, high = F.min("gap_days"), F.max("gap_days")
-    steps = [base * 10**power for power in range(7) for base in (1, 2, 5)]
+    # Up to the longest gap that a day count can hold.
+    steps = [base * 10**power for power in range(10) for base in (1, 2, 5)]
     fitting = [
-        F.when(F.floor(high / step) - F.floor(low / step) + 1 <= max_bins, F.lit(step)) for step in steps
+        F.when(F.floor(high / step) - F.floor(low / step) + 1 <= max_bins, F.lit(step).cast("bigint")) for step in steps
     ]
     step = gap_counts.agg(F.coalesce(*fitting).cast("bigint")).scalar()
     start = (F.floor(F.col("gap_days") / step) * step).cast("bigint")

@@ -42,6 +42,14 @@ def _months(marts: Marts, key: str, date_from: date | None, date_to: date | None
     return F.broadcast(days.select(key, month_start(F.col("full_date")).alias("month")))
 
 
+def _between(fact: DataFrame, key: str, date_from: date | None, date_to: date | None) -> DataFrame:
+    """Rows whose day key lies in the range: implied by the join with the days, but known to the scan."""
+    if date_from is None or date_to is None:
+        return fact
+    low, high = (int(day.strftime("%Y%m%d")) for day in (date_from, date_to))
+    return fact.filter(F.col(key).between(low, high))
+
+
 def _recent(fact: DataFrame, key: str, as_of: datetime, days: int) -> DataFrame:
     """Rows whose day key can fall into the last `days` days.
 
@@ -134,7 +142,7 @@ def commits_per_month(
     marts: Marts, repos: Repos = None, date_from: date | None = None, date_to: date | None = None
 ) -> DataFrame:
     counted = (
-        marts["fct_commits"]
+        _between(marts["fct_commits"], "date_key", date_from, date_to)
         .join(_months(marts, "date_key", date_from, date_to), "date_key")
         .groupBy("repository_key", "month")
         .agg(F.count("*").alias("n"))
@@ -252,7 +260,7 @@ def pr_velocity_monthly(
     marts: Marts, repos: Repos = None, date_from: date | None = None, date_to: date | None = None
 ) -> DataFrame:
     """Median hours to merge by month of merging."""
-    merged = marts["fct_pull_requests"].filter("is_merged")
+    merged = _between(marts["fct_pull_requests"], "merged_date_key", date_from, date_to).filter("is_merged")
     counted = (
         merged.join(_months(marts, "merged_date_key", date_from, date_to), "merged_date_key")
         .groupBy("repository_key", "month", "time_to_merge_hours")
@@ -271,7 +279,7 @@ def pr_throughput_monthly(
 ) -> DataFrame:
     """Opened, merged and merge rate by month of opening."""
     counted = (
-        marts["fct_pull_requests"]
+        _between(marts["fct_pull_requests"], "opened_date_key", date_from, date_to)
         .join(_months(marts, "opened_date_key", date_from, date_to), "opened_date_key")
         .groupBy("repository_key", "month")
         .agg(
@@ -297,7 +305,7 @@ def issue_resolution_monthly(
 ) -> DataFrame:
     """Median hours to close and close rate by month of opening."""
     counted = (
-        marts["fct_issues"]
+        _between(marts["fct_issues"], "opened_date_key", date_from, date_to)
         .join(_months(marts, "opened_date_key", date_from, date_to), "opened_date_key")
         .groupBy("repository_key", "month", "time_to_close_hours")
         .agg(

@@ -104,11 +104,13 @@ def adjacent_ranges(key: str, lower: str, upper: str, severity: str = "error") -
     return Check(f"adjacent_ranges({key},{lower},{upper})", severity, find=find)
 
 
-def row_count(low: int, high: int, severity: str = "error") -> Check:
-    """Number of rows within the closed range."""
+def row_count(low: int, high: int | None, severity: str = "error") -> Check:
+    """Number of rows within the closed range; no `high`, no upper bound."""
 
     def find(df: DataFrame) -> DataFrame:
-        return df.agg(F.count("*").alias("n_rows")).filter(~F.col("n_rows").between(low, high))
+        n = F.col("n_rows")
+        sound = n >= low if high is None else n.between(low, high)
+        return df.agg(F.count("*").alias("n_rows")).filter(~sound)
 
     return Check(f"row_count({low},{high})", severity, find=find)
 

@@ -29,10 +29,6 @@ MIN_ROWS, MAX_ROWS = 1, 10_000_000
 WARN_HOURS, ERROR_HOURS, DOWNLOADS_ERROR_HOURS = 12, 24, 48
 
 
-def _size(severity: str) -> Check:
-    return row_count(MIN_ROWS, MAX_ROWS, severity)
-
-
 def _key(column: str) -> list[Check]:
     return [not_null(column), unique(column)]
 
@@ -41,7 +37,14 @@ def _measure(column: str) -> list[Check]:
     return [not_null(column), expression(f"{column} >= 0")]
 
 
-def mart_suites(marts: Mapping[str, DataFrame]) -> dict[str, list[Check]]:
+def mart_suites(
+    marts: Mapping[str, DataFrame], min_rows: int = MIN_ROWS, max_rows: int | None = MAX_ROWS
+) -> dict[str, list[Check]]:
+    """Checks by mart. `max_rows=None` lifts the upper bound of a mart's size."""
+
+    def _size(severity: str) -> Check:
+        return row_count(min_rows, max_rows, severity)
+
     def fk(column: str, parent: str, parent_column: str) -> Check:
         return relationships(column, marts[parent], parent_column)
 

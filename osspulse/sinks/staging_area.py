@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """`df` computed once and kept in the shared checkpoint folder, where lost executors do not matter.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`. A local session without it
-    gets a temporary folder; a cluster without it recomputes the frame wherever it is used.
+    The folder is the one named in `spark.checkpoint.dir`; without one this fails, on any master.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir")
-        if named is None and not context.master.startswith("local"):
-            return df
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="osspulse-checkpoint-"))
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(named)
     return df.checkpoint()

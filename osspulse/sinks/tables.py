@@ -1,15 +1,19 @@
 """Table writes: full rebuilds, keyed merges, snapshots.
 
-Tables are partitioned Parquet tables of the session catalog. A merge rewrites only the partitions
-that hold keys of the batch: the cost of a run follows the batch, not the table. The rewrite is one
-dynamic partition overwrite, which moves its files into place when the whole job has succeeded, so
-lost tasks and executors are simply retried and a failed run can be repeated.
+Tables are Parquet tables of the session catalog. Every write puts its files in a folder of its own and
+then switches the table, or the partitions it touches, to that folder; folders that nothing points to
+any more are deleted last. A run that stops before the switch has changed nothing, one that stops
+between the switches of two partitions leaves whole partitions, old or new, and repeating the batch
+completes it. Nothing is renamed, so object stores suit. A merge rewrites only the partitions that hold
+keys of the batch: the cost of a run follows the batch, not the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 from datetime import datetime
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,45 +21,147 @@ from pyspark.sql import types as T
 
 from osspulse.functions import utc_naive
 from osspulse.operators.history import OPEN_END, scd2_snapshot
-from osspulse.operators.joins import BROADCAST_ROWS
 from osspulse.operators.merge import latest_in_batch
 from osspulse.sinks.contracts import assert_contract, assert_same_schema
 from osspulse.sinks.staging_area import cut_lineage
 from osspulse.sources.tables import fresh_table
 
+# Fixed value: how a folder names the partition of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+# Partitions added or dropped by one statement.
+PER_STATEMENT = 200
 
-def _create(df: DataFrame, name: str, partition_by: str | None) -> None:
-    writer = df.write.format("parquet").mode("overwrite")
+
+def _filesystem(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _delete(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        fs, target = _filesystem(spark, path)
+        fs.delete(target, True)
+
+
+def _new_folder(spark: SparkSession, name: str) -> str:
+    database, _, table = name.rpartition(".")
+    root = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}"
+
+
+def _write_files(df: DataFrame, path: str, partition_by: str | None) -> None:
     if partition_by:
         # Rebalanced by partition value: large values are split over several files, small ones do
         # not leave a file per task.
-        writer = df.hint("rebalance", partition_by).write.format("parquet").mode("overwrite")
-        writer = writer.partitionBy(partition_by)
-    writer.saveAsTable(name)
+        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
+    else:
+        df.write.parquet(path)
+
 
+def _written_partitions(spark: SparkSession, path: str, partition_by: str) -> dict[str, str]:
+    """Folder of each partition value below `path`, by the value as its folder names it."""
+    fs, target = _filesystem(spark, path)
+    start = f"{partition_by}="
+    names = (status.getPath().getName() for status in fs.listStatus(target))
+    return {unquote(name.removeprefix(start)): f"{path}/{name}" for name in names if name.startswith(start)}
 
-def _overwrite_partitions(df: DataFrame, name: str, partition_by: str) -> None:
-    columns = df.sparkSession.table(name).columns
-    (
-        df.select(*columns)
-        .hint("rebalance", partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(name)
-    )
+
+def _known_partitions(spark: SparkSession, name: str, partition_by: str) -> set[str]:
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    return {unquote(row[0].removeprefix(f"{partition_by}=")) for row in rows}
+
+
+def _spec(partition_by: str, value: str) -> str:
+    literal = "null" if value == NO_VALUE else "'" + value.replace("'", "\\'") + "'"
+    return f"PARTITION ({partition_by} = {literal})"
+
+
+def _location(spark: SparkSession, name: str, partition: str = "") -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name} {partition}").collect()
+    return next(row[1] for row in rows if row[0] == "Location")
+
+
+def _switch_partitions(
+    spark: SparkSession, name: str, partition_by: str, folders: dict[str, str], gone: Iterable[str]
+) -> None:
+    """Point partitions to their new folders, drop the `gone` ones, then delete what they pointed to."""
+    known = _known_partitions(spark, name, partition_by)
+    gone = sorted(set(gone) & known)
+    again = sorted(set(folders) & known)
+    left = [_location(spark, name, _spec(partition_by, value)) for value in [*again, *gone]]
+    new = sorted(set(folders) - known)
+    for at in range(0, len(new), PER_STATEMENT):
+        added = " ".join(
+            f"{_spec(partition_by, value)} LOCATION '{folders[value]}'" for value in new[at : at + PER_STATEMENT]
+        )
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {added}")
+    for value in again:
+        spark.sql(f"ALTER TABLE {name} {_spec(partition_by, value)} SET LOCATION '{folders[value]}'")
+    for at in range(0, len(gone), PER_STATEMENT):
+        dropped = ", ".join(_spec(partition_by, value) for value in gone[at : at + PER_STATEMENT])
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {dropped}")
+    spark.catalog.refreshTable(name)
+    _delete(spark, left)
+
+
+def _create(df: DataFrame, name: str, partition_by: str | None) -> None:
+    writer = df.write.format("parquet").option("path", _new_folder(df.sparkSession, name))
+    if partition_by:
+        writer = df.hint("rebalance", partition_by).write.format("parquet").partitionBy(partition_by)
+        writer = writer.option("path", _new_folder(df.sparkSession, name))
+    writer.mode("overwrite").saveAsTable(name)
 
 
 def write_table(
     df: DataFrame, name: str, schema: T.StructType | None = None, partition_by: str | None = None
 ) -> None:
-    """Full rebuild beside the old table, which is replaced once the new one is complete."""
+    """Full rebuild beside the old rows, to which the table is switched once it is complete.
+
+    Readers find the table at any time. A partitioned table is switched partition by partition.
+    """
     spark = df.sparkSession
     if schema is not None:
         df = assert_contract(df, schema)
-    fresh = f"{name}__next"
-    _create(df, fresh, partition_by)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+    if not spark.catalog.tableExists(name):
+        _create(df, name, partition_by)
+        return
+    path = _new_folder(spark, name)
+    old = spark.table(name)
+    rest = [c for c in df.columns if c != partition_by]
+    same = {(f.name, f.dataType) for f in old.schema} == {(f.name, f.dataType) for f in df.schema}
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    if not same or parts != ([partition_by] if partition_by else []):
+        # Another layout is another table.
+        fresh = f"{name}__next"
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        _create(df, fresh, partition_by)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
+        return
+    _write_files(df.select(*rest, *([partition_by] if partition_by else [])), path, partition_by)
+    if partition_by:
+        folders = _written_partitions(spark, path, partition_by)
+        known = _known_partitions(spark, name, partition_by)
+        _switch_partitions(spark, name, partition_by, folders, known - set(folders))
+        return
+    before = _location(spark, name)
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    _delete(spark, [before])
+
+
+def _text(value) -> str:
+    return NO_VALUE if value is None else str(value)
+
+
+def _replace_partitions(df: DataFrame, name: str, partition_by: str, touched: Iterable) -> None:
+    """`df` in place of the `touched` partitions; those of them without rows in it are dropped."""
+    spark = df.sparkSession
+    path = _new_folder(spark, name)
+    _write_files(df.select(*spark.table(name).columns), path, partition_by)
+    folders = _written_partitions(spark, path, partition_by)
+    gone = {_text(value) for value in touched} - set(folders)
+    _switch_partitions(spark, name, partition_by, folders, gone)
 
 
 def merge_table(
@@ -65,23 +171,26 @@ def merge_table(
     keys: Sequence[str],
     partition_by: str,
     *,
-    order_col: str | None = None,
+    order_by: Sequence[str] = (),
+    transient: Sequence[str] = (),
     schema: T.StructType | None = None,
     key_fixes_partition: bool = False,
 ) -> int:
     """Replace the table's rows that have a key of the batch by the batch; returns the batch's rows.
 
-    With `order_col` the batch is first reduced to its newest row per key (an upsert); without, its
-    repetitions are kept (delete and insert). The first batch creates the table; a later one with
-    other columns fails. `partition_by` must not be NULL.
+    With `order_by` the batch is first reduced to its newest row per key (an upsert); without, its
+    repetitions are kept (delete and insert). `transient` columns serve that order and are not stored.
+    The first batch creates the table; a later one with other columns fails. Rows without a value of
+    `partition_by` have a partition of their own.
 
     A key may move to another partition, so its old one is looked up in the key columns of the
     table. `key_fixes_partition` says that the key implies the partition, which saves that look.
     """
     if schema is not None:
         batch = assert_contract(batch, schema)
-    if order_col is not None:
-        batch = latest_in_batch(batch, keys, order_col)
+    if order_by:
+        batch = latest_in_batch(batch, keys, order_by)
+    batch = batch.drop(*transient)
     if not spark.catalog.tableExists(name):
         _create(batch, name, partition_by)
         return spark.table(name).count()
@@ -89,38 +198,21 @@ def merge_table(
     target = fresh_table(spark, name)
     batch = cut_lineage(assert_same_schema(target, batch))
     per_value = batch.groupBy(partition_by).agg(F.count("*").alias("n")).collect()
-    arriving = {row[0] for row in per_value}
-    if None in arriving:
-        raise ValueError(f"{name}: the batch has rows without {partition_by}")
     rows = sum(row["n"] for row in per_value)
-    touched = set(arriving)
+    touched = {row[0] for row in per_value}
     batch_keys = batch.select(*keys).distinct()
-    if rows <= BROADCAST_ROWS:
-        # Counted, so that looking keys up in the table shuffles none of the table.
-        batch_keys = F.broadcast(batch_keys)
     if not key_fixes_partition:
         places = target.select(*dict.fromkeys([*keys, partition_by]))
         known = places.join(batch_keys, list(keys), "left_semi")
         touched |= {row[0] for row in known.select(partition_by).distinct().collect()}
     if not touched:
         return 0
-
-    def kept(values: set) -> DataFrame:
-        # Partition values, not rows: a list as long as the partitions the batch touches.
-        chosen = fresh_table(spark, name).filter(F.col(partition_by).isin(sorted(values)))
-        return chosen.join(batch_keys, list(keys), "left_anti")
-
-    # A partition all of whose rows move away gets no file, and so is not overwritten: drop it.
-    # That comes first, as a run that stops half-way is repeated with the same batch: it brings
-    # missing rows again, but would not know of rows left behind.
-    leaving = touched - arriving
-    if leaving:
-        stays = {row[0] for row in kept(leaving).select(partition_by).distinct().collect()}
-        for value in sorted(leaving - stays):
-            literal = value if isinstance(value, int) else f"'{value}'"
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({partition_by} = {literal})")
-        touched = arriving | stays
-    _overwrite_partitions(kept(touched).unionByName(batch), name, partition_by)
+    # Partition values, not rows: a list as long as the partitions the batch touches.
+    chosen = F.col(partition_by).isin([value for value in touched if value is not None])
+    if None in touched:
+        chosen = chosen | F.col(partition_by).isNull()
+    kept = fresh_table(spark, name).filter(chosen).join(batch_keys, list(keys), "left_anti")
+    _replace_partitions(kept.unionByName(batch), name, partition_by, touched)
     return rows
 
 
@@ -155,15 +247,16 @@ def snapshot_table(
     today = utc_naive(run_ts).date().isoformat()
     live = table.filter(F.col("closed_on").isin(OPEN_END, today)).select(*history_columns)
     after = scd2_snapshot(live, current, key, check_cols, run_ts)
-    _overwrite_partitions(after.withColumn("closed_on", closed_on), name, "closed_on")
+    _replace_partitions(after.withColumn("closed_on", closed_on), name, "closed_on", [OPEN_END, today])
 
 
-def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_counts(tables: dict[str, DataFrame], spark: SparkSession | None = None) -> DataFrame:
     """`table, n` for every given frame; no rows for none."""
-    if not tables:
-        raise ValueError("row_counts needs at least one table")
     result = None
     for name, df in tables.items():
         one = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
         result = one if result is None else result.unionByName(one)
+    if result is None:
+        session = spark or SparkSession.active()
+        return session.createDataFrame([], "table string, n bigint")
     return result

@@ -3,6 +3,7 @@
 from osspulse.sources.calendar import date_spine, spine_between
 from osspulse.sources.downloads import MIRROR_INSTALLERS, daily_downloads, read_download_log
 from osspulse.sources.landed import (
+    PAGE,
     attributed,
     landing_path,
     read_commits,
@@ -19,6 +20,7 @@ from osspulse.sources.tables import fresh_table, has_marts, table_or_empty
 
 __all__ = [
     "MIRROR_INSTALLERS",
+    "PAGE",
     "attributed",
     "daily_downloads",
     "date_spine",

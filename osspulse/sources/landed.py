@@ -1,16 +1,16 @@
 """Landed API responses.
 
-Layout: `<root>/<endpoint>/repo_owner=<owner>/repo_name=<name>/*.json`, one response page
-(a JSON array or object) per file, or JSON lines with `multi_line=False`, which is the
-splittable form to prefer once the landing area is large. The repository a record belongs to
-is taken from the directory, so a load of some repositories prunes to their directories.
+Layout: `<root>/<endpoint>/load_day=<yyyy-mm-dd>/repo_owner=<owner>/repo_name=<name>/*.json`: JSON lines,
+the splittable form, or with `multi_line=True` one response page (a JSON array or object) per file.
+The day a record landed and the repository it belongs to are taken from the directories, so a load of
+some days and repositories reads their directories only.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,15 +19,15 @@ from pyspark.sql import types as T
 from osspulse import schemas
 from osspulse.functions import utc_literal
 
-REPO_PARTITIONS = T.StructType(
-    [T.StructField("repo_owner", T.StringType()), T.StructField("repo_name", T.StringType())]
-)
+DIRECTORIES = schemas.record(load_day=schemas.DATE, repo_owner=schemas.STRING, repo_name=schemas.STRING)
+# Which file a record came from, in the order of landing; it settles equal versions and is not stored.
+PAGE = "_page"
 
 
-def landing_path(root: str, endpoint: str, repo: str) -> str:
-    """Directory for one endpoint of `owner/name`."""
+def landing_path(root: str, endpoint: str, repo: str, load_day: date) -> str:
+    """Directory for what landed of one endpoint of `owner/name` on one day."""
     owner, name = repo.split("/")
-    return os.path.join(root, endpoint, f"repo_owner={owner}", f"repo_name={name}")
+    return os.path.join(root, endpoint, f"load_day={load_day}", f"repo_owner={owner}", f"repo_name={name}")
 
 
 def stamp(df: DataFrame, load_ts: datetime | Column, **constants: str | Column) -> DataFrame:
@@ -38,36 +38,49 @@ def stamp(df: DataFrame, load_ts: datetime | Column, **constants: str | Column)
     return df.withColumns(columns)
 
 
-def _configured(reader, endpoint: str, multi_line: bool):
+def _read(reader, root: str, endpoint: str, multi_line: bool) -> DataFrame:
     record = schemas.ENDPOINTS[endpoint]
-    return (
-        reader.schema(T.StructType(record.fields + REPO_PARTITIONS.fields))
+    rows = (
+        reader.schema(T.StructType(record.fields + DIRECTORIES.fields))
         .option("mode", "FAILFAST")
         .option("multiLine", multi_line)
+        .json(os.path.join(root, endpoint))
     )
+    modified = F.unix_micros("_metadata.file_modification_time")
+    return rows.withColumn(PAGE, F.struct(modified.alias("at"), F.col("_metadata.file_name").alias("file")))
 
 
-def attributed(rows: DataFrame, endpoint: str, load_ts: datetime | Column) -> DataFrame:
-    """Landed records with the repository from their directory and the load time."""
+def attributed(rows: DataFrame, endpoint: str) -> DataFrame:
+    """Landed records with the repository and the landing day of their directory, and their page."""
     repo = F.concat_ws("/", "repo_owner", "repo_name")
-    return stamp(rows, load_ts, _repo=repo).select(*schemas.RAW[endpoint].fieldNames())
+    stamped = stamp(rows, F.col("load_day").cast("timestamp"), _repo=repo)
+    return stamped.select(*schemas.RAW[endpoint].fieldNames(), PAGE)
 
 
 def read_endpoint(
     spark: SparkSession,
     root: str,
     endpoint: str,
-    load_ts: datetime,
-    repos: Sequence[str] | None = None,
-    multi_line: bool = True,
+    first_day: date | None = None,
+    last_day: date | None = None,
+    repos: Sequence[str] | DataFrame | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Records of one endpoint, with `_repo` and `_loaded_at`.
+    """Records of one endpoint, with `_repo`, `_loaded_at` (the landing day) and `_page`.
 
-    `repos` limits the load to those `owner/name`s by directory. A record that does not fit
-    the schema fails the read.
+    The days and `repos` (`owner/name`s: a list, or a one-column frame for many) limit the load by
+    directory. A record that does not fit the schema fails the read.
     """
-    rows = _configured(spark.read, endpoint, multi_line).json(os.path.join(root, endpoint))
-    if repos is not None:
+    rows = _read(spark.read, root, endpoint, multi_line)
+    if first_day is not None:
+        rows = rows.filter(F.col("load_day") >= F.lit(first_day))
+    if last_day is not None:
+        rows = rows.filter(F.col("load_day") <= F.lit(last_day))
+    if isinstance(repos, DataFrame):
+        parts = F.split(repos.columns[0], "/")
+        names = repos.select(parts[0].alias("repo_owner"), parts[1].alias("repo_name"))
+        rows = rows.join(names, ["repo_owner", "repo_name"], "left_semi")
+    elif repos is not None:
         owned: dict[str, list[str]] = {}
         for repo in repos:
             owner, name = repo.split("/")
@@ -76,33 +89,32 @@ def read_endpoint(
         for owner, names in owned.items():
             wanted = wanted | ((F.col("repo_owner") == owner) & F.col("repo_name").isin(names))
         rows = rows.filter(wanted)
-    return attributed(rows, endpoint, load_ts)
+    return attributed(rows, endpoint)
 
 
 def stream_endpoint(
-    spark: SparkSession, root: str, endpoint: str, multi_line: bool = True, **options: str
+    spark: SparkSession, root: str, endpoint: str, multi_line: bool = False, **options: str
 ) -> DataFrame:
     """Landed records as a stream: each file is delivered once. Pass batches to `attributed`."""
-    reader = _configured(spark.readStream, endpoint, multi_line).options(**options)
-    return reader.json(os.path.join(root, endpoint))
+    return _read(spark.readStream.options(**options), root, endpoint, multi_line)
 
 
-def read_repositories(spark: SparkSession, root: str, load_ts: datetime, **options) -> DataFrame:
-    return read_endpoint(spark, root, "repositories", load_ts, **options)
+def read_repositories(spark: SparkSession, root: str, **options) -> DataFrame:
+    return read_endpoint(spark, root, "repositories", **options)
 
 
-def read_commits(spark: SparkSession, root: str, load_ts: datetime, **options) -> DataFrame:
-    return read_endpoint(spark, root, "commits", load_ts, **options)
+def read_commits(spark: SparkSession, root: str, **options) -> DataFrame:
+    return read_endpoint(spark, root, "commits", **options)
 
 
-def read_issues(spark: SparkSession, root: str, load_ts: datetime, **options) -> DataFrame:
+def read_issues(spark: SparkSession, root: str, **options) -> DataFrame:
     """Issues, pull requests among them: those carry `pull_request.url`."""
-    return read_endpoint(spark, root, "issues", load_ts, **options)
+    return read_endpoint(spark, root, "issues", **options)
 
 
-def read_pull_requests(spark: SparkSession, root: str, load_ts: datetime, **options) -> DataFrame:
-    return read_endpoint(spark, root, "pull_requests", load_ts, **options)
+def read_pull_requests(spark: SparkSession, root: str, **options) -> DataFrame:
+    return read_endpoint(spark, root, "pull_requests", **options)
 
 
-def read_releases(spark: SparkSession, root: str, load_ts: datetime, **options) -> DataFrame:
-    return read_endpoint(spark, root, "releases", load_ts, **options)
+def read_releases(spark: SparkSession, root: str, **options) -> DataFrame:
+    return read_endpoint(spark, root, "releases", **options)

@@ -17,7 +17,7 @@ from osspulse.operators.merge import latest_in_batch
 from osspulse.pipeline import RAW_PARTITION, RAW_TABLES, with_month
 from osspulse.plans import dims, staging
 from osspulse.sinks import Layer, ensure_layers, merge_table, snapshot_table
-from osspulse.sources import attributed, stream_endpoint
+from osspulse.sources import PAGE, attributed, stream_endpoint
 
 Clock = Callable[[], datetime]
 
@@ -39,9 +39,8 @@ def start_load(
     endpoint: str,
     checkpoint: str,
     *,
-    clock: Clock = utc_now,
     available_now: bool = True,
-    multi_line: bool = True,
+    multi_line: bool = False,
     **options: str,
 ) -> StreamingQuery:
     """Upsert every landed file of an endpoint into its raw table, once."""
@@ -50,14 +49,15 @@ def start_load(
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         session = batch.sparkSession
-        rows = with_month(attributed(batch, endpoint, clock()), table)
+        rows = with_month(attributed(batch, endpoint), table)
         merge_table(
             session,
             Layer.RAW.table(endpoint),
             rows,
             table.keys,
             RAW_PARTITION,
-            order_col=table.version,
+            order_by=[table.version, "_loaded_at", PAGE],
+            transient=[PAGE],
             key_fixes_partition=table.key_fixes_partition,
         )
 
@@ -79,12 +79,12 @@ def start_history(
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
         now = clock()
-        seen = staging.stg_repositories(attributed(batch, "repositories", now))
-        newest = latest_in_batch(seen, ["repository_id"], "updated_at")
+        landed = attributed(batch, "repositories")
+        newest = latest_in_batch(landed, ["id"], ["updated_at", "_loaded_at", PAGE])
         snapshot_table(
             batch.sparkSession,
             Layer.SNAPSHOTS.table("snap_repositories"),
-            newest,
+            staging.stg_repositories(newest),
             "repository_id",
             dims.VERSIONED_ATTRIBUTES,
             now,

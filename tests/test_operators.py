@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from osspulse.operators import (
     after_watermark,
-    broadcast_if_small,
     by_dates,
     by_repos,
     child_rows,
@@ -120,12 +119,6 @@ def test_lookup_join_without_key(spark):
     assert tuples(joined) == [(1, "ann", "K"), (2, None, None), (3, "eve", None), (4, None, None)]
 
 
-def test_broadcast_only_when_counted_small(spark):
-    df = spark.range(10)
-    assert broadcast_if_small(df, 9) is df
-    assert broadcast_if_small(df, 10) is not df
-
-
 def test_latest_per_key_breaks_ties(spark):
     df = spark.createDataFrame(
         [("a", 1, "x", 5), ("a", 2, "x", 6), ("a", 2, "y", 7), ("b", 1, "z", None)],
@@ -138,9 +131,9 @@ def test_upsert_keeps_one_row_per_key(spark):
     schema = "id int, v string, at int"
     target = spark.createDataFrame([(1, "old", 1), (2, "old", 1)], schema)
     batch = spark.createDataFrame([(2, "new", 2), (2, "newer", 3), (3, "new", 2)], schema)
-    once = upsert(target, batch, ["id"], "at")
+    once = upsert(target, batch, ["id"], ["at"])
     assert tuples(once) == [(1, "old", 1), (2, "newer", 3), (3, "new", 2)]
-    assert tuples(upsert(once, batch, ["id"], "at")) == tuples(once)
+    assert tuples(upsert(once, batch, ["id"], ["at"])) == tuples(once)
 
 
 def test_delete_insert_keeps_repetitions(spark):

@@ -74,7 +74,7 @@ def test_merge_touches_only_partitions_of_the_batch(spark):
 
 def test_merge_upserts_with_order_and_keeps_repetitions_without(spark):
     batch = spark.createDataFrame([(1, 1, "a"), (1, 1, "b")], SCHEMA)
-    assert merge_table(spark, "t.u", batch, ["id"], "day", order_col="v") == 1
+    assert merge_table(spark, "t.u", batch, ["id"], "day", order_by=["v"]) == 1
     assert rows(spark, "t.u") == [(1, 1, "b")]
     assert merge_table(spark, "t.d", batch, ["id"], "day") == 2
     assert merge_table(spark, "t.d", batch, ["id"], "day") == 2
@@ -86,8 +86,60 @@ def test_merge_fails_on_schema_drift(spark):
     merge_table(spark, "t.s", batch, ["id"], "day")
     with pytest.raises(ContractError):
         merge_table(spark, "t.s", batch.withColumn("w", F.lit(1)), ["id"], "day")
-    with pytest.raises(ValueError, match="without day"):
-        merge_table(spark, "t.s", spark.createDataFrame([(2, None, "a")], SCHEMA), ["id"], "day")
+
+
+def test_rows_without_a_partition_value(spark):
+    merge = lambda data: merge_table(spark, "t.n", spark.createDataFrame(data, SCHEMA), ["id"], "day")
+    merge([(1, None, "a"), (2, 1, "a")])
+    for _ in range(3):
+        assert merge([(1, None, "b"), (3, None, "b")]) == 2
+        found = {(r["id"], r["day"], r["v"]) for r in spark.table("t.n").collect()}
+        assert found == {(1, None, "b"), (2, 1, "a"), (3, None, "b")}
+    merge([(1, 1, "c"), (3, 2, "c")])
+    assert rows(spark, "t.n") == [(1, 1, "c"), (2, 1, "a"), (3, 2, "c")]
+    assert {r[0] for r in spark.sql("SHOW PARTITIONS t.n").collect()} == {"day=1", "day=2"}
+
+
+def test_a_run_that_stops_before_or_between_switches(spark, monkeypatch):
+    from osspulse.sinks import tables
+
+    batch = lambda data: spark.createDataFrame(data, SCHEMA)
+    merge_table(spark, "t.f", batch([(1, 1, "a"), (2, 1, "a"), (3, 2, "a")]), ["id"], "day")
+    later = batch([(1, 2, "b"), (4, 3, "b")])
+    whole = tables._switch_partitions
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    def half(spark, name, partition_by, folders, gone):
+        some = {value: folders[value] for value in sorted(folders)[1:]}
+        whole(spark, name, partition_by, some, [])
+        raise RuntimeError("stopped")
+
+    for broken in (stop, half):
+        monkeypatch.setattr(tables, "_switch_partitions", broken)
+        with pytest.raises(RuntimeError, match="stopped"):
+            merge_table(spark, "t.f", later, ["id"], "day")
+        monkeypatch.setattr(tables, "_switch_partitions", whole)
+        assert {(2, 1, "a"), (3, 2, "a")} <= set(rows(spark, "t.f"))  # kept rows are never gone
+        if broken is stop:
+            assert (1, 1, "a") in rows(spark, "t.f")
+    merge_table(spark, "t.f", later, ["id"], "day")
+    assert rows(spark, "t.f") == [(1, 2, "b"), (2, 1, "a"), (3, 2, "a"), (4, 3, "b")]
+
+    write_table(batch([(1, 1, "a")]), "t.w")
+    monkeypatch.setattr(tables, "_write_files", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        write_table(batch([(2, 2, "b")]), "t.w")
+    assert rows(spark, "t.w") == [(1, 1, "a")]
+
+
+def test_partitioned_rebuild(spark):
+    batch = lambda data: spark.createDataFrame(data, SCHEMA)
+    write_table(batch([(1, 1, "a"), (2, 2, "a"), (9, None, "a")]), "t.r", partition_by="day")
+    write_table(batch([(3, 2, "b"), (4, 3, "b")]), "t.r", partition_by="day")
+    assert rows(spark, "t.r") == [(3, 2, "b"), (4, 3, "b")]
+    assert {r[0] for r in spark.sql("SHOW PARTITIONS t.r").collect()} == {"day=2", "day=3"}
 
 
 def test_snapshot_table_over_runs(spark):
@@ -116,3 +168,4 @@ def test_table_or_empty_and_row_counts(spark):
     assert empty.schema == schema
     counts = row_counts({"none": empty, "two": spark.range(2)})
     assert {r["table"]: r["n"] for r in counts.collect()} == {"none": 0, "two": 2}
+    assert row_counts({}).columns == ["table", "n"] and row_counts({}).count() == 0

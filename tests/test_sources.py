@@ -1,18 +1,17 @@
 from __future__ import annotations
 
-import json
 from datetime import date, datetime
 
 import pytest
-from landing import REPO, commit, records, write_landing, write_projects
+from landing import LANDED, REPO, commit, records, write_landing, write_projects
 from pyspark.sql import functions as F
 
 from osspulse import schemas
 from osspulse.plans import staging
 from osspulse.sources import (
+    PAGE,
     daily_downloads,
     date_spine,
-    landing_path,
     read_commits,
     read_download_log,
     read_issues,
@@ -43,45 +42,40 @@ def test_stamp_wins_over_record_fields(spark):
 
 def test_landed_records(spark, tmp_path):
     write_landing(tmp_path, records())
-    write_landing(tmp_path, {"commits": [commit("zz", "zoe", "2024-01-01T00:00:00Z")]}, "other/one")
-    commits = read_commits(spark, str(tmp_path), NOW)
-    assert commits.schema.fieldNames() == schemas.RAW["commits"].fieldNames()
-    assert {(r["_repo"], r["sha"]) for r in commits.collect()} == {
-        (REPO, "abc123"),
-        (REPO, "def456"),
-        ("other/one", "zz"),
+    later = date(2025, 3, 5)
+    write_landing(tmp_path, {"commits": [commit("zz", "zoe", "2024-01-01T00:00:00Z")]}, "other/one", later)
+    commits = read_commits(spark, str(tmp_path))
+    assert commits.schema.fieldNames() == [*schemas.RAW["commits"].fieldNames(), PAGE]
+    assert {(r["_repo"], r["sha"], r["_loaded_at"].date()) for r in commits.collect()} == {
+        *((REPO, f"lamp-{i}", LANDED) for i in (1, 2, 3)),
+        ("other/one", "zz", later),
     }
-    assert read_commits(spark, str(tmp_path), NOW, repos=["other/one"]).count() == 1
-    assert read_commits(spark, str(tmp_path), NOW, repos=[]).count() == 0
-    assert read_repositories(spark, str(tmp_path), NOW).first()["full_name"] == REPO
+    assert {r[PAGE]["file"] for r in commits.collect()} == {"page-1.json"}
+    frame = spark.createDataFrame([("other/one",), ("no/one",)], "repo string")
+    for repos in (["other/one"], frame):
+        assert read_commits(spark, str(tmp_path), repos=repos).count() == 1
+    assert read_commits(spark, str(tmp_path), repos=[]).count() == 0
+    assert read_commits(spark, str(tmp_path), first_day=later).count() == 1
+    assert read_commits(spark, str(tmp_path), last_day=LANDED).count() == 3
+    assert read_repositories(spark, str(tmp_path)).first()["full_name"] == REPO
 
 
-def test_missing_fields_and_lists_are_null(spark, tmp_path):
-    folder = tmp_path / "issues" / "repo_owner=a" / "repo_name=a"
-    folder.mkdir(parents=True)
-    (folder / "p.json").write_text(json.dumps([{"number": 1, "state": "open"}]))
-    row = staging.stg_issues(read_issues(spark, str(tmp_path), NOW)).first()
-    assert (row["issue_number"], row["author_login"], row["closed_at"]) == (1, None, None)
-    assert staging.stg_issue_labels(read_issues(spark, str(tmp_path), NOW)).count() == 0
-
+def test_response_pages(spark, tmp_path):
+    write_landing(tmp_path, records(), multi_line=True)
+    assert read_commits(spark, str(tmp_path), multi_line=True).count() == 3
 
-def test_json_lines(spark, tmp_path):
-    import os
 
-    folder = landing_path(str(tmp_path), "commits", "a/a")
-    os.makedirs(folder)
-    with open(f"{folder}/part.json", "w") as file:
-        for i in range(3):
-            file.write(json.dumps(commit(f"s{i}", "x", "2024-01-01T00:00:00Z")) + "\n")
-    assert read_commits(spark, str(tmp_path), NOW, multi_line=False).count() == 3
+def test_missing_fields_and_lists_are_null(spark, tmp_path):
+    write_landing(tmp_path, {"issues": [{"number": 1, "state": "open"}]}, "a/a")
+    row = staging.stg_issues(read_issues(spark, str(tmp_path))).first()
+    assert (row["issue_number"], row["author_login"], row["closed_at"]) == (1, None, None)
+    assert staging.stg_issue_labels(read_issues(spark, str(tmp_path))).count() == 0
 
 
 def test_a_record_that_does_not_fit_fails(spark, tmp_path):
-    folder = tmp_path / "issues" / "repo_owner=a" / "repo_name=a"
-    folder.mkdir(parents=True)
-    (folder / "p.json").write_text('[{"number": "many"}]')
+    write_landing(tmp_path, {"issues": [{"number": "many"}]}, "a/a")
     with pytest.raises(Exception, match="MALFORMED_RECORD|FAILFAST"):
-        read_issues(spark, str(tmp_path), NOW).collect()
+        read_issues(spark, str(tmp_path)).collect()
 
 
 @pytest.fixture
@@ -115,7 +109,7 @@ def test_merge_commits_are_left_out_and_root_commits_stay(spark, tmp_path):
     landed = [commit(f"c{n}", "x", "2024-01-01T00:00:00Z", parents=n) for n in range(4)]
     landed.append({**commit("cn", "x", "2024-01-01T00:00:00Z"), "parents": None})
     write_landing(tmp_path, {"commits": landed})
-    kept = staging.stg_commits(read_commits(spark, str(tmp_path), NOW))
+    kept = staging.stg_commits(read_commits(spark, str(tmp_path)))
     assert {r["commit_sha"] for r in kept.collect()} == {"c0", "c1", "cn"}
 
 

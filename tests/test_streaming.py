@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from landing import REPO, commit, records, write_landing
@@ -30,26 +30,26 @@ def test_each_file_is_loaded_once(spark, tmp_path, clean):
     landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
     first = records()
     write_landing(landing, first)
-    run(start_load(spark, landing, "issues", checkpoint, clock=lambda: datetime(2024, 1, 10)))
+    run(start_load(spark, landing, "issues", checkpoint))
     assert fresh_table(spark, "raw.issues").count() == 2
 
     later = records()["issues"][:1]
-    later[0].update(state="open", closed_at=None, updated_at="2024-01-12T00:00:00Z")
-    write_landing(landing, {"issues": later}, "encode/new")
+    later[0].update(state="open", closed_at=None, updated_at="2025-03-04T00:00:00Z")
+    write_landing(landing, {"issues": later}, "tidewater/new", date(2025, 3, 5))
     write_landing(landing, {"commits": [commit("x", "y", "2024-01-01T00:00:00Z")]})
-    run(start_load(spark, landing, "issues", checkpoint, clock=lambda: datetime(2024, 1, 12)))
+    run(start_load(spark, landing, "issues", checkpoint))
     rows = {(r["_repo"], r["number"]): r for r in fresh_table(spark, "raw.issues").collect()}
-    assert set(rows) == {(REPO, 100), (REPO, 101), ("encode/new", 100)}
-    # The file read by the first run was not read again.
-    assert rows[(REPO, 100)]["_loaded_at"] == datetime(2024, 1, 10)
+    assert set(rows) == {(REPO, 7), (REPO, 8), ("tidewater/new", 7)}
+    assert rows[(REPO, 7)]["_loaded_at"] == datetime(2025, 3, 3)
+    assert rows[("tidewater/new", 7)]["_loaded_at"] == datetime(2025, 3, 5)
 
 
 def test_newest_record_of_a_batch_wins(spark, tmp_path, clean):
     landing = str(tmp_path / "landing")
     both = records()["issues"][:1] + records()["issues"][:1]
-    both[0].update(comments=9, updated_at="2024-02-01T00:00:00Z")
+    both[0].update(comments=9, updated_at="2025-03-09T00:00:00Z")
     write_landing(landing, {"issues": both})
-    run(start_load(spark, landing, "issues", str(tmp_path / "c"), clock=lambda: datetime(2024, 2, 2)))
+    run(start_load(spark, landing, "issues", str(tmp_path / "c")))
     assert [row["comments"] for row in fresh_table(spark, "raw.issues").collect()] == [9]
 
 
@@ -58,11 +58,11 @@ def test_history_over_batches(spark, tmp_path, clean):
     repository = records()["repositories"][0]
     write_landing(landing, {"repositories": [repository]})
     run(start_history(spark, landing, checkpoint, clock=lambda: datetime(2024, 1, 10)))
-    repository.update(language="Rust", updated_at="2024-01-11T00:00:00Z")
-    write_landing(landing, {"repositories": [repository]}, "encode/moved")
+    repository.update(language="Rust", updated_at="2025-03-04T00:00:00Z")
+    write_landing(landing, {"repositories": [repository]}, "tidewater/moved")
     run(start_history(spark, landing, checkpoint, clock=lambda: datetime(2024, 1, 11)))
     rows = fresh_table(spark, "snapshots.snap_repositories").orderBy("dbt_valid_from").collect()
     assert [(r["language"], r["dbt_valid_from"], r["dbt_valid_to"]) for r in rows] == [
-        ("Python", datetime(2024, 1, 10), datetime(2024, 1, 11)),
+        ("Go", datetime(2024, 1, 10), datetime(2024, 1, 11)),
         ("Rust", datetime(2024, 1, 11), None),
     ]
