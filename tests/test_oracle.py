@@ -6,9 +6,9 @@ import oracle_compare as oracle
 import pytest
 
 import __spark_entry__ as contract
+from workload.oracle import ORACLE as SQL
+from workload.registry import REGISTRY as QUERIES
 
-SQL = contract.oracle_sql()
-QUERIES = contract.queries()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +18,7 @@ def connection(sf_dir):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -12,8 +12,9 @@ from osspulse.plans import dims
 from workload import mapping
 from workload.mapping import Tables
 from workload.marts import LazyMarts
+from workload.registry import REGISTRY
 
-QUERIES = contract.queries()
+QUERIES = REGISTRY
 
 
 def plan_of(df):
@@ -43,7 +44,9 @@ def test_filters_reach_the_scan(spark, sf_dir):
 
 
 def test_small_versions_are_broadcast(spark, sf_dir):
-    plan = plan_of(LazyMarts(spark, sf_dir, authors=False)["fct_commits"])
+    df = LazyMarts(spark, sf_dir)["fct_commits"]
+    df.collect()  # their size is known when they have been derived
+    plan = plan_of(df)
     join = next(line for line in plan.splitlines() if "_version_name" in line and "Join" in line)
     assert "BroadcastHashJoin" in join and "LeftOuter" in join
 

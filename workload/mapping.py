@@ -40,6 +40,11 @@ SCHEMAS: dict[str, T.StructType] = {
     "events": record(
         event_id=BIGINT, ts=TIMESTAMP_NTZ, user_id=BIGINT, event_type=STRING, value=DOUBLE, props=STRING
     ),
+    "region": record(r_regionkey=INT, r_name=STRING),
+    "embeddings": record(vec_id=BIGINT),
+    "pages": record(page_id=BIGINT, url=STRING, html=STRING),
+    "benchmark": record(item_id=BIGINT, text=STRING),
+    "labels": record(doc_id=BIGINT, quality=INT, toxic=INT),
     "documents": record(doc_id=BIGINT, text=STRING, lang=STRING, source=STRING, n_chars=BIGINT),
     "conversations": record(conv_id=BIGINT, turn=BIGINT, role=STRING, text=STRING),
 }
@@ -166,9 +171,8 @@ def issues(t: Tables) -> DataFrame:
 
 @view
 def releases(t: Tables) -> DataFrame:
-    """Urgent orders; open ones are drafts."""
-    urgent = _orders_by_nation(t).filter(F.col("o_orderpriority") == "1-URGENT")
-    return urgent.select(
+    """Every order; open ones are drafts."""
+    return _orders_by_nation(t).select(
         F.col("o_orderkey").alias("release_id"),
         F.col("n_name").alias("repository"),
         F.concat(F.lit("v"), F.col("o_orderkey")).alias("tag_name"),

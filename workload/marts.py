@@ -8,7 +8,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from osspulse.operators import broadcast_if_small
 from osspulse.plans import activity, dims, facts, staging
 from osspulse.sources import daily_downloads
 from workload import mapping
@@ -17,18 +16,13 @@ from workload.mapping import Tables
 # The benchmark's events start in 1995, before the default calendar.
 FIRST_DAY, END_DAY = date(1995, 1, 1), date(2031, 1, 1)
 
-# Whether the versions were counted to be small, per application and data directory. It only
-# chooses between join strategies, never a result.
-_small_versions: dict[tuple[str, str], bool] = {}
-
 
 class LazyMarts(Mapping[str, DataFrame]):
-    """Mart frames by name. `authors=False` leaves author keys out of the facts."""
+    """Mart frames by name."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, authors: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.t = Tables(spark, sf_dir)
-        self.authors = authors
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -42,19 +36,6 @@ class LazyMarts(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(_BUILDERS)
 
-    @property
-    def people(self) -> DataFrame | None:
-        return self["dim_contributors"] if self.authors else None
-
-
-def _dim_repositories(m: LazyMarts) -> DataFrame:
-    versions = dims.dim_repositories(mapping.history(m.t))
-    key = (m.spark.sparkContext.applicationId, m.t.sf_dir)
-    if key not in _small_versions:
-        # Nations times years; counted once, so that facts need no shuffle to meet them.
-        _small_versions[key] = broadcast_if_small(versions) is not versions
-    return F.broadcast(versions) if _small_versions[key] else versions
-
 
 def _daily_downloads(m: LazyMarts) -> DataFrame:
     counted = daily_downloads(
@@ -76,13 +57,13 @@ _BUILDERS: dict[str, Callable[[LazyMarts], DataFrame]] = {
     "dim_contributors": lambda m: dims.dim_contributors(
         mapping.commits(m.t), mapping.pull_requests(m.t), mapping.issues(m.t)
     ),
-    "dim_repositories": _dim_repositories,
+    "dim_repositories": lambda m: dims.dim_repositories(mapping.history(m.t)),
     "dim_labels": lambda m: dims.dim_labels(mapping.issue_labels(m.t), mapping.pr_labels(m.t)),
-    "fct_commits": lambda m: facts.fct_commits(mapping.commits(m.t), m["dim_repositories"], m.people),
+    "fct_commits": lambda m: facts.fct_commits(mapping.commits(m.t), m["dim_repositories"], m["dim_contributors"]),
     "fct_pull_requests": lambda m: facts.fct_pull_requests(
-        mapping.pull_requests(m.t), m["dim_repositories"], m.people
+        mapping.pull_requests(m.t), m["dim_repositories"], m["dim_contributors"]
     ),
-    "fct_issues": lambda m: facts.fct_issues(mapping.issues(m.t), m["dim_repositories"], m.people),
+    "fct_issues": lambda m: facts.fct_issues(mapping.issues(m.t), m["dim_repositories"], m["dim_contributors"]),
     "fct_releases": lambda m: facts.fct_releases(mapping.releases(m.t), m["dim_repositories"]),
     "fct_daily_downloads": lambda m: facts.fct_daily_downloads(
         staging.stg_downloads(m["raw_downloads"]), mapping.projects(m.t), m["dim_repositories"]
@@ -93,7 +74,5 @@ _BUILDERS: dict[str, Callable[[LazyMarts], DataFrame]] = {
     "fct_contributor_activity_monthly": lambda m: facts.fct_contributor_activity_monthly(
         m["contributor_activity"], m["dim_contributors"]
     ),
-    "bridge_issue_labels": lambda m: facts.bridge_issue_labels(
-        mapping.issue_labels(m.t), m["dim_labels"]
-    ),
+    "bridge_issue_labels": lambda m: facts.bridge_issue_labels(mapping.issue_labels(m.t)),
 }

@@ -45,14 +45,14 @@ def query(function: Callable) -> Callable:
 QUESTIONS: dict[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = {}
 
 
-def question(name: str, plan: Callable[[LazyMarts], DataFrame], authors: bool = False) -> None:
-    """Register a plan over the marts; `authors` if it reads author keys."""
-    REGISTRY[name] = lambda spark, sf_dir: plan(LazyMarts(spark, sf_dir, authors))
+def question(name: str, plan: Callable[[LazyMarts], DataFrame]) -> None:
+    """Register a plan over the marts."""
+    REGISTRY[name] = lambda spark, sf_dir: plan(LazyMarts(spark, sf_dir))
 
 
-def mart_question(name: str, plan: Callable[[LazyMarts], DataFrame], authors: bool = False) -> None:
+def mart_question(name: str, plan: Callable[[LazyMarts], DataFrame]) -> None:
     QUESTIONS[name] = plan
-    question(name, plan, authors)
+    question(name, plan)
 
 
 # ----- models -----
@@ -70,7 +70,7 @@ for _name in (
     "bridge_issue_labels",
     "contributor_activity",
 ):
-    question(_name, lambda m, _name=_name: m[_name], authors=True)
+    question(_name, lambda m, _name=_name: m[_name])
 
 question("date_keys", lambda m: _date_keys(m.t))
 
@@ -151,7 +151,7 @@ def label_child_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def non_merge_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Turns of a conversation as commits with as many parents as turns before, two at most."""
+    """Turns of a conversation as commits with as many parents as turns before."""
     parent = F.struct(F.lit("p").alias("sha"), F.lit("u").alias("url"))
     turns = Tables(spark, sf_dir)["conversations"]
     author = F.struct(
@@ -167,7 +167,7 @@ def non_merge_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("role").alias("_repo"),
         F.struct(F.col("role").alias("login")).alias("author"),
         author.alias("commit"),
-        F.array_repeat(parent, F.least("turn", F.lit(2)).cast("int")).alias("parents"),
+        F.array_repeat(parent, F.col("turn").cast("int")).alias("parents"),
         F.lit("2024-01-02").cast("timestamp_ntz").alias("_loaded_at"),
     )
     return staging.stg_commits(raw).select("commit_sha", "repository", "author_login")
@@ -188,7 +188,7 @@ def _region(t: Tables, region: int) -> DataFrame:
 
 
 mart_question("all_repo_names", queries.all_repo_names)
-mart_question("overview_kpis", queries.overview_kpis, authors=True)
+mart_question("overview_kpis", queries.overview_kpis)
 mart_question("repo_snapshot", queries.repo_snapshot)
 mart_question("commits_per_month", queries.commits_per_month)
 mart_question("stars_forks_over_time", queries.stars_forks_over_time)
@@ -199,8 +199,8 @@ mart_question("pr_velocity_monthly", queries.pr_velocity_monthly)
 mart_question("pr_throughput_monthly", queries.pr_throughput_monthly)
 mart_question("issue_resolution_monthly", queries.issue_resolution_monthly)
 mart_question("issue_label_breakdown", queries.issue_label_breakdown)
-mart_question("commit_share", queries.commit_share, authors=True)
-mart_question("contributor_leaderboard", queries.contributor_leaderboard, authors=True)
+mart_question("commit_share", queries.commit_share)
+mart_question("contributor_leaderboard", queries.contributor_leaderboard)
 mart_question("retention_cohort", queries.retention_cohort)
 mart_question("active_contributors_monthly", queries.active_contributors_monthly)
 mart_question("multi_project_contributors", queries.multi_project_contributors)
@@ -212,8 +212,8 @@ mart_question(
     lambda m: queries.pr_velocity_monthly(m, None, date(1997, 3, 15), date(1999, 6, 20)),
 )
 question("commits_per_month_of_region", lambda m: queries.commits_per_month(m, _region(m.t, 1)))
-mart_question("bus_factor", lambda m: metrics.bus_factor(queries.commit_share(m)), authors=True)
-mart_question("lorenz_curve", lambda m: metrics.lorenz_curve(queries.commit_share(m)), authors=True)
+mart_question("bus_factor", lambda m: metrics.bus_factor(queries.commit_share(m)))
+mart_question("lorenz_curve", lambda m: metrics.lorenz_curve(queries.commit_share(m)))
 mart_question("retention_heatmap", lambda m: metrics.retention_heatmap(queries.retention_cohort(m)))
 mart_question("release_cadence", lambda m: metrics.release_cadence(queries.release_gap_counts(m)))
 mart_question("release_gap_histogram", lambda m: metrics.release_gap_histogram(queries.release_gap_counts(m)))
@@ -253,7 +253,7 @@ def _two_loads(t: Tables) -> tuple[DataFrame, DataFrame]:
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first load, then both loads as one batch with repeated keys: newest load wins."""
     first, second = _two_loads(Tables(spark, sf_dir))
-    return upsert(first, first.unionByName(second), ["o_orderkey"], "load")
+    return upsert(first, first.unionByName(second), ["o_orderkey"], ["load"])
 
 
 @query
@@ -310,8 +310,8 @@ def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----- quality -----
-def violations(name: str, plan: Callable[[LazyMarts], DataFrame], authors: bool = False) -> None:
-    question(f"dq_{name}", plan, authors)
+def violations(name: str, plan: Callable[[LazyMarts], DataFrame]) -> None:
+    question(f"dq_{name}", plan)
 
 
 violations(
@@ -401,8 +401,11 @@ def dq_run_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows per loaded table."""
+    """Rows of every table."""
     from osspulse.sinks import row_counts
 
     t = Tables(spark, sf_dir)
-    return row_counts({name: t[name] for name in ("orders", "lineitem", "events", "customer")})
+    return row_counts({name: t[name] for name in mapping.SCHEMAS})
+
+
+from workload import landed  # noqa: E402, F401  registers its queries
