@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import flatten
-from osspulse.llm.common import stored
+from osspulse.llm.common import map_arrow, stored
 
 # Fixed values of the template.
 START, END, TRAINED = "<|im_start|>", "<|im_end|>", "assistant"
@@ -144,7 +144,7 @@ def format_conversations(
                 yield format_batch(batch.column("conv_id"), batch.column("role"), batch.column("text"), part)
                 part += 1
 
-    return ordered.mapInArrow(run, schema)
+    return map_arrow(ordered, run, schema)
 
 
 TURN = re.compile(re.escape(START) + "([^\n]*)\n(.*?)" + re.escape(END) + "\n", re.S)
@@ -220,6 +220,6 @@ def read_back(formatted: DataFrame) -> DataFrame:
             T.StructField("formatted_chars", T.LongType()),
         ]
     )
-    whole = parts.filter("not edge").mapInArrow(digest_parts, schema)
+    whole = map_arrow(parts.filter("not edge"), digest_parts, schema)
     split = parts.filter("edge").repartition("conv_id").sortWithinPartitions("conv_id", "part")
-    return whole.unionByName(split.mapInArrow(digest_parts, schema))
+    return whole.unionByName(map_arrow(split, digest_parts, schema))

@@ -4,17 +4,42 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import osspulse
+
 # Bytes of text that a Python task holds at once; a longer single text is held alone.
 SLICE_BYTES = 2 << 20
-# A key with more than this share of the rows is hot, so at most 1 / share keys can be.
-HOT_SHARE = 1 / 500
+# A key with more rows than this share of all, and than the least number, is hot: so at most HOT_PARTS keys are.
+HOT_PARTS, HOT_LEAST = 500, 1000
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, wherever they may run."""
+    context, root = spark.sparkContext, Path(osspulse.__file__).parent
+    if context.applicationId in _shipped or not root.is_dir():
+        return
+    path = Path(tempfile.mkdtemp(prefix="osspulse-code-")) / "osspulse.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for file in sorted(root.rglob("*.py")):
+            archive.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(path))
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, function: Callable, schema: T.StructType) -> DataFrame:
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -91,7 +116,7 @@ def with_arrow_columns(
             for part in sliced(batch, at, slice_bytes):
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(part.column(at))], names=names)
 
-    return kept.mapInArrow(run, schema)
+    return map_arrow(kept, run, schema)
 
 
 def text_key(text: str) -> list[Column]:
@@ -100,18 +125,16 @@ def text_key(text: str) -> list[Column]:
     return [F.xxhash64(known).alias("_k1"), F.hash(known).alias("_k2")]
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], total: int | None = None, share: float = HOT_SHARE) -> DataFrame:
-    """The keys with more than `share` of the rows of `df`: at most 1 / share of them, whatever the data."""
-    total = df.count() if total is None else total
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.filter(F.col("_n") > F.lit(max(1000, int(total * share)))).drop("_n")
+def is_hot(count: str, total: int) -> Column:
+    return F.col(count) > F.lit(max(HOT_LEAST, total // HOT_PARTS))
 
 
 def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], hot: DataFrame, how: str = "inner") -> DataFrame:
     """`big` joined with `small`, which has one row per key. Rows of hot keys stay where they are.
 
-    `hot` is bounded (see `hot_keys`), so it and its rows of `small` are broadcast; the other keys
-    take a shuffle join, in which none of them is large. Keys are not null.
+    `hot`: the keys that have more than a fixed share of the rows, so not more than one over that
+    share. They and their rows of `small` are broadcast; the other keys take a shuffle join, in which
+    none of them is large. Keys are not null.
     """
     flag = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
     marked = big.join(flag, list(keys), "left")

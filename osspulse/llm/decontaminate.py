@@ -75,8 +75,8 @@ class LengthClass:
         self.size = min(8, self.m)
         self.mask = np.uint64((1 << 8 * self.size) - 1)
         self.bits = np.uint64(min(24, max(16, int(8 * len(begin)).bit_length() + 2)))
-        self.shift = np.full(1 << int(self.bits), self.m - self.size + 1, np.int64)
-        for shift in range(self.m - self.size, -1, -1):
+        self.shift = np.full(1 << int(self.bits), min(self.m - self.size + 1, 32767), np.int16)
+        for shift in range(min(self.m - self.size, 32766), -1, -1):
             self.shift[self.slot(blocks[begin + self.m - self.size - shift] & self.mask)] = shift
         keys = self.bucket(blocks[begin + self.m - self.size] & self.mask, blocks[begin] & self.mask)
         order = np.argsort(keys, kind="stable")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from osspulse.llm.common import stored, without
+from osspulse.llm.common import map_arrow, stored, without
 
 # Rows of a block at least; more if there would be more than BLOCKS blocks, to bound the matrix.
 BLOCK_ROWS, BLOCKS = 1 << 14, 2000
@@ -147,5 +147,5 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0, block_rows: i
             yield pa.RecordBatch.from_arrays([*columns, pa.array(shard, pa.int32()), pa.array(slot)], names=last.names)
 
     parts = max(1, len(plan.value.part_sizes))
-    exchanged = kept.mapInArrow(deal, dealt).repartition(parts, "_part").sortWithinPartitions("_part")
-    return exchanged.mapInArrow(settle, last).sortWithinPartitions("shard", "slot")
+    exchanged = map_arrow(kept, deal, dealt).repartition(parts, "_part").sortWithinPartitions("_part")
+    return map_arrow(exchanged, settle, last).sortWithinPartitions("shard", "slot")

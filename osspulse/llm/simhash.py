@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import VISIBLE, Texts, mix
-from osspulse.llm.common import hot_keys, join_hot, stored, with_arrow_columns, without
+from osspulse.llm.common import is_hot, join_hot, map_arrow, stored, with_arrow_columns
 from osspulse.llm.components import connected_components
 
 LANES = np.uint64(0x0101010101010101)
@@ -261,11 +261,11 @@ def hamming_links(distinct: DataFrame, distance: int = 3, node_rows: int = NODE_
 
     `distinct`: one 64-bit column without repetitions or nulls.
     """
-    rows = distinct.mapInArrow(partial(route, distance=distance), ROUTED)
+    rows = map_arrow(distinct, partial(route, distance=distance), ROUTED)
     links: DataFrame | None = None
     while True:
         ordered = rows.repartition("key").sortWithinPartitions("key", "rank")
-        found = stored(ordered.mapInArrow(partial(walk_nodes, distance=distance, node_rows=node_rows), ROUTED), "nodes")
+        found = stored(map_arrow(ordered, partial(walk_nodes, distance=distance, node_rows=node_rows), ROUTED), "nodes")
         new = found.filter(F.col("kind") == LINK).select(F.col("fp").alias("a"), F.col("other").alias("b"))
         links = new if links is None else links.unionByName(new)
         rows = found.filter(F.col("kind") == HANDED_DOWN)
@@ -298,7 +298,7 @@ def near_groups(
     least = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
     named = stored(rooted.join(least, "root").select("fingerprint", "component_id"), "components")
     total = known.count()
-    hot = classes.filter(F.col("_n") > F.lit(max(1000, total // 500))).select("fingerprint")
+    hot = classes.filter(is_hot("_n", total)).select("fingerprint")
     joined = join_hot(known, named, ["fingerprint"], hot)
     return joined.select(F.col("_id").alias(id), "fingerprint", "component_id")
 

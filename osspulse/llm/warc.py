@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from osspulse.llm.common import sliced
+from osspulse.llm.common import map_arrow, sliced
 
 VERSION = "WARC/1.1"
 DATE = "2026-01-01T00:00:00Z"
@@ -119,7 +119,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 rows = list(parse(b"".join(plain) if plain else data))
                 yield pa.RecordBatch.from_pylist(rows, kind)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, RECORD)
+    return map_arrow(spark.read.format("binaryFile").load(path).select("content"), run, RECORD)
 
 
 def _arrow_fields(schema: T.StructType) -> list[pa.Field]:
@@ -163,7 +163,7 @@ def responses(pages: DataFrame, id: str = "page_id", url: str = "url", body: str
                 made = pa.RecordBatch.from_pylist(rows, pa.schema(own))
                 yield pa.RecordBatch.from_arrays([part.column(0), *made.columns], names=schema.names)
 
-    return source.mapInArrow(run, schema)
+    return map_arrow(source, run, schema)
 
 
 def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
@@ -261,4 +261,4 @@ def derivatives(records: DataFrame) -> DataFrame:
                 kept = [part.column(c).take(pa.array(source, pa.int64())) for c in others]
                 yield pa.RecordBatch.from_arrays([*kept, *made.columns], names=schema.names)
 
-    return ordered.mapInArrow(run, schema)
+    return map_arrow(ordered, run, schema)
