@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from osspulse.llm.common import join_hot, stored, text_key, without
+from osspulse.llm.common import is_hot, join_hot, stored, text_key, without
 
 # Phrases that name a license, and its label.
 PHRASES = {
@@ -57,6 +57,8 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 CONTAINED = 0.8
+# Prefix words times words of all templates up to which the prefixes are broadcast; a shuffle join beyond.
+BROADCAST_WORDS = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -99,7 +101,7 @@ def scan_licenses(
     `found_labels`: labels of the templates of which a block has at least the share `contained` of words.
     Null texts are empty. Results belong to the text, so repeated rows and equal texts get the same. `score`: the largest
     share of a template that was found, 1 for a phrase, else 0. Templates are a list of the caller's,
-    so their words are a bounded set; whether they are broadcast is left to Spark.
+    so their words are a bounded set.
     """
     phrases = PHRASES if phrases is None else phrases
     own = ["n_words", "n_base", "first_word", "last_word", "base_labels", "found_labels", "score"]
@@ -117,7 +119,8 @@ def scan_licenses(
     sets = known.withColumn("set", F.array_intersect(order, "set"))
     prefix = F.slice("set", 1, F.size("set") - F.col("needed") + 1)
     sets = sets.withColumn("prefix", prefix)
-    rare = sorted({w for row in sets.select("prefix").collect() for w in row.prefix}, key=ranked.index)
+    prefixes = [row.prefix for row in sets.select("prefix").collect()]
+    rare = sorted({w for words in prefixes for w in words}, key=ranked.index)
 
     split = kept.withColumn("_words", words(F.col(text))).withColumns(dict(zip(["_k1", "_k2"], text_key(text), strict=True)))
     starts = [phrase_starts(F.col("_words"), p) for p in phrases]
@@ -146,12 +149,13 @@ def scan_licenses(
         F.count(F.lit(1)).alias("_n"), F.first("_set").alias("_set"), F.first("_words").alias("_words")
     )
     texts = stored(texts, "texts")
-    found = contained_templates(texts, sets).groupBy("_k1", "_k2").agg(
+    small = sum(map(len, prefixes)) * max(1, len(vocabulary)) <= BROADCAST_WORDS
+    found = contained_templates(texts, sets, rare, small).groupBy("_k1", "_k2").agg(
         F.array_sort(F.collect_set("label")).alias("found_labels"), F.max("share").alias("_share")
     )
     found = stored(found, "found")
     total = slim.count()
-    hot = texts.filter(F.col("_n") > F.lit(max(1000, total // 500))).select("_k1", "_k2")
+    hot = texts.filter(is_hot("_n", total)).select("_k1", "_k2")
     maybe = join_hot(slim.filter("_set is not null"), found, ["_k1", "_k2"], hot, "left")
     plain = slim.filter("_set is null").withColumn("found_labels", F.lit(None).cast("array<string>"))
     whole = maybe.unionByName(plain.withColumn("_share", F.lit(None).cast("double")))
@@ -162,13 +166,18 @@ def scan_licenses(
     )
 
 
-def contained_templates(texts: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of a text and a template that one of its blocks contains, with the largest share."""
+def contained_templates(texts: DataFrame, sets: DataFrame, rare: list[str], small: bool) -> DataFrame:
+    """Pairs of a text and a template that one of its blocks contains, with the largest share.
+
+    `rare`: the words of all prefixes. `small`: the prefixes were counted to be few enough to broadcast.
+    """
     index = sets.select(
         "template", "label", "length", "needed", F.col("set").alias("of"), F.posexplode("prefix").alias("at", "word")
     )
-    tokens = texts.select("_k1", "_k2", "_set", "_words", F.posexplode("_set").alias("place", "word"))
-    pairs = tokens.join(index, "word")
+    shared = F.array_intersect("_set", F.array(*map(F.lit, rare)) if rare else F.array().cast("array<string>"))
+    tokens = texts.select("_k1", "_k2", "_set", "_words", F.explode(shared).alias("word"))
+    tokens = tokens.withColumn("place", F.array_position("_set", F.col("word")) - 1)
+    pairs = tokens.join(F.broadcast(index) if small else index, "word")
     long_enough = F.size("_set") >= F.col("needed")
     left = 1 + F.least(F.size("of") - F.col("at") - 1, F.size("_set") - F.col("place") - 1)
     # The first shared word of the prefix stands for the pair, so each comes once.
