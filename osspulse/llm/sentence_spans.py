@@ -1,6 +1,7 @@
 """Substring dedup over sliding spans of sentences.
 
-Texts are cut into sentences. Every sentence begins a span: the shortest run of at least `least_sentences`
+Texts are cut into sentences; long ones are cut further at places that their words alone decide, so that
+a passage falls into the same parts wherever it begins. Every sentence begins a span: the shortest run of at least `least_sentences`
 sentences and `least_words` words. Spans are hashed and joined globally; sentences inside a span that
 has occurred before, in the order of ids and places, are removed.
 """
@@ -16,10 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from osspulse.llm.bytestext import VISIBLE, Texts, byte_class, mix
-from osspulse.llm.common import join_hot, stored, text_key, with_arrow_columns, without
+from osspulse.llm.bytestext import VISIBLE, Texts, byte_class, mix, span_hashes
+from osspulse.llm.common import SLICE_BYTES, is_hot, join_hot, map_arrow, sliced, stored, text_key, with_arrow_columns, without
 
-LEAST_SENTENCES, LEAST_WORDS, LONGEST_SENTENCE = 3, 20, 12
+LEAST_SENTENCES, LEAST_WORDS = 3, 20
+# From its eighth word on a sentence also ends after a word whose hash says so, one in eight; and after 16 words.
+LONG_SENTENCE, ONE_IN, LONGEST_SENTENCE = 8, 8, 16
 ENDS_SENTENCE = byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 SPANS = T.ArrayType(
     T.StructType(
@@ -33,13 +36,21 @@ SPANS = T.ArrayType(
 )
 
 
+def places(last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of words of which some are the last of their sentence: whether each begins one, and its place in it."""
+    begins = np.ones(len(last), bool)
+    begins[1:] = last[:-1]
+    at = np.flatnonzero(begins)
+    return begins, np.arange(len(last)) - np.repeat(at, np.diff(np.append(at, len(last))))
+
+
 class Sentences:
-    """Sentences of a column of texts: a text's words up to a mark, a line break or the longest length.
+    """Sentences of a column of texts: a text's words up to a mark, a line break or a cut.
 
     Sentence i has words [word_first[i], word_first[i + 1]); text t has sentences [first[t], first[t + 1]).
     """
 
-    def __init__(self, column: pa.Array, longest: int = LONGEST_SENTENCE):
+    def __init__(self, column: pa.Array):
         self.texts = texts = Texts(column)
         self.starts, self.ends = texts.spans(VISIBLE)
         n = len(self.starts)
@@ -49,11 +60,10 @@ class Sentences:
         follows = np.append(self.starts[1:], len(texts.data))
         last = ENDS_SENTENCE[texts.data[self.ends - 1]] | (breaks[follows] > breaks[self.ends])
         last[words[1:][words[1:] > words[:-1]] - 1] = True
-        begins = np.ones(n, bool)
-        begins[1:] = last[:-1]
-        at = np.flatnonzero(begins)
-        place = np.arange(n) - np.repeat(at, np.diff(np.append(at, n)))
-        begins |= place % longest == 0
+        _, place = places(last)
+        last |= (place >= LONG_SENTENCE - 1) & (span_hashes(texts.data, self.starts, self.ends) % np.uint64(ONE_IN) == 0)
+        begins, place = places(last)
+        begins |= place % LONGEST_SENTENCE == 0
         self.word_first = np.append(np.flatnonzero(begins), n)
         self.first = np.searchsorted(self.word_first[:-1], words)
 
@@ -132,7 +142,7 @@ def repeated_spans(spans: DataFrame, order: list[str]) -> DataFrame:
     groups = spans.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("_times")).filter("_times > 1")
     groups = stored(groups, "repeated")
     total = spans.count()
-    hot = groups.filter(F.col("_times") > F.lit(max(1000, total // 500))).select(*keys)
+    hot = groups.filter(is_hot("_times", total)).select(*keys)
     joined = join_hot(spans, groups.drop("_times"), keys, hot)
     return joined.filter(~F.struct(*order, "_at").eqNullSafe(F.col("_first"))).drop("_first")
 
@@ -152,16 +162,17 @@ def remove_repeats(
     """
     kept = without(docs, ["n_sentences", "n_removed", "removed_spans"])
     source = kept.select(F.col(id).alias("_id"), F.col(text).alias("_text")).filter("_text is not null")
-    key = ["_id", "_k1", "_k2"]
+    # Told apart among rows of one id, so one hash of the text will do.
+    key = ["_id", "_k1"]
     compute = partial(sentence_spans, least_sentences=least_sentences, least_words=least_words)
     spanned = with_arrow_columns(
-        source.select("_id", *text_key("_text"), "_text"), "_text", [T.StructField("_spans", SPANS)], compute
+        source.select("_id", text_key("_text")[0], "_text"), "_text", [T.StructField("_spans", SPANS)], compute
     )
     spans = stored(spanned.drop("_text").select(*key, F.inline("_spans")), "spans")
     again = repeated_spans(spans, key)
     runs = again.groupBy(*key).agg(F.collect_set(F.struct("_at", "_n")).alias("removed_spans"))
-    keyed = kept.select("*", *text_key(text)).alias("d")
-    same = F.col(f"d.{id}").eqNullSafe(F.col("r._id")) & (F.col("d._k1") == F.col("r._k1")) & (F.col("d._k2") == F.col("r._k2"))
+    keyed = kept.select("*", text_key(text)[0]).alias("d")
+    same = F.col(f"d.{id}").eqNullSafe(F.col("r._id")) & (F.col("d._k1") == F.col("r._k1"))
     joined = keyed.join(runs.alias("r"), same, "left").select(
         *(F.col(f"d.`{c}`") for c in kept.columns), F.array_sort("r.removed_spans").alias("removed_spans")
     )
@@ -169,19 +180,15 @@ def remove_repeats(
 
 
 def cut_texts(joined: DataFrame, text: str) -> DataFrame:
-    from osspulse.llm.common import SLICE_BYTES, sliced
-
     at, runs = joined.columns.index(text), joined.columns.index("removed_spans")
     numbers = [T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())]
     schema = T.StructType([*joined.schema.fields, *numbers])
 
     def run(batches):
-        import pyarrow.compute  # noqa: F401
-
         for batch in batches:
             for part in sliced(batch, at, SLICE_BYTES):
                 columns = list(part.columns)
                 columns[at], n, removed = cut_sentences(part.column(at), part.column(runs))
                 yield pa.RecordBatch.from_arrays([*columns, n, removed], names=schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return map_arrow(joined, run, schema)

@@ -5,10 +5,13 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import xxhash
 
+from osspulse.llm.bytestext import span_hashes
+
 VISIBLE = r"[^\x20\x09-\x0D]+"
 
 
@@ -40,19 +43,29 @@ def contamination(docs, items, window=13):
     return out
 
 
-def sentences(text, longest=12):
+def sentences(text):
     """Lists of word matches."""
-    out, current = [], []
+    out, current, place = [], [], 0
     matches = list(re.finditer(VISIBLE, text))
     for word, after in zip(matches, [*matches[1:], None], strict=False):
         current.append(word)
+        place += 1
         between = text[word.end() : after.start()] if after else "\n"
-        if word[0][-1] in ".!?" or "\n" in between or len(current) == longest:
-            out.append(current)
-            current = []
+        if word[0][-1] in ".!?" or "\n" in between:
+            place = 0
+        elif not (place >= 8 and word_hash(word[0]) % 8 == 0) and len(current) < 16:
+            continue
+        out.append(current)
+        current = []
     return out + ([current] if current else [])
 
 
+@lru_cache(maxsize=None)
+def word_hash(word):
+    data = np.frombuffer(word.encode(), np.uint8)
+    return int(span_hashes(data, np.array([0]), np.array([len(data)]))[0])
+
+
 def remove_repeats(docs, least_sentences=3, least_words=20):
     """Texts by id, without what a smaller id or an earlier place has had."""
     seen, out = set(), {}
