@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -86,7 +87,7 @@ def sliced(batch: pa.RecordBatch, at: int, most: int) -> Iterator[pa.RecordBatch
         if batch.num_rows:
             yield batch
         return
-    for row, size in enumerate(pa.compute.binary_length(column).to_pylist()):
+    for row, size in enumerate(pc.binary_length(column).to_pylist()):
         if held and held + (size or 0) > most:
             yield batch.slice(start, row - start)
             start, held = row, 0
@@ -102,16 +103,12 @@ def with_arrow_columns(
     slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """`df` with the columns that `compute` makes of each slice of the text column; clashing names are replaced."""
-    import pyarrow.compute  # noqa: F401
-
     kept = text_column(without(df, [f.name for f in fields]), text)
     schema = T.StructType([*kept.schema.fields, *fields])
     at = kept.columns.index(next(c for c in kept.columns if c.lower() == text.lower()))
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import pyarrow.compute  # noqa: F401
-
         for batch in batches:
             for part in sliced(batch, at, slice_bytes):
                 yield pa.RecordBatch.from_arrays([*part.columns, *compute(part.column(at))], names=names)

@@ -155,3 +155,16 @@ def test_pages(spark):
 def test_other_records_are_left_out(spark):
     source = warc.responses(spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string"))
     assert warc.derivatives(source.withColumn("record_type", F.lit("request"))).count() == 0
+
+
+def test_batches_are_sliced_by_bytes():
+    import pyarrow as pa
+
+    from osspulse.llm.common import sliced
+
+    texts = ["a" * 50, None, "", "b" * 500, "c" * 60, "d" * 30]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], names=["i", "t"])
+    parts = list(sliced(batch, 1, 100))
+    assert [len(p) for p in parts] == [3, 1, 2]
+    assert [t for p in parts for t in p.column(1).to_pylist()] == texts
+    assert [len(p) for p in sliced(batch, 1, 10_000)] == [6] and list(sliced(batch.slice(0, 0), 1, 5)) == []
