@@ -7,9 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Copies of a dimension over which the rows of a hot key are split when the join is not a broadcast.
-SALTS = 4
-
 def spread_null(key: Column, spread_by: Column) -> Column:
     """`key`, or for rows without one a made-up key from the full hash of `spread_by`.
 
@@ -24,7 +21,7 @@ def scd2_join(
     name: Column,
     day: Column,
     take: Sequence[str] = ("repository_key",),
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
     """Left join to the version in force on `day`: `valid_from <= day < valid_to`.
 
@@ -60,24 +57,22 @@ def lookup_join(
     dim_key: str,
     take: dict[str, str],
     spread_by: str,
-    salts: int = SALTS,
+    salts: int = 1,
 ) -> DataFrame:
     """Left join on one key, taking `{dim column: result column}`.
 
     Facts without a key match nothing but would all hash to one task; they are spread by the full
-    hash of `spread_by`, and the condition keeps them unmatched. A hot key is split over `salts`
-    copies of the dimension, by the same hash.
+    hash of `spread_by`, and the condition keeps them unmatched. With `salts` above 1 a hot key is split
+    over that many copies of the dimension, by the same hash; with 1 and a dimension that is known to be
+    distinct, Catalyst drops the join from plans that read none of its columns.
     """
-    salts = max(1, salts)
     right = dim.select(
         F.col(dim_key).alias("_dim_key"), *(F.col(old).alias(new) for old, new in take.items())
     )
-    right = right.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    keyed = facts.withColumns({"_fact_key": spread_null(F.col(fact_key), F.col(spread_by)), "_fact_salt": salt})
-    match = (
-        (F.col("_fact_key") == F.col("_dim_key"))
-        & (F.col("_fact_salt") == F.col("_dim_salt"))
-        & F.col(fact_key).isNotNull()
-    )
+    keyed = facts.withColumn("_fact_key", spread_null(F.col(fact_key), F.col(spread_by)))
+    match = (F.col("_fact_key") == F.col("_dim_key")) & F.col(fact_key).isNotNull()
+    if salts > 1:
+        right = right.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        keyed = keyed.withColumn("_fact_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+        match = match & (F.col("_fact_salt") == F.col("_dim_salt"))
     return keyed.join(right, match, "left").drop("_fact_key", "_dim_key", "_fact_salt", "_dim_salt")

@@ -37,6 +37,8 @@ from osspulse.sources import (
 # Storage partition of a raw table: the month of a moment that belongs to the record.
 RAW_PARTITION = "_month"
 UNDATED = "0000-00"
+# Copies of a dimension for its join with the facts, so that no key is one task's alone.
+SALTS = 4
 # Storage partitions of the facts.
 FACT_PARTITION = "date_key"
 OPENED_PARTITION = "opened_date_key"
@@ -255,9 +257,9 @@ def build_marts(
         dims.dim_contributors(s["stg_commits"], s["stg_pull_requests"], s["stg_issues"]),
     )
 
-    pulls = facts.fct_pull_requests(s["stg_pull_requests"], repositories, people)
+    pulls = facts.fct_pull_requests(s["stg_pull_requests"], repositories, people, SALTS)
     rebuild("fct_pull_requests", pulls, OPENED_PARTITION)
-    rebuild("fct_issues", facts.fct_issues(s["stg_issues"], repositories, people), OPENED_PARTITION)
+    rebuild("fct_issues", facts.fct_issues(s["stg_issues"], repositories, people, SALTS), OPENED_PARTITION)
     rebuild("bridge_issue_labels", facts.bridge_issue_labels(s["stg_issue_labels"]))
     events = activity.contributor_activity(s["stg_commits"], s["stg_pull_requests"], s["stg_issues"])
     rebuild(
@@ -271,7 +273,7 @@ def build_marts(
         s["stg_commits"],
         loaded,
         "_loaded_at",
-        lambda rows: facts.fct_commits(rows, repositories, people),
+        lambda rows: facts.fct_commits(rows, repositories, people, SALTS),
         "commit_key",
         key_fixes_partition=True,
     )
@@ -280,7 +282,7 @@ def build_marts(
         s["stg_releases"],
         loaded,
         "_loaded_at",
-        lambda rows: facts.fct_releases(rows, repositories),
+        lambda rows: facts.fct_releases(rows, repositories, SALTS),
         "release_key",
     )
     # By day.
@@ -289,7 +291,7 @@ def build_marts(
         s["stg_downloads"],
         date_key(F.col("download_date")),
         "date_key",
-        lambda rows: facts.fct_daily_downloads(rows, projects, repositories),
+        lambda rows: facts.fct_daily_downloads(rows, projects, repositories, SALTS),
         "download_key",
         key_fixes_partition=True,
         backfill=backfill,
@@ -299,7 +301,7 @@ def build_marts(
         s["stg_repositories"],
         date_key(loaded),
         "date_key",
-        lambda rows: facts.fct_repository_metrics(rows, repositories),
+        lambda rows: facts.fct_repository_metrics(rows, repositories, SALTS),
         "metric_key",
         key_fixes_partition=True,
         backfill=backfill,

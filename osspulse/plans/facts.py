@@ -1,4 +1,7 @@
-"""Facts and the bridge."""
+"""Facts and the bridge.
+
+`salts`: copies of a dimension over which the rows of a hot repository or login are split in the plan.
+"""
 
 from __future__ import annotations
 
@@ -10,9 +13,12 @@ from osspulse.operators.joins import lookup_join, scd2_join
 from osspulse.plans.activity import ACTIVITY_TYPES
 
 
-def _with_author(rows: DataFrame, contributors: DataFrame, key_name: str, spread_by: str) -> DataFrame:
+def _with_author(
+    rows: DataFrame, contributors: DataFrame, key_name: str, spread_by: str, salts: int
+) -> DataFrame:
     # Spread by a column that is read anyway.
-    return lookup_join(rows, contributors, "author_login", "username", {"contributor_key": key_name}, spread_by)
+    take = {"contributor_key": key_name}
+    return lookup_join(rows, contributors, "author_login", "username", take, spread_by, salts)
 
 
 def _hours(start: str, end: str) -> Column:
@@ -20,12 +26,12 @@ def _hours(start: str, end: str) -> Column:
 
 
 def fct_commits(
-    commits: DataFrame, repositories: DataFrame, contributors: DataFrame
+    commits: DataFrame, repositories: DataFrame, contributors: DataFrame, salts: int = 1
 ) -> DataFrame:
     """One row per commit, at the repository version of the author date."""
     moment = F.col("committed_at")
-    rows = scd2_join(commits, repositories, F.col("repository"), F.to_date(moment))
-    rows = _with_author(rows, contributors, "contributor_key", "committed_at")
+    rows = scd2_join(commits, repositories, F.col("repository"), F.to_date(moment), salts=salts)
+    rows = _with_author(rows, contributors, "contributor_key", "committed_at", salts)
     return rows.select(
         surrogate_key(F.col("repository"), F.col("commit_sha")).alias("commit_key"),
         "repository_key",
@@ -38,11 +44,11 @@ def fct_commits(
 
 
 def fct_pull_requests(
-    pull_requests: DataFrame, repositories: DataFrame, contributors: DataFrame
+    pull_requests: DataFrame, repositories: DataFrame, contributors: DataFrame, salts: int = 1
 ) -> DataFrame:
     """One row per pull request, at the repository version of the opening day."""
-    rows = scd2_join(pull_requests, repositories, F.col("repository"), F.to_date("created_at"))
-    rows = _with_author(rows, contributors, "author_key", "created_at")
+    rows = scd2_join(pull_requests, repositories, F.col("repository"), F.to_date("created_at"), salts=salts)
+    rows = _with_author(rows, contributors, "author_key", "created_at", salts)
     return rows.select(
         surrogate_key(F.col("repository"), F.col("pr_number")).alias("pr_key"),
         "repository_key",
@@ -55,11 +61,11 @@ def fct_pull_requests(
 
 
 def fct_issues(
-    issues: DataFrame, repositories: DataFrame, contributors: DataFrame
+    issues: DataFrame, repositories: DataFrame, contributors: DataFrame, salts: int = 1
 ) -> DataFrame:
     """One row per issue. Closed goes by the state, the hours by the closing time."""
-    rows = scd2_join(issues, repositories, F.col("repository"), F.to_date("created_at"))
-    rows = _with_author(rows, contributors, "author_key", "created_at")
+    rows = scd2_join(issues, repositories, F.col("repository"), F.to_date("created_at"), salts=salts)
+    rows = _with_author(rows, contributors, "author_key", "created_at", salts)
     return rows.select(
         surrogate_key(F.col("repository"), F.col("issue_number")).alias("issue_key"),
         "repository_key",
@@ -72,10 +78,10 @@ def fct_issues(
     )
 
 
-def fct_releases(releases: DataFrame, repositories: DataFrame) -> DataFrame:
+def fct_releases(releases: DataFrame, repositories: DataFrame, salts: int = 1) -> DataFrame:
     """One row per published release; drafts are left out."""
     published = releases.filter(F.col("published_at").isNotNull())
-    rows = scd2_join(published, repositories, F.col("repository"), F.to_date("published_at"))
+    rows = scd2_join(published, repositories, F.col("repository"), F.to_date("published_at"), salts=salts)
     return rows.select(
         surrogate_key(F.col("repository"), F.col("release_id")).alias("release_key"),
         "repository_key",
@@ -88,12 +94,12 @@ def fct_releases(releases: DataFrame, repositories: DataFrame) -> DataFrame:
 
 
 def fct_daily_downloads(
-    downloads: DataFrame, projects: DataFrame, repositories: DataFrame
+    downloads: DataFrame, projects: DataFrame, repositories: DataFrame, salts: int = 1
 ) -> DataFrame:
     """One row per package and day; the repository is NULL for packages without one."""
     seed = projects.select(F.col("package").alias("_seed_package"), F.col("repo").alias("_seed_repo"))
     mapped = downloads.join(seed, F.col("package") == F.col("_seed_package"), "left")
-    rows = scd2_join(mapped, repositories, F.col("_seed_repo"), F.col("download_date"))
+    rows = scd2_join(mapped, repositories, F.col("_seed_repo"), F.col("download_date"), salts=salts)
     return rows.select(
         surrogate_key(F.col("package"), F.col("download_date")).alias("download_key"),
         "package",
@@ -103,10 +109,10 @@ def fct_daily_downloads(
     )
 
 
-def fct_repository_metrics(repositories_now: DataFrame, repositories: DataFrame) -> DataFrame:
+def fct_repository_metrics(repositories_now: DataFrame, repositories: DataFrame, salts: int = 1) -> DataFrame:
     """One row per repository and capture day: what the load saw of stars, forks, open issues."""
     captured = repositories_now.withColumn("capture_date", F.to_date("_loaded_at"))
-    rows = scd2_join(captured, repositories, F.col("repository_name"), F.col("capture_date"))
+    rows = scd2_join(captured, repositories, F.col("repository_name"), F.col("capture_date"), salts=salts)
     return rows.select(
         surrogate_key(F.col("repository_id"), F.col("capture_date")).alias("metric_key"),
         "repository_id",

@@ -74,50 +74,53 @@ def all_repo_names(marts: Marts) -> DataFrame:
 def overview_kpis(marts: Marts, repos: Repos = None) -> DataFrame:
     """One row of headline numbers.
 
-    Each fact is read once and gives its numbers as one scalar subquery.
+    The counts of all facts, per version, meet the chosen versions in one join.
     """
     chosen = _versions(marts, repos)
-    keys = chosen.select("repository_key")
-
-    def of_chosen(counts: DataFrame) -> DataFrame:
-        return counts.join(keys, "repository_key", "left_semi")
-
-    def total(name: str) -> Column:
-        return _zero(F.sum(name))
-
-    commits = of_chosen(
-        marts["fct_commits"].groupBy("repository_key", "contributor_key").agg(F.count("*").alias("n"))
-    ).agg(F.struct(total("n").alias("n"), F.count_distinct("contributor_key").alias("people")))
+    n, none = F.count("*").alias("n"), F.lit(None).cast("bigint")
 
     def rated(fact: str, flag: str) -> DataFrame:
-        counts = marts[fact].groupBy("repository_key").agg(
-            F.count("*").alias("n"), F.count_if(flag).alias("yes"), F.count(flag).alias("known")
-        )
-        rate = share_of_true(F.sum("yes"), F.sum("known"))
-        return of_chosen(counts).agg(
-            F.struct(total("n").alias("n"), F.coalesce(rate, F.lit(0.0)).alias("rate"))
-        )
+        flags = (F.count_if(flag).alias("yes"), F.count(flag).alias("known"))
+        return marts[fact].groupBy("repository_key").agg(n, *flags)
+
+    per_version = {
+        "commits": marts["fct_commits"].groupBy("repository_key", "contributor_key").agg(n),
+        "prs": rated("fct_pull_requests", "is_merged"),
+        "issues": rated("fct_issues", "is_closed"),
+        "releases": marts["fct_releases"].groupBy("repository_key").agg(n),
+    }
+    facts = None
+    for name, counts in per_version.items():
+        people = "contributor_key" if name == "commits" else F.lit(None).cast("string").alias("contributor_key")
+        flags = ("yes", "known") if "yes" in counts.columns else (none.alias("yes"), none.alias("known"))
+        part = counts.select(F.lit(name).alias("fact"), "repository_key", people, "n", *flags)
+        facts = part if facts is None else facts.unionByName(part)
+
+    def of(fact: str, column: str) -> Column:
+        return F.sum(F.when(F.col("fact") == fact, F.col(column)))
+
+    def rate(fact: str) -> Column:
+        return F.coalesce(share_of_true(of(fact, "yes"), of(fact, "known")), F.lit(0.0))
 
-    releases = of_chosen(marts["fct_releases"].groupBy("repository_key").agg(F.count("*").alias("n")))
     metrics = by_repos(marts["fct_repository_metrics"], repos)
     newest = latest_per_key(
         metrics, ["repository_name"], ["date_key", "metric_key"], ["stars", "forks"]
-    ).agg(F.struct(total("stars").alias("stars"), total("forks").alias("forks")))
-
-    c, m = commits.scalar(), newest.scalar()
-    p, i = rated("fct_pull_requests", "is_merged").scalar(), rated("fct_issues", "is_closed").scalar()
-    one_row = chosen.agg(F.count_distinct("repository_name").alias("repos"))
-    return one_row.select(
-        "repos",
-        c["n"].alias("commits"),
-        c["people"].alias("contributors"),
-        p["n"].alias("prs"),
-        p["rate"].alias("pr_merge_rate"),
-        i["n"].alias("issues"),
-        i["rate"].alias("issue_close_rate"),
-        releases.agg(total("n")).scalar().alias("releases"),
-        m["stars"].alias("stars"),
-        m["forks"].alias("forks"),
+    ).agg(F.struct(_zero(F.sum("stars")).alias("stars"), _zero(F.sum("forks")).alias("forks")))
+    newest = newest.scalar()
+    known = facts.join(chosen.select("repository_key"), "repository_key", "left_semi")
+    return known.agg(
+        _zero(of("commits", "n")).alias("commits"),
+        F.count_distinct("contributor_key").alias("contributors"),
+        _zero(of("prs", "n")).alias("prs"),
+        rate("prs").alias("pr_merge_rate"),
+        _zero(of("issues", "n")).alias("issues"),
+        rate("issues").alias("issue_close_rate"),
+        _zero(of("releases", "n")).alias("releases"),
+    ).select(
+        chosen.agg(F.count_distinct("repository_name")).scalar().alias("repos"),
+        "*",
+        newest["stars"].alias("stars"),
+        newest["forks"].alias("forks"),
     )
 
 
