@@ -314,8 +314,8 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **settings
         .groupBy(id)
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    found = docs.join(kept.withColumnRenamed(id, "_kept"), F.col(id) == F.col("_kept"), "left")
-    found = found.filter(F.col("_kept").isNotNull() | F.col(id).isNull()).drop("_kept")
-    once = found.filter((F.col("_rows") == 1) | F.col("_rows").isNull()).drop("_rows")
+    # Both parts join the same shuffled rows; repeated ones are few.
+    found = docs.join(kept.withColumnRenamed(id, "_kept"), F.col(id) == F.col("_kept")).drop("_kept")
+    once = found.filter(F.col("_rows") == 1).drop("_rows")
     more = found.filter(F.col("_rows") > 1).drop("_rows").dropDuplicates([id])
-    return once.unionByName(more)
+    return once.unionByName(more).unionByName(docs.filter(F.col(id).isNull()))
