@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import LOWER, Texts
-from osspulse.llm.common import with_arrow_columns, without
+from osspulse.llm.common import SLICE_BYTES, with_arrow_columns, without
 
 UNKNOWN = "und"
 # Labelled texts of one language that the classifiers learn from, and bytes of text of one language.
@@ -191,7 +191,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         best, score, ambiguous = known.decode(known.margins(column)[0])
         return [pa.array([known.languages[i] for i in best.tolist()], pa.string()), pa.array(score), pa.array(ambiguous)]
 
-    found = with_arrow_columns(docs, text, FIELDS, compute)
+    found = with_arrow_columns(docs, text, FIELDS, compute, SLICE_BYTES // 2)
     lettered = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     return (
         found.withColumn("lang_pred", F.when(lettered, F.col("lang_pred")).otherwise(UNKNOWN))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import Texts, byte_class, span_hashes
-from osspulse.llm.common import stored, with_arrow_columns, without
+from osspulse.llm.common import ship_package, stored, with_arrow_columns, without
 
 CAPACITY = 2048
 # Items of one node, and children of one parent.
@@ -143,7 +143,7 @@ def token_pieces(
     vocabulary = vocabulary or default_vocabulary()
     cut = partial(cut_pieces, vocabulary=vocabulary, capacity=capacity, end_id=end_id, keep_ids=keep_ids)
     rest = without(docs, ["piece", "start", "length", "ids_crc32", "ids"])
-    found = with_arrow_columns(rest, text, [T.StructField("_pieces", PIECES)], cut, 4 << 20)
+    found = with_arrow_columns(rest, text, [T.StructField("_pieces", PIECES)], cut)
     others = [F.col(f"`{c}`") for c in found.columns if c.lower() not in (text.lower(), "_pieces")]
     return found.select(*others, F.inline("_pieces"))
 
@@ -194,6 +194,7 @@ def pack_level(items: DataFrame, level: int, capacity: int) -> DataFrame:
     def pack_group(table: pa.Table) -> pa.Table:
         return pack_node(table, level, capacity)
 
+    ship_package(items.sparkSession)
     return items.groupBy("_node").applyInArrow(pack_group, schema)
 
 
