@@ -9,8 +9,12 @@ items (lengths, not tokens), so no task sees all of them.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
+from collections.abc import Mapping
 from functools import lru_cache, partial
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -59,9 +63,23 @@ def encoding(vocabulary: str):
     return named, lengths
 
 
-def token_ids(column: pa.Array, vocabulary: str, end_id: int = 0) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=2)
+def added_tokens(vocabulary: str) -> dict[bytes, int]:
+    """The added tokens of the tokenizer file beside a rank file, which the tokenizer finds inside any text."""
+    path = Path(vocabulary).with_suffix(".json")
+    found = json.loads(path.read_text())["added_tokens"] if path.exists() else []
+    for token in found:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"added token {token['content']!r} does not match as it stands")
+    return {token["content"].encode(): token["id"] for token in found}
+
+
+def token_ids(
+    column: pa.Array, vocabulary: str, end_id: int = 0, added: Mapping[bytes, int] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in one array, each text followed by `end_id`, and where each text begins.
 
+    Texts are split at the tokens in `added`, which get their own ids; what lies between is encoded as a text of its own.
     The tokenizer's pattern always begins a new piece before a space that precedes something else
     than white space. So texts are cut there, each different part is encoded once, and the ids are
     copied to all places of that part.
@@ -69,18 +87,27 @@ def token_ids(column: pa.Array, vocabulary: str, end_id: int = 0) -> tuple[np.nd
     bpe, lengths = encoding(vocabulary)
     texts = Texts(column)
     data = texts.data
+    raw, added = data.tobytes(), added or {}
+    either = re.compile(b"|".join(map(re.escape, sorted(added, key=len, reverse=True))))
+    marks = np.array([m.span() for m in either.finditer(raw)] if added else [], np.int64).reshape(-1, 2)
+    heads = np.concatenate((texts.begin[texts.end > texts.begin], marks[~np.isin(marks[:, 1], texts.end), 1]))
+    heads = np.setdiff1d(heads, marks[:, 0])
     cut = np.flatnonzero((data[:-1] == 0x20) & ~MAYBE_SPACE[data[1:]])
-    cut = cut[~np.isin(cut, texts.begin)]
-    heads = texts.begin[texts.end > texts.begin]
-    starts = np.sort(np.concatenate((heads, cut)))
+    cut = cut[~np.isin(cut, heads)]
+    if len(marks):
+        # No cut inside an added token, nor before a space that one follows: white space ends that part.
+        before = np.searchsorted(marks[:, 0], cut, "right") - 1
+        inside = (before >= 0) & (cut < marks[before, 1])
+        cut = cut[~inside & ~np.isin(cut + 1, marks[:, 0])]
+    starts = np.sort(np.concatenate((heads, cut, marks[:, 0])))
     ends = np.minimum(np.append(starts[1:], len(data)), texts.end[np.searchsorted(texts.begin, starts, "right") - 1])
-    is_head = np.isin(starts, heads)
+    kind = np.isin(starts, heads) + 2 * np.isin(starts, marks[:, 0])
     # A head may merge with what it is appended to, so heads are encoded alone.
     hashes = span_hashes(data, starts, ends)
-    _, first, inverse = np.unique(hashes ^ is_head.astype(np.uint64), return_index=True, return_inverse=True)
-    chosen_head = is_head[first]
-    raw = data.tobytes()
-    alone = [np.asarray(bpe.encode_ordinary(raw[starts[i] : ends[i]].decode()), np.uint32) for i in first[chosen_head]]
+    _, first, inverse = np.unique(hashes ^ kind.astype(np.uint64), return_index=True, return_inverse=True)
+    chosen_head = kind[first] > 0
+    spans = [(raw[starts[i] : ends[i]], kind[i] == 2) for i in first[chosen_head]]
+    alone = [np.asarray([added[x]] if mark else bpe.encode_ordinary(x.decode()), np.uint32) for x, mark in spans]
     joined = [raw[starts[i] : ends[i]] for i in first[~chosen_head]]
     together = np.asarray(bpe.encode_to_numpy(b"".join(joined).decode()), np.uint32)
     parts_end = np.cumsum([len(x) for x in joined], dtype=np.int64)
@@ -103,7 +130,7 @@ def token_ids(column: pa.Array, vocabulary: str, end_id: int = 0) -> tuple[np.nd
 
 
 def cut_pieces(column: pa.Array, vocabulary: str, capacity: int, end_id: int, keep_ids: bool) -> list[pa.Array]:
-    ids, first = token_ids(column, vocabulary, end_id)
+    ids, first = token_ids(column, vocabulary, end_id, added_tokens(vocabulary))
     raw, rows = memoryview(ids.astype("<u4").tobytes()), []
     for begin, end in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
         short = (end - begin) % capacity or capacity
