@@ -88,14 +88,18 @@ def op7_boosted_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_hypergeometric_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    dealt = sharding.shuffle_into_shards(docs, SHARDS)
     known = F.coalesce("text", F.lit(""))
-    rows = table(spark, sf_dir, "documents").select(
+    return dealt.select(
         "doc_id",
         (F.octet_length(known) + 16).cast("long").alias("size"),
         F.crc32(known).alias("text_crc32"),
         F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
     )
-    return sharding.shuffle_into_shards(rows, SHARDS).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
 def op9_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -11,7 +12,8 @@ import pytest
 from tokenizers import Tokenizer
 
 import brute
-from osspulse.llm import packing
+from osspulse.llm import packing, sharding
+from osspulse.llm.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -38,3 +40,15 @@ def test_pieces_hold_added_tokens(spark, plain_tokenizer):
     found = sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
     assert found == sorted((d, *p) for d, t in texts.items() for p in brute.pieces(t, plain_tokenizer))
     assert np.frombuffer(rows[0].ids, "<u4").tolist() == [31373, 220, 50256, 995, 0]
+
+
+def test_documents_reach_their_shards(spark, sf_dir, monkeypatch):
+    passed = []
+    shuffle = sharding.shuffle_into_shards
+    monkeypatch.setattr(sharding, "shuffle_into_shards", lambda df, *a, **b: passed.append(df) or shuffle(df, *a, **b))
+    rows = QUERIES["op8_hypergeometric_shards"](spark, sf_dir).collect()
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    assert passed[0].columns == source.columns
+    raw = {r.doc_id: (r.text or "").encode() for r in source.collect()}
+    assert len(rows) == len(raw)
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {k: (len(v) + 16, zlib.crc32(v)) for k, v in raw.items()}
