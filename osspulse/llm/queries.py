@@ -29,7 +29,7 @@ def op1_wu_manber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def op2_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = sentence_spans.remove_repeats(docs)
+    found = sentence_spans.remove_repeats(docs, aligned=True)
     return found.select("doc_id", "n_sentences", "n_removed", (F.col("n_removed") > 0).alias("changed"), "text")
 
 

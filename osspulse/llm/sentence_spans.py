@@ -4,6 +4,11 @@ Texts are cut into sentences; long ones are cut further at places that their wor
 a passage falls into the same parts wherever it begins. Every sentence begins a span: the shortest run of at least `least_sentences`
 sentences and `least_words` words. Spans are hashed and joined globally; sentences inside a span that
 has occurred before, in the order of ids and places, are removed.
+
+`aligned` is the whole rule. Any WINDOW words in a row hold a cut, at a mark or else the word of least hash, so all cuts between the
+first and the last WINDOW words of a passage are the same wherever it stands; and every sentence also ends a span, the
+shortest one backwards. A repeated passage of n words so loses at least n + 1 - 2 * WINDOW of them, if these hold a
+span: always from 51 words on.
 """
 
 from __future__ import annotations
@@ -23,6 +28,8 @@ from osspulse.llm.common import SLICE_BYTES, is_hot, join_hot, map_arrow, sliced
 LEAST_SENTENCES, LEAST_WORDS = 3, 20
 # From its eighth word on a sentence also ends after a word whose hash says so, one in eight; and after 16 words.
 LONG_SENTENCE, ONE_IN, LONGEST_SENTENCE = 8, 8, 16
+# Words in a row of which one ends a sentence, by the aligned rule.
+WINDOW = 10
 ENDS_SENTENCE = byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 SPANS = T.ArrayType(
     T.StructType(
@@ -44,13 +51,23 @@ def places(last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return begins, np.arange(len(last)) - np.repeat(at, np.diff(np.append(at, len(last))))
 
 
+def least_of_windows(hashes: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """Whether each word has the least hash, the last of equals, of some WINDOW words in a row of its text."""
+    found = np.zeros(len(hashes), bool)
+    if len(hashes) >= WINDOW:
+        windows = np.lib.stride_tricks.sliding_window_view(hashes, WINDOW)
+        least = np.arange(len(windows)) + WINDOW - 1 - windows[:, ::-1].argmin(axis=1)
+        found[least[text_of[: len(windows)] == text_of[WINDOW - 1 :]]] = True
+    return found
+
+
 class Sentences:
     """Sentences of a column of texts: a text's words up to a mark, a line break or a cut.
 
     Sentence i has words [word_first[i], word_first[i + 1]); text t has sentences [first[t], first[t + 1]).
     """
 
-    def __init__(self, column: pa.Array):
+    def __init__(self, column: pa.Array, aligned: bool = False):
         self.texts = texts = Texts(column)
         self.starts, self.ends = texts.spans(VISIBLE)
         n = len(self.starts)
@@ -58,12 +75,19 @@ class Sentences:
         breaks = np.concatenate(([0], np.cumsum(texts.data == 10)))
         # A word ends its sentence if it ends with a mark, or if a line break or the text's end follows.
         follows = np.append(self.starts[1:], len(texts.data))
-        last = ENDS_SENTENCE[texts.data[self.ends - 1]] | (breaks[follows] > breaks[self.ends])
+        marked = ENDS_SENTENCE[texts.data[self.ends - 1]]
+        last = marked | (breaks[follows] > breaks[self.ends])
         last[words[1:][words[1:] > words[:-1]] - 1] = True
-        _, place = places(last)
-        last |= (place >= LONG_SENTENCE - 1) & (span_hashes(texts.data, self.starts, self.ends) % np.uint64(ONE_IN) == 0)
-        begins, place = places(last)
-        begins |= place % LONGEST_SENTENCE == 0
+        hashes = span_hashes(texts.data, self.starts, self.ends)
+        if aligned:
+            # Marks come first, so windows that hold one need no other cut.
+            hashes[marked] = 0
+            begins, _ = places(last | least_of_windows(hashes, np.repeat(np.arange(texts.n), np.diff(words))))
+        else:
+            _, place = places(last)
+            last |= (place >= LONG_SENTENCE - 1) & (hashes % np.uint64(ONE_IN) == 0)
+            begins, place = places(last)
+            begins |= place % LONGEST_SENTENCE == 0
         self.word_first = np.append(np.flatnonzero(begins), n)
         self.first = np.searchsorted(self.word_first[:-1], words)
 
@@ -80,9 +104,9 @@ class Sentences:
         return np.fromiter((digest(raw[i:j]) for i, j in spans), np.uint64, len(a))
 
 
-def sentence_spans(column: pa.Array, least_sentences: int, least_words: int) -> list[pa.Array]:
+def sentence_spans(column: pa.Array, least_sentences: int, least_words: int, aligned: bool = False) -> list[pa.Array]:
     """For each text its spans: two hashes, first sentence, number of sentences."""
-    found = Sentences(column)
+    found = Sentences(column, aligned)
     hashes, words = found.hashes(), found.word_first
     n = len(hashes)
     # Sums with a multiplier make a span's hash from its sentences' hashes in order.
@@ -92,6 +116,12 @@ def sentence_spans(column: pa.Array, least_sentences: int, least_words: int) ->
     text_of = np.repeat(np.arange(len(column)), np.diff(found.first))
     at = np.flatnonzero(reach <= found.first[1:][text_of] if n else np.zeros(0, bool))
     size = reach[at] - at
+    if aligned and n:
+        upto = np.arange(1, n + 1)
+        back = np.minimum(upto - least_sentences, np.searchsorted(words, words[1:] - least_words, "right") - 1)
+        whole = back >= found.first[:-1][text_of]
+        both = np.unique(np.concatenate((at * (n + 1) + reach[at], back[whole] * (n + 1) + upto[whole])))
+        at, size = both // (n + 1), both % (n + 1) - both // (n + 1)
     h1, h2 = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
     other = mix(hashes ^ np.uint64(0x5851F42D4C957F2D))
     for step in range(int(size.max()) if len(size) else 0):
@@ -112,9 +142,9 @@ def sentence_spans(column: pa.Array, least_sentences: int, least_words: int) ->
     return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), struct)]
 
 
-def cut_sentences(texts: pa.Array, removed: pa.Array) -> list[pa.Array]:
+def cut_sentences(texts: pa.Array, removed: pa.Array, aligned: bool = False) -> list[pa.Array]:
     """Texts without the sentences in `removed` (runs of first and number), and the numbers of both."""
-    found = Sentences(texts)
+    found = Sentences(texts, aligned)
     rows, n_removed = [], []
     words = found.word_first
     for i, (text, runs) in enumerate(zip(texts, removed, strict=True)):
@@ -153,18 +183,19 @@ def remove_repeats(
     text: str = "text",
     least_sentences: int = LEAST_SENTENCES,
     least_words: int = LEAST_WORDS,
+    aligned: bool = False,
 ) -> DataFrame:
     """`docs` with repeated spans cut from the text, and `n_sentences`, `n_removed`, `removed_spans`.
 
     The first occurrence, by id (nulls first), then by hash of the text and place, keeps its
     sentences. Rows with the same id and text are one document and get the same result. Null stays null;
-    a text without repeated spans is unchanged to the byte.
+    a text without repeated spans is unchanged to the byte. `aligned`: cut and match so that no long passage is missed.
     """
     kept = without(docs, ["n_sentences", "n_removed", "removed_spans"])
     source = kept.select(F.col(id).alias("_id"), F.col(text).alias("_text")).filter("_text is not null")
     # Told apart among rows of one id, so one hash of the text will do.
     key = ["_id", "_k1"]
-    compute = partial(sentence_spans, least_sentences=least_sentences, least_words=least_words)
+    compute = partial(sentence_spans, least_sentences=least_sentences, least_words=least_words, aligned=aligned)
     spanned = with_arrow_columns(
         source.select("_id", text_key("_text")[0], "_text"), "_text", [T.StructField("_spans", SPANS)], compute
     )
@@ -176,10 +207,10 @@ def remove_repeats(
     joined = keyed.join(runs.alias("r"), same, "left").select(
         *(F.col(f"d.`{c}`") for c in kept.columns), F.array_sort("r.removed_spans").alias("removed_spans")
     )
-    return cut_texts(joined, text)
+    return cut_texts(joined, text, aligned)
 
 
-def cut_texts(joined: DataFrame, text: str) -> DataFrame:
+def cut_texts(joined: DataFrame, text: str, aligned: bool = False) -> DataFrame:
     at, runs = joined.columns.index(text), joined.columns.index("removed_spans")
     numbers = [T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())]
     schema = T.StructType([*joined.schema.fields, *numbers])
@@ -188,7 +219,7 @@ def cut_texts(joined: DataFrame, text: str) -> DataFrame:
         for batch in batches:
             for part in sliced(batch, at, SLICE_BYTES):
                 columns = list(part.columns)
-                columns[at], n, removed = cut_sentences(part.column(at), part.column(runs))
+                columns[at], n, removed = cut_sentences(part.column(at), part.column(runs), aligned)
                 yield pa.RecordBatch.from_arrays([*columns, n, removed], names=schema.names)
 
     return map_arrow(joined, run, schema)
