@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import VISIBLE, Texts, mix
-from osspulse.llm.common import is_hot, join_hot, map_arrow, stored, with_arrow_columns
+from osspulse.llm.common import is_hot, join_hot, map_arrow, stored, text_key, with_arrow_columns
 from osspulse.llm.components import connected_components
 
 LANES = np.uint64(0x0101010101010101)
@@ -280,13 +280,16 @@ def near_groups(
     words: int = 3,
     distance: int = 3,
     seed: int = 42,
+    text_keys: bool = False,
 ) -> DataFrame:
     """Columns `id`, `fingerprint` and `component_id` (the smallest id that links reach), one row per row of `docs`.
 
     Texts that are null or have no words have fingerprint 0 and link like any other. Repeated rows
     stay rows of their own. A null id is never the smallest; a component of nulls alone has null.
+    `text_keys` adds the key of the text (`_k1`, `_k2`) and the component itself (`_root`).
     """
-    source = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
+    keys = text_key(text) if text_keys else []
+    source = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"), *keys)
     known = stored(fingerprints(source, "_text", words, seed).drop("_text"), "fingerprints")
     classes = stored(
         known.groupBy("fingerprint").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_n")), "classes"
@@ -295,27 +298,26 @@ def near_groups(
     roots = connected_components(links).withColumnRenamed("node", "fingerprint")
     rooted = classes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
     rooted = stored(rooted, "rooted")
+    more = [F.col("root").alias("_root"), "_k1", "_k2"] if text_keys else []
     least = rooted.groupBy("root").agg(F.min("_least").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("fingerprint", "component_id"), "components")
+    named = stored(rooted.join(least, "root").select("fingerprint", "component_id", *more[:1]), "components")
     total = known.count()
     hot = classes.filter(is_hot("_n", total)).select("fingerprint")
     joined = join_hot(known, named, ["fingerprint"], hot)
-    return joined.select(F.col("_id").alias(id), "fingerprint", "component_id")
+    return joined.select(F.col("_id").alias(id), "fingerprint", "component_id", *(["_root", "_k1", "_k2"] if text_keys else []))
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
-    """The rows of `docs` whose id represents its component. Repeated rows of one id and text count as one.
+    """The rows of `docs` that represent their component: of its smallest id, one text. Repeated rows count as one.
 
-    Documents without an id stay.
+    Rows of one id are told apart by their texts. Documents without an id stay.
     """
-    kept = (
-        near_groups(docs, id, text, **settings)
-        .filter(F.col(id) == F.col("component_id"))
-        .groupBy(id)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
+    first = near_groups(docs, id, text, **settings, text_keys=True).filter(F.col(id) == F.col("component_id"))
+    chosen = first.groupBy(id, "_root").agg(F.min(F.struct("_k1", "_k2")).alias("_key"), F.count(F.lit(1)).alias("_n"))
+    kept = chosen.groupBy(F.col(id).alias("_kept")).agg(F.collect_list("_key").alias("_keys"), F.sum("_n").alias("_rows"))
     # Both parts join the same shuffled rows; repeated ones are few.
-    found = docs.join(kept.withColumnRenamed(id, "_kept"), F.col(id) == F.col("_kept")).drop("_kept")
-    once = found.filter(F.col("_rows") == 1).drop("_rows")
-    more = found.filter(F.col("_rows") > 1).drop("_rows").dropDuplicates([id])
+    found = docs.join(kept, F.col(id) == F.col("_kept")).filter(F.array_contains("_keys", F.struct(*text_key(text))))
+    once = found.filter(F.col("_rows") == 1).select(docs.columns)
+    more = found.filter(F.col("_rows") > 1).select(*docs.columns, *text_key(text))
+    more = more.dropDuplicates([id, "_k1", "_k2"]).select(docs.columns)
     return once.unionByName(more).unionByName(docs.filter(F.col(id).isNull()))

@@ -13,7 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import brute
-from osspulse.llm import packing, sentence_spans, sharding
+from osspulse.llm import packing, sentence_spans, sharding, simhash
 from osspulse.llm.queries import QUERIES
 
 
@@ -109,3 +109,14 @@ def test_aligned_spans_against_loops(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     found = {r.doc_id: r.text for r in QUERIES["op2_sentence_span_dedup"](spark, sf_dir).collect()}
     assert found == aligned_loops(texts)
+
+
+def test_keep_one_tells_texts_of_one_id_apart(spark):
+    one, two = (" ".join(f"{x}{i}" for i in range(60)) for x in ("one", "two"))
+    other, third = (" ".join(f"{x}{i}" for i in range(60)) for x in ("other", "third"))
+    rows = [(1, one), (2, two), (2, two), (2, one), (3, other), (3, third), (4, third), (5, two + "\n"), (5, two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
+    assert found == sorted([(1, one), (2, two), (3, other), (3, third)])
+    twice = spark.createDataFrame([(5, two + "\n"), (5, two)], "doc_id long, text string")
+    assert simhash.keep_one(twice).count() == 1
