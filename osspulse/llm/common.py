@@ -10,7 +10,7 @@ from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,3 +139,27 @@ def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], hot: DataFra
     often = marked.filter(F.col("_hot")).drop("_hot").join(few, list(keys), how)
     rest = marked.filter(F.col("_hot").isNull()).drop("_hot").join(small, list(keys), how)
     return often.unionByName(rest)
+
+
+def bounded_sample(
+    rows: DataFrame, kind: str, id: str, text: str, most_texts: int, most_bytes: int
+) -> tuple[list[tuple], dict]:
+    """(kind, id, text) of a sample of each kind, and how many rows each kind has.
+
+    Of each kind the rows with the least hash of the id are taken, one at least, up to `most_texts` rows and until their
+    texts have `most_bytes` bytes; of a longer single text its first `most_bytes` characters. So the
+    driver gets not more than about twice `most_bytes` per kind (in ASCII). Rows without kind or text do not count.
+    """
+    known = rows.select(F.col(kind).alias("_kind"), F.col(id).alias("_id"), F.col(text).alias("_text"))
+    known = known.filter("_kind is not null and _text is not null")
+    draw, key = F.xxhash64(F.col("_id").cast("string"), F.lit("sample")), F.xxhash64("_text")
+    sized = known.select("_kind", "_id", key.alias("_key"), draw.alias("_draw"), F.octet_length("_text").alias("_size"))
+    order = Window.partitionBy("_kind").orderBy("_draw", "_id", "_key")
+    first = sized.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most_texts)
+    before = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = first.withColumn("_before", before).filter(F.col("_before") < most_bytes).select("_kind", "_id", "_key")
+    counts = {r[0]: r[1] for r in known.groupBy("_kind").count().collect()}
+    wanted = F.broadcast(chosen.distinct().toDF("_k", "_i", "_h"))
+    same = (F.col("_kind") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_i")) & (key == F.col("_h"))
+    found = known.join(wanted, same, "left_semi").select("_kind", "_id", F.substring("_text", 1, most_bytes).alias("_text"))
+    return sorted((tuple(r) for r in found.distinct().collect()), key=repr), counts

@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from osspulse.llm import chat, decontaminate, langid, licenses, packing, quality, sentence_spans, sharding, simhash, warc
+from osspulse.llm import (
+    alignment,
+    chat,
+    compression,
+    decontaminate,
+    langid,
+    licenses,
+    packing,
+    quality,
+    sentence_spans,
+    sharding,
+    simhash,
+    spelling,
+    warc,
+)
 
 SHARDS = 40
 
@@ -113,6 +127,22 @@ def op10_output_code_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op11_perfect_hash_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select("doc_id", *alignment.COUNTS, digest.alias("groups_sha256"))
+
+
+def op12_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = compression.classify(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -132,6 +162,9 @@ QUERIES = {
         op8_hypergeometric_shards,
         op9_gray_simhash,
         op10_output_code_language,
+        op11_perfect_hash_alignment,
+        op12_compression_quality,
+        op13_spelling_variants,
         pipeline,
     )
 }
