@@ -107,6 +107,21 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((sums[ends] - sums[starts]) * powers(STEP_BACK, len(data))[starts] + (ends - starts).astype(np.uint64))
 
 
+def numbered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, int]:
+    """A number per span, the same for equal bytes and for no others, and how many numbers there are."""
+    raw, seen = data.tobytes(), {}
+    spans = (raw[i:j] for i, j in zip(starts.tolist(), ends.tolist(), strict=True))
+    numbers = np.fromiter((seen.setdefault(span, len(seen)) for span in spans), np.int64, len(starts))
+    return numbers, len(seen)
+
+
+def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number per pair of numbers, the same for equal pairs and for no others; below the number of pairs."""
+    if not len(a):
+        return np.zeros(0, np.int64)
+    return np.unique(a * (b.max() + 1) + b, return_inverse=True)[1].astype(np.int64)
+
+
 def segment_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Sums of values[first[i]:first[i + 1]]."""
     sums = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import LOWER, Texts
-from osspulse.llm.common import SLICE_BYTES, with_arrow_columns, without
+from osspulse.llm.common import SLICE_BYTES, bounded_sample, with_arrow_columns, without
 
 UNKNOWN = "und"
 # Labelled texts of one language that the classifiers learn from, and bytes of text of one language.
@@ -153,20 +153,13 @@ def train(
     sample_texts: int = SAMPLE_TEXTS,
     sample_bytes: int = SAMPLE_BYTES,
 ) -> Model:
-    """A model from at most `sample_texts` texts and about `sample_bytes` bytes of each language, chosen by hash of the id."""
-    usable = docs.filter(learnable(id, language) & F.col(text).isNotNull())
-    sizes = usable.groupBy(language).agg(F.count(F.lit(1)).alias("n"), F.avg(F.octet_length(text)).alias("bytes"))
-    shares = [
-        (r[0], min(1.0, sample_texts / r.n, sample_bytes / max(1.0, r.n * (r.bytes or 0)))) for r in sizes.collect()
-    ]
-    if not shares:
-        return fit([], [])
-    chance = F.create_map(*[F.lit(x) for pair in shares for x in pair])[F.col(language)]
-    draw = F.pmod(F.xxhash64(F.col(id).cast("string"), F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    # The ids' hashes choose about the wanted number; the limit makes the bound certain.
-    chosen = usable.filter(draw < chance).select(text, F.col(language).cast("string"), draw.alias("draw"))
-    rows = chosen.orderBy("draw", text).limit(2 * sample_texts * len(shares)).collect()
-    return fit([r[0] for r in rows], [r[1] for r in rows])
+    """A model from at most `sample_texts` texts and `sample_bytes` bytes of each language, but one text at least.
+
+    The texts with the least hash of their id are taken. Languages without any n-gram are not learned.
+    """
+    usable = docs.filter(learnable(id, language)).withColumn(language, F.col(language).cast("string"))
+    rows, _ = bounded_sample(usable, language, id, text, sample_texts, sample_bytes)
+    return fit([r[2] for r in rows], [r[0] for r in rows])
 
 
 FIELDS = [

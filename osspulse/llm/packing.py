@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import json
+import os
 import re
 import zlib
 from collections.abc import Mapping
@@ -22,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from osspulse.llm.bytestext import Texts, byte_class, span_hashes
+from osspulse.llm.bytestext import Texts, byte_class
 from osspulse.llm.common import ship_package, stored, with_arrow_columns, without
 
 CAPACITY = 2048
 # Items of one node, and children of one parent.
 NODE_ITEMS, FAN_IN = 1 << 16, 16
+# Parts of texts with more bytes go to the tokenizer file: the rank file's pattern fails on very long white space.
+LONG_PART = 20_000
 # First bytes of characters that are white space, or may be.
 MAYBE_SPACE = byte_class((0x00, 0x20), (0xC2, 0xC2), (0xE1, 0xE3))
 PIECES = T.ArrayType(
@@ -74,6 +77,21 @@ def added_tokens(vocabulary: str) -> dict[bytes, int]:
     return {token["content"].encode(): token["id"] for token in found}
 
 
+@lru_cache(maxsize=2)
+def whole_tokenizer(vocabulary: str):
+    """The tokenizer file beside a rank file, to encode a part without added tokens; None if there is no such file."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    path = Path(vocabulary).with_suffix(".json")
+    return Tokenizer.from_file(str(path)) if path.exists() else None
+
+
+def encode_part(part: bytes, bpe, vocabulary: str) -> list[int]:
+    whole = whole_tokenizer(vocabulary) if len(part) > LONG_PART else None
+    return whole.encode(part.decode(), add_special_tokens=False).ids if whole else bpe.encode_ordinary(part.decode())
+
+
 def token_ids(
     column: pa.Array, vocabulary: str, end_id: int = 0, added: Mapping[bytes, int] | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -102,13 +120,16 @@ def token_ids(
     starts = np.sort(np.concatenate((heads, cut, marks[:, 0])))
     ends = np.minimum(np.append(starts[1:], len(data)), texts.end[np.searchsorted(texts.begin, starts, "right") - 1])
     kind = np.isin(starts, heads) + 2 * np.isin(starts, marks[:, 0])
-    # A head may merge with what it is appended to, so heads are encoded alone.
-    hashes = span_hashes(data, starts, ends)
-    _, first, inverse = np.unique(hashes ^ kind.astype(np.uint64), return_index=True, return_inverse=True)
-    chosen_head = kind[first] > 0
-    spans = [(raw[starts[i] : ends[i]], kind[i] == 2) for i in first[chosen_head]]
-    alone = [np.asarray([added[x]] if mark else bpe.encode_ordinary(x.decode()), np.uint32) for x, mark in spans]
-    joined = [raw[starts[i] : ends[i]] for i in first[~chosen_head]]
+    # A head may merge with what it is appended to, so heads are encoded alone, and so are long parts.
+    seen: dict = {}
+    spans = zip(starts.tolist(), ends.tolist(), kind.tolist(), strict=True)
+    keys = ((k, raw[i:j]) if k or j - i > LONG_PART else raw[i:j] for i, j, k in spans)
+    inverse = np.fromiter((seen.setdefault(key, len(seen)) for key in keys), np.int64, len(starts))
+    first = list(seen)
+    chosen_head = np.array([isinstance(key, tuple) for key in first], bool)
+    spans = [key for key in first if isinstance(key, tuple)]
+    alone = [np.asarray([added[x]] if k >= 2 else encode_part(x, bpe, vocabulary), np.uint32) for k, x in spans]
+    joined = [key for key in first if not isinstance(key, tuple)]
     together = np.asarray(bpe.encode_to_numpy(b"".join(joined).decode()), np.uint32)
     parts_end = np.cumsum([len(x) for x in joined], dtype=np.int64)
     upto = np.searchsorted(np.cumsum(lengths[together]), parts_end) + 1

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from osspulse.llm.bytestext import NEWLINE, VISIBLE, Texts, byte_class, mix, segment_sums, span_hashes
+from osspulse.llm.bytestext import NEWLINE, VISIBLE, Texts, byte_class, numbered, paired, segment_sums
 from osspulse.llm.common import with_arrow_columns, without
 
 SYMBOLS = np.isin(np.arange(256), list(b"#*$%&|<>"))
@@ -63,8 +63,9 @@ def statistics(column: pa.Array) -> dict[str, np.ndarray]:
     first = texts.first_of(starts)
     n_words = np.diff(first)
     text_of = np.repeat(np.arange(texts.n), n_words)
-    own = mix(np.arange(texts.n, dtype=np.uint64) + np.uint64(1))
-    hashes = span_hashes(data, starts, ends)
+    words, _ = numbered(data, starts, ends)
+    # Numbers below those of all spans, so that a pair fits an integer.
+    own = paired(text_of, words)
     out = {"n_words": n_words, "word_chars": texts.total(VISIBLE & NOT_CONTINUATION), "n_symbols": texts.total(SYMBOLS)}
 
     a, b = texts.spans(~byte_class((NEWLINE, NEWLINE)))
@@ -72,19 +73,18 @@ def statistics(column: pa.Array) -> dict[str, np.ndarray]:
     full = np.searchsorted(starts, b) > words_before
     a, b = a[full], b[full]
     line_of = np.searchsorted(texts.begin, a, "right") - 1
-    later, _ = again(span_hashes(data, a, b) ^ own[line_of])
+    later, _ = again(paired(line_of, numbered(data, a, b)[0]))
     out["n_dup_lines"] = np.bincount(line_of[later], minlength=texts.n).astype(np.int64)
     out["_lines"] = np.bincount(line_of, minlength=texts.n).astype(np.int64)
 
     windows = np.flatnonzero(text_of[2:] == text_of[:-2]) if len(starts) > 2 else np.zeros(0, np.int64)
-    mixed = mix(hashes[windows] * np.uint64(3) + mix(hashes[windows + 1] * np.uint64(5) + mix(hashes[windows + 2])))
-    _, count = again(mixed ^ own[text_of[windows]])
+    _, count = again(paired(paired(own[windows], words[windows + 1]), words[windows + 2]))
     found = windows[count > 1]
     covered = np.zeros(len(starts), bool)
     for step in range(3):
         covered[found + step] = True
     out["n_repeat_words"] = segment_sums(covered, first)
-    out["_distinct"] = n_words - segment_sums(again(hashes ^ own[text_of])[0], first)
+    out["_distinct"] = n_words - segment_sums(again(own)[0], first)
     out |= {"_upper": texts.total(UPPER), "_digits": texts.total(DIGITS), "_stops": texts.total(STOPS)}
     return out
 

@@ -23,15 +23,16 @@ RECORD = T.StructType(
     + [T.StructField(c, T.StringType()) for c in ("block_digest", "payload_digest")]
     + [T.StructField("headers", T.MapType(T.StringType(), T.StringType())), T.StructField("block", T.BinaryType())]
 )
-# Elements whose text is not shown, and elements that end a line.
-HIDDEN = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b[^>]*>.*?</\1\s*>", re.S | re.I)
+# Elements whose text is not shown, and elements that end a line. A tag holds no `<`, so that a page is read in linear time.
+HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|head)\b[^<>]*>", re.I)
+HIDDEN_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template", "head")}
 LINE = re.compile(
-    r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|h[1-6]|article|section|header|footer|nav|main|aside|pre|blockquote|form)\b[^>]*>", re.I
+    r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|tr|table|h[1-6]|article|section|header|footer|nav|main|aside|pre|blockquote|form)\b[^<>]*>", re.I
 )
-TAG = re.compile(r"<[!?/]?[a-zA-Z][^>]*>|<![^>]*>")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-LANGUAGE = re.compile(r"<html\b[^>]*\blang\s*=\s*[\"']?([\w-]+)", re.I)
-LINK = re.compile(r"<a\b[^>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+TAG = re.compile(r"<[!?/]?[a-zA-Z][^<>]*>|<![^<>]*>")
+TITLE, TITLE_END = re.compile(r"<title\b[^<>]*>", re.I), re.compile(r"</title\s*>", re.I)
+LANGUAGE = re.compile(r"<html\b[^<>]*\blang\s*=\s*[\"']?([\w-]+)", re.I)
+LINK = re.compile(r"<a\b[^<>]*\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 def digest(data: bytes) -> str:
@@ -176,9 +177,38 @@ def split_http(block: bytes) -> tuple[str, list[tuple[str, str]], bytes]:
     return status, [(name.strip(), value.strip()) for name, _, value in pairs if name.strip()], body
 
 
+def without_hidden(page: str) -> str:
+    """`page` with a space in place of each comment and hidden element. One that has no end hides nothing.
+
+    Goes over the page once: what has no end from one place on has none from later places either.
+    """
+    parts, at, endless = [], 0, set()
+    while True:
+        begin = next((m for m in HIDDEN.finditer(page, at) if (m[1] or "").lower() not in endless), None)
+        if begin is None:
+            return "".join([*parts, page[at:]])
+        name = (begin[1] or "").lower()
+        if name:
+            found = HIDDEN_END[name].search(page, begin.end())
+            end = found.end() if found else -1
+        else:
+            end = page.find("-->", begin.end()) + 3
+        if end < len("-->"):
+            endless.add(name)
+            continue
+        parts += [page[at : begin.start()], " "]
+        at = end
+
+
+def title_of(page: str) -> str | None:
+    begin = TITLE.search(page)
+    end = TITLE_END.search(page, begin.end()) if begin else None
+    return page[begin.end() : end.start()] if end else None
+
+
 def plain_text(page: str) -> str:
     """What a page shows: no markup or scripts, a line per block, single spaces."""
-    shown = TAG.sub("", LINE.sub("\n", HIDDEN.sub(" ", re.sub(r"\s+", " ", page))))
+    shown = TAG.sub("", LINE.sub("\n", without_hidden(re.sub(r"\s+", " ", page))))
     lines = (" ".join(line.split()) for line in html.unescape(shown).split("\n"))
     return "\n".join(line for line in lines if line)
 
@@ -196,7 +226,7 @@ def derive(row: dict) -> list[dict]:
         page = body.decode("utf-8", "replace")
     source = row["record_id"] or record_id("none", row["target_uri"], digest(row["block"] or b""))
     text = plain_text(page).encode()
-    title, language = TITLE.search(page), LANGUAGE.search(page)
+    title, language = title_of(page), LANGUAGE.search(page)
     conversion_id, metadata_id = record_id("conversion", source), record_id("metadata", source)
     linked = {
         "WARC-Refers-To-Target-URI": row["target_uri"],
@@ -207,7 +237,7 @@ def derive(row: dict) -> list[dict]:
     linked = {k: v for k, v in linked.items() if v is not None}
     fields = [("http-status", status), *((f"http-header-{k.lower()}", v) for k, v in headers)]
     fields += [(f"source-{k.lower()}", v) for k, v in sorted(dict(row["headers"] or {}).items())]
-    fields += [("title", " ".join(html.unescape(title[1]).split()))] if title else []
+    fields += [("title", " ".join(html.unescape(title).split()))] if title is not None else []
     fields += [("language", language[1].lower())] if language else []
     links = dict.fromkeys(html.unescape(m[1] or m[2] or m[3] or "") for m in LINK.finditer(page))
     fields += [("outlink", link) for link in links]
