@@ -5,10 +5,13 @@ a passage falls into the same parts wherever it begins. Every sentence begins a
 sentences and `least_words` words. Spans are hashed and joined globally; sentences inside a span that
 has occurred before, in the order of ids and places, are removed.
 
-`aligned` is the whole rule. Any WINDOW words in a row hold a cut, at a mark or else the word of least hash, so all cuts between the
+Any WINDOW words in a row hold a cut, at a mark or else the word of least hash, so all cuts between the
 first and the last WINDOW words of a passage are the same wherever it stands; and every sentence also ends a span, the
 shortest one backwards. A repeated passage of n words so loses at least n + 1 - 2 * WINDOW of them, if these hold a
 span: always from 51 words on.
+
+Few spans are repeated. So the bare hashes are shuffled and counted first, the repeated ones become a bit table, and only spans that it
+lets through are shuffled with the ids and places that the join needs.
 """
 
 from __future__ import annotations
@@ -26,9 +29,9 @@ from osspulse.llm.bytestext import VISIBLE, Texts, byte_class, mix, span_hashes
 from osspulse.llm.common import SLICE_BYTES, is_hot, join_hot, map_arrow, sliced, stored, text_key, with_arrow_columns, without
 
 LEAST_SENTENCES, LEAST_WORDS = 3, 20
-# From its eighth word on a sentence also ends after a word whose hash says so, one in eight; and after 16 words.
-LONG_SENTENCE, ONE_IN, LONGEST_SENTENCE = 8, 8, 16
-# Words in a row of which one ends a sentence, by the aligned rule.
+# Bits of the table of repeated spans for each of them, and of the whole table: 64 MB. Beyond that all spans are joined.
+BITS_EACH, MOST_BITS = 16, 1 << 29
+# Words in a row of which one ends a sentence.
 WINDOW = 10
 ENDS_SENTENCE = byte_class((0x21, 0x21), (0x2E, 0x2E), (0x3F, 0x3F))
 SPANS = T.ArrayType(
@@ -43,14 +46,6 @@ SPANS = T.ArrayType(
 )
 
 
-def places(last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of words of which some are the last of their sentence: whether each begins one, and its place in it."""
-    begins = np.ones(len(last), bool)
-    begins[1:] = last[:-1]
-    at = np.flatnonzero(begins)
-    return begins, np.arange(len(last)) - np.repeat(at, np.diff(np.append(at, len(last))))
-
-
 def least_of_windows(hashes: np.ndarray, text_of: np.ndarray) -> np.ndarray:
     """Whether each word has the least hash, the last of equals, of some WINDOW words in a row of its text."""
     found = np.zeros(len(hashes), bool)
@@ -67,7 +62,7 @@ class Sentences:
     Sentence i has words [word_first[i], word_first[i + 1]); text t has sentences [first[t], first[t + 1]).
     """
 
-    def __init__(self, column: pa.Array, aligned: bool = False):
+    def __init__(self, column: pa.Array):
         self.texts = texts = Texts(column)
         self.starts, self.ends = texts.spans(VISIBLE)
         n = len(self.starts)
@@ -79,15 +74,11 @@ class Sentences:
         last = marked | (breaks[follows] > breaks[self.ends])
         last[words[1:][words[1:] > words[:-1]] - 1] = True
         hashes = span_hashes(texts.data, self.starts, self.ends)
-        if aligned:
-            # Marks come first, so windows that hold one need no other cut.
-            hashes[marked] = 0
-            begins, _ = places(last | least_of_windows(hashes, np.repeat(np.arange(texts.n), np.diff(words))))
-        else:
-            _, place = places(last)
-            last |= (place >= LONG_SENTENCE - 1) & (hashes % np.uint64(ONE_IN) == 0)
-            begins, place = places(last)
-            begins |= place % LONGEST_SENTENCE == 0
+        # Marks come first, so windows that hold one need no other cut.
+        hashes[marked] = 0
+        last |= least_of_windows(hashes, np.repeat(np.arange(texts.n), np.diff(words)))
+        begins = np.ones(n, bool)
+        begins[1:] = last[:-1]
         self.word_first = np.append(np.flatnonzero(begins), n)
         self.first = np.searchsorted(self.word_first[:-1], words)
 
@@ -104,9 +95,9 @@ class Sentences:
         return np.fromiter((digest(raw[i:j]) for i, j in spans), np.uint64, len(a))
 
 
-def sentence_spans(column: pa.Array, least_sentences: int, least_words: int, aligned: bool = False) -> list[pa.Array]:
+def sentence_spans(column: pa.Array, least_sentences: int, least_words: int) -> list[pa.Array]:
     """For each text its spans: two hashes, first sentence, number of sentences."""
-    found = Sentences(column, aligned)
+    found = Sentences(column)
     hashes, words = found.hashes(), found.word_first
     n = len(hashes)
     # Sums with a multiplier make a span's hash from its sentences' hashes in order.
@@ -116,7 +107,7 @@ def sentence_spans(column: pa.Array, least_sentences: int, least_words: int, ali
     text_of = np.repeat(np.arange(len(column)), np.diff(found.first))
     at = np.flatnonzero(reach <= found.first[1:][text_of] if n else np.zeros(0, bool))
     size = reach[at] - at
-    if aligned and n:
+    if n:
         upto = np.arange(1, n + 1)
         back = np.minimum(upto - least_sentences, np.searchsorted(words, words[1:] - least_words, "right") - 1)
         whole = back >= found.first[:-1][text_of]
@@ -142,9 +133,9 @@ def sentence_spans(column: pa.Array, least_sentences: int, least_words: int, ali
     return [pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), struct)]
 
 
-def cut_sentences(texts: pa.Array, removed: pa.Array, aligned: bool = False) -> list[pa.Array]:
+def cut_sentences(texts: pa.Array, removed: pa.Array) -> list[pa.Array]:
     """Texts without the sentences in `removed` (runs of first and number), and the numbers of both."""
-    found = Sentences(texts, aligned)
+    found = Sentences(texts)
     rows, n_removed = [], []
     words = found.word_first
     for i, (text, runs) in enumerate(zip(texts, removed, strict=True)):
@@ -165,6 +156,38 @@ def cut_sentences(texts: pa.Array, removed: pa.Array, aligned: bool = False) ->
     return [pa.array(rows, pa.string()), pa.array(np.diff(found.first).astype(np.int64)), pa.array(n_removed, pa.int64())]
 
 
+def bit_places(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    return hashes & (bits - 1), (hashes >> 34) & (bits - 1)
+
+
+def maybe_repeated(spans: DataFrame, bits_each: int = BITS_EACH, most_bits: int = MOST_BITS) -> DataFrame:
+    """All rows of `spans` whose first hash occurs more than once, and one or two in a hundred of the others."""
+    counted = spans.groupBy("_h1").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
+    repeated = stored(counted.select("_h1"), "hashes")
+    bits = 1 << max(18, (bits_each * repeated.count()).bit_length())
+    if bits > most_bits:
+        return spans
+    both = F.array(F.col("_h1").bitwiseAND(bits - 1), F.shiftright("_h1", 34).bitwiseAND(bits - 1))
+    places = repeated.select(F.explode(both).alias("_place"))
+    parts = places.groupBy(F.shiftright("_place", 15).alias("_part")).agg(
+        F.bitmap_construct_agg(F.col("_place").bitwiseAND((1 << 15) - 1)).alias("_bits")
+    )
+    table = np.zeros(bits >> 3, np.uint8)
+    for row in parts.toLocalIterator():
+        table[row["_part"] << 12 : row["_part"] + 1 << 12] = np.frombuffer(row["_bits"], np.uint8)
+    shared = spans.sparkSession.sparkContext.broadcast(table)
+    at = spans.columns.index("_h1")
+
+    def run(batches):
+        for batch in batches:
+            hashes, found = batch.column(at).to_numpy(), np.ones(batch.num_rows, bool)
+            for place in bit_places(hashes, bits):
+                found &= (shared.value[place >> 3] >> (place & 7) & 1).astype(bool)
+            yield batch.filter(pa.array(found))
+
+    return stored(map_arrow(spans, run, spans.schema), "likely")
+
+
 def repeated_spans(spans: DataFrame, order: list[str]) -> DataFrame:
     """The rows of `spans` that are not the first with their hash, in the order of these columns and `_at`."""
     keys = ["_h1", "_h2"]
@@ -183,34 +206,33 @@ def remove_repeats(
     text: str = "text",
     least_sentences: int = LEAST_SENTENCES,
     least_words: int = LEAST_WORDS,
-    aligned: bool = False,
 ) -> DataFrame:
     """`docs` with repeated spans cut from the text, and `n_sentences`, `n_removed`, `removed_spans`.
 
     The first occurrence, by id (nulls first), then by hash of the text and place, keeps its
     sentences. Rows with the same id and text are one document and get the same result. Null stays null;
-    a text without repeated spans is unchanged to the byte. `aligned`: cut and match so that no long passage is missed.
+    a text without repeated spans is unchanged to the byte.
     """
     kept = without(docs, ["n_sentences", "n_removed", "removed_spans"])
     source = kept.select(F.col(id).alias("_id"), F.col(text).alias("_text")).filter("_text is not null")
     # Told apart among rows of one id, so one hash of the text will do.
     key = ["_id", "_k1"]
-    compute = partial(sentence_spans, least_sentences=least_sentences, least_words=least_words, aligned=aligned)
+    compute = partial(sentence_spans, least_sentences=least_sentences, least_words=least_words)
     spanned = with_arrow_columns(
         source.select("_id", text_key("_text")[0], "_text"), "_text", [T.StructField("_spans", SPANS)], compute
     )
     spans = stored(spanned.drop("_text").select(*key, F.inline("_spans")), "spans")
-    again = repeated_spans(spans, key)
+    again = repeated_spans(maybe_repeated(spans), key)
     runs = again.groupBy(*key).agg(F.collect_set(F.struct("_at", "_n")).alias("removed_spans"))
     keyed = kept.select("*", text_key(text)[0]).alias("d")
     same = F.col(f"d.{id}").eqNullSafe(F.col("r._id")) & (F.col("d._k1") == F.col("r._k1"))
     joined = keyed.join(runs.alias("r"), same, "left").select(
         *(F.col(f"d.`{c}`") for c in kept.columns), F.array_sort("r.removed_spans").alias("removed_spans")
     )
-    return cut_texts(joined, text, aligned)
+    return cut_texts(joined, text)
 
 
-def cut_texts(joined: DataFrame, text: str, aligned: bool = False) -> DataFrame:
+def cut_texts(joined: DataFrame, text: str) -> DataFrame:
     at, runs = joined.columns.index(text), joined.columns.index("removed_spans")
     numbers = [T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())]
     schema = T.StructType([*joined.schema.fields, *numbers])
@@ -219,7 +241,7 @@ def cut_texts(joined: DataFrame, text: str, aligned: bool = False) -> DataFrame:
         for batch in batches:
             for part in sliced(batch, at, SLICE_BYTES):
                 columns = list(part.columns)
-                columns[at], n, removed = cut_sentences(part.column(at), part.column(runs), aligned)
+                columns[at], n, removed = cut_sentences(part.column(at), part.column(runs))
                 yield pa.RecordBatch.from_arrays([*columns, n, removed], names=schema.names)
 
     return map_arrow(joined, run, schema)

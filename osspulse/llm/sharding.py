@@ -147,5 +147,6 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0, block_rows: i
             yield pa.RecordBatch.from_arrays([*columns, pa.array(shard, pa.int32()), pa.array(slot)], names=last.names)
 
     parts = max(1, len(plan.value.part_sizes))
-    exchanged = map_arrow(kept, deal, dealt).repartition(parts, "_part").sortWithinPartitions("_part")
+    # A task for each part.
+    exchanged = map_arrow(kept, deal, dealt).repartitionById(parts, F.col("_part").cast("int"))
     return map_arrow(exchanged, settle, last).sortWithinPartitions("shard", "slot")

@@ -43,50 +43,38 @@ def contamination(docs, items, window=13):
     return out
 
 
-def sentences(text):
-    """Lists of word matches."""
-    out, current, place = [], [], 0
-    matches = list(re.finditer(VISIBLE, text))
-    for word, after in zip(matches, [*matches[1:], None], strict=False):
-        current.append(word)
-        place += 1
-        between = text[word.end() : after.start()] if after else "\n"
-        if word[0][-1] in ".!?" or "\n" in between:
-            place = 0
-        elif not (place >= 8 and word_hash(word[0]) % 8 == 0) and len(current) < 16:
-            continue
-        out.append(current)
-        current = []
-    return out + ([current] if current else [])
-
-
 @lru_cache(maxsize=None)
 def word_hash(word):
     data = np.frombuffer(word.encode(), np.uint8)
     return int(span_hashes(data, np.array([0]), np.array([len(data)]))[0])
 
 
-def remove_repeats(docs, least_sentences=3, least_words=20):
-    """Texts by id, without what a smaller id or an earlier place has had."""
+def remove_repeats(docs, least_sentences=3, least_words=20, window=10):
+    """Texts by id without repeats: cuts at marks and at the least hash of each window, spans in both directions."""
     seen, out = set(), {}
     for doc in sorted(docs):
-        text = docs[doc]
-        if text is None:
-            out[doc] = None
-            continue
-        found, gone = sentences(text), set()
-        for a in range(len(found)):
-            b, n = a, 0
-            while b < len(found) and (b - a < least_sentences or n < least_words):
-                n += len(found[b])
-                b += 1
-            if b - a >= least_sentences and n >= least_words:
-                key = tuple(tuple(w[0] for w in s) for s in found[a:b])
-                if key in seen:
-                    gone.update(range(a, b))
-                seen.add(key)
-        bounds = [0, *(s[0].start() for s in found[1:]), len(text)]
-        out[doc] = text if not gone else "".join(text[bounds[i] : bounds[i + 1]] for i in range(len(found)) if i not in gone)
+        text = docs[doc] or ""
+        words = list(re.finditer(VISIBLE, text))
+        hashes = [0 if w[0][-1] in ".!?" else word_hash(w[0]) for w in words]
+        ends = {len(words)} - {0}
+        for i in range(len(words) - window + 1):
+            ends.add(1 + max(range(i, i + window), key=lambda j: (-hashes[j], j)))
+        for i, (word, after) in enumerate(zip(words, words[1:], strict=False)):
+            if word[0][-1] in ".!?" or "\n" in text[word.end() : after.start()]:
+                ends.add(i + 1)
+        cuts, gone = [0, *sorted(ends)], set()
+        n = len(cuts) - 1
+        fits = lambda a, b: b - a >= least_sentences and cuts[b] - cuts[a] >= least_words
+        forward = {(a, next((b for b in range(a, n + 1) if fits(a, b)), None)) for a in range(n)}
+        backward = {(next((a for a in range(b, -1, -1) if fits(a, b)), None), b) for b in range(n + 1)}
+        for a, b in sorted(s for s in forward | backward if None not in s):
+            key = tuple(tuple(w[0] for w in words[i:j]) for i, j in zip(cuts[a:b], cuts[a + 1 : b + 1], strict=True))
+            if key in seen:
+                gone.update(range(a, b))
+            seen.add(key)
+        bounds = [0, *(words[c].start() for c in cuts[1:-1]), len(text)]
+        kept = "".join(text[bounds[i] : bounds[i + 1]] for i in range(n) if i not in gone)
+        out[doc] = kept if gone else docs[doc]
     return out
 
 

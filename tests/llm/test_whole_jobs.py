@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-import re
 import zlib
 
 import numpy as np
@@ -17,35 +16,6 @@ from osspulse.llm import packing, sentence_spans, sharding, simhash
 from osspulse.llm.queries import QUERIES
 
 
-def aligned_loops(docs, least_sentences=3, least_words=20, window=10):
-    """Texts by id without repeats: cuts at marks and at the least hash of each window, spans in both directions."""
-    seen, out = set(), {}
-    for doc in sorted(docs):
-        text = docs[doc] or ""
-        words = list(re.finditer(brute.VISIBLE, text))
-        hashes = [0 if w[0][-1] in ".!?" else brute.word_hash(w[0]) for w in words]
-        ends = {len(words)} - {0}
-        for i in range(len(words) - window + 1):
-            ends.add(1 + max(range(i, i + window), key=lambda j: (-hashes[j], j)))
-        for i, (word, after) in enumerate(zip(words, words[1:], strict=False)):
-            if word[0][-1] in ".!?" or "\n" in text[word.end() : after.start()]:
-                ends.add(i + 1)
-        cuts, gone = [0, *sorted(ends)], set()
-        n = len(cuts) - 1
-        fits = lambda a, b: b - a >= least_sentences and cuts[b] - cuts[a] >= least_words
-        forward = {(a, next((b for b in range(a, n + 1) if fits(a, b)), None)) for a in range(n)}
-        backward = {(next((a for a in range(b, -1, -1) if fits(a, b)), None), b) for b in range(n + 1)}
-        for a, b in sorted(s for s in forward | backward if None not in s):
-            key = tuple(tuple(w[0] for w in words[i:j]) for i, j in zip(cuts[a:b], cuts[a + 1 : b + 1], strict=True))
-            if key in seen:
-                gone.update(range(a, b))
-            seen.add(key)
-        bounds = [0, *(words[c].start() for c in cuts[1:-1]), len(text)]
-        kept = "".join(text[bounds[i] : bounds[i + 1]] for i in range(n) if i not in gone)
-        out[doc] = kept if gone else docs[doc]
-    return out
-
-
 @pytest.fixture(scope="module")
 def plain_tokenizer():
     """The tokenizer as its file has it, with nothing set."""
@@ -95,7 +65,7 @@ def test_no_passage_of_51_words_is_missed(spark, sf_dir):
             before, after = ([word() + rng.choice([""] * 9 + ["."]) for _ in range(rng.randint(0, 40))] for _ in range(2))
             rows.append((2 * case + side, " ".join([*before, *passage, *after])))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r.text for r in sentence_spans.remove_repeats(docs, aligned=True).collect()}
+    found = {r.doc_id: r.text for r in sentence_spans.remove_repeats(docs).collect()}
     for doc, text in rows:
         left = [w for w in found[doc].split() if w.startswith("p")]
         if doc % 2 == 0:
@@ -108,7 +78,7 @@ def test_no_passage_of_51_words_is_missed(spark, sf_dir):
 def test_aligned_spans_against_loops(spark, sf_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     found = {r.doc_id: r.text for r in QUERIES["op2_sentence_span_dedup"](spark, sf_dir).collect()}
-    assert found == aligned_loops(texts)
+    assert found == brute.remove_repeats(texts)
 
 
 def test_keep_one_tells_texts_of_one_id_apart(spark):
