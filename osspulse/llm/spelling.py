@@ -89,10 +89,15 @@ def prefix_nodes(keys: pa.Array, sides: np.ndarray) -> tuple[np.ndarray, ...]:
     return row, at, node.view(np.int64), follows
 
 
+def half(word: str) -> Column:
+    return F.floor(F.char_length(word) / 2)
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (node, label, child, end) of the two tries of `word`, and the words (key, side, tail) with their last node.
+    """Edges (node, label, child, end, nexts) of the two tries of `word`, and the words (key, side, start, tail) with their last node before their
+    second half and their last one.
 
-    A node is where words end or part; chains between nodes are single edges. Nodes are 64-bit
+    A node is where words end or part; chains between nodes are single edges. `nexts`: the letters that edges of the child begin with. Nodes are 64-bit
     hashes of prefixes; two that clash would only offer neighbours that a later comparison refuses.
     """
     forwards = words.select(F.col("word").alias("key"), F.lit(0).alias("side"))
@@ -129,32 +134,43 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     each = walked.select(F.inline(F.transform(F.slice("_path", F.lit(1), F.size("_path") - 1), edge)))
     edges = stored(each.groupBy("node", "label", "child").agg(F.max("end").alias("end")), "edges")
-    return edges, walked.select("key", "side", F.element_at("_path", -1)["node"].alias("tail"))
+    letters = F.array_join(F.collect_set(F.substr("label", F.lit(1), F.lit(1))), "").alias("nexts")
+    follow = edges.groupBy(F.col("node").alias("child")).agg(letters)
+    edges = stored(edges.join(follow, "child", "left").withColumn("nexts", F.coalesce("nexts", F.lit(""))), "edges")
+    first = F.filter("_path", lambda x: x["_at"] < half("key"))
+    return edges, walked.select("key", "side", F.element_at(first, -1).alias("start"), F.element_at("_path", -1)["node"].alias("tail"))
 
 
 def advance(joined: DataFrame) -> DataFrame:
     """The states that follow from states beside an edge of their node."""
     at, label, l, size = F.col("at"), F.col("label"), F.char_length("label"), F.char_length("key")  # noqa: E741
     rest = lambda skip, n: F.substr(F.col("key"), at + F.lit(1 + skip), n)
-    tail = F.substr(label, F.lit(2), l)
-    part = (F.col("edits") == 0) & (at >= F.floor(size / 2)) & (rest(0, F.lit(1)) != F.substr(label, F.lit(1), F.lit(1)))
+    tail, letter = F.substr(label, F.lit(2), l), F.substr(label, F.lit(1), F.lit(1))
+    part = (F.col("edits") == 0) & (at >= half("key"))
     to = lambda place, edits: F.struct(place.cast("int").alias("at"), F.col("child").alias("node"), edits.cast("int").alias("edits"), "end")
-    one = F.lit(1)
     ways = F.array(
         F.when(rest(0, l) == label, to(at + l, F.col("edits"))),
-        F.when(part & (at < size) & (rest(1, l - 1) == tail), to(at + l, one)),  # another letter
-        F.when(part & (rest(0, l - 1) == tail), to(at + l - 1, one)),  # a letter more
-        F.when(part & (rest(1, l) == label), to(at + l + 1, one)),  # a letter less
+        F.when(part & (rest(0, F.lit(1)) < letter) & (at < size) & (rest(1, l - 1) == tail), to(at + l, F.lit(1))),  # another letter
+        F.when(part & (rest(0, F.lit(1)) != letter) & (rest(1, l) == label), to(at + l + 1, F.lit(1))),  # a letter less
     )
-    return joined.select("key", "side", F.inline(F.filter(ways, lambda way: way.isNotNull())))
+
+    def alive(way: Column) -> Column:
+        on = F.substr(F.col("key"), way["at"] + 1, F.lit(1))
+        ended = way["end"] & (way["at"] == size)
+        return way.isNotNull() & ((way["edits"] == 0) | ended | ((way["at"] < size) & (F.instr(F.col("nexts"), on) > 0)))
+
+    # Said again of the letters alone, so that the join makes few rows.
+    here, next_ = rest(0, F.lit(1)), rest(1, F.lit(1))
+    fits = (letter == here) | (part & ((here < letter) | (letter == next_)))
+    return joined.filter(fits).select("key", "side", F.inline(F.filter(ways, alive)))
 
 
 def neighbours(words: DataFrame) -> DataFrame:
     """`word` and `near`: every ordered pair of words that differ by exactly one edit."""
     edges, walked = trie(words)
-    root = F.when(F.col("side") == 0, F.lit(ROOTS[0])).otherwise(F.lit(ROOTS[1])).cast("long")
-    states = walked.select("key", "side", F.lit(0).alias("at"), root.alias("node"), F.lit(0).alias("edits"))
-    size, found = F.char_length("key"), None
+    states = walked.select("key", "side", F.col("start._at").alias("at"), F.col("start.node").alias("node"), F.lit(0).alias("edits"))
+    size = F.char_length("key")
+    found = None
     while total := states.count():
         hot = states.groupBy("node").count().filter(is_hot("count", total)).select("node")
         step = stored(advance(join_hot(states, edges, ["node"], hot)), "frontier")
@@ -167,7 +183,8 @@ def neighbours(words: DataFrame) -> DataFrame:
     forwards = lambda c: F.when(F.col("side") == 0, F.col(c)).otherwise(F.reverse(c))
     named = found.join(walked.select(F.col("key").alias("_near"), "tail"), "tail")
     pairs = named.select(forwards("key").alias("word"), forwards("_near").alias("near"))
-    return pairs.filter(F.levenshtein("word", "near", 1) == 1).distinct()
+    pairs = pairs.filter(F.levenshtein("word", "near", 1) == 1)
+    return pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
 
 
 def follow(forms: DataFrame) -> DataFrame:
