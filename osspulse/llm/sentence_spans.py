@@ -16,6 +16,7 @@ lets through are shuffled with the ids and places that the join needs.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import partial
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import VISIBLE, Texts, byte_class, mix, span_hashes
-from osspulse.llm.common import SLICE_BYTES, is_hot, join_hot, map_arrow, sliced, stored, text_key, with_arrow_columns, without
+from osspulse.llm.common import SLICE_BYTES, is_hot, map_arrow, sliced, stored, text_key, with_arrow_columns, without
 
 LEAST_SENTENCES, LEAST_WORDS = 3, 20
 # Bits of the table of repeated spans for each of them, and of the whole table: 64 MB. Beyond that all spans are joined.
@@ -188,16 +189,53 @@ def maybe_repeated(spans: DataFrame, bits_each: int = BITS_EACH, most_bits: int
     return stored(map_arrow(spans, run, spans.schema), "likely")
 
 
+class HotFirsts:
+    """Of hashes that a fixed share of all spans has, so few, the place of the first span."""
+
+    def __init__(self, rows: list, order: list[str]):
+        once = Counter(row["_h1"] for row in rows)
+        rows = sorted((row for row in rows if once[row["_h1"]] == 1), key=lambda row: row["_h1"])
+        self.h1, self.h2 = (np.array([row[c] for row in rows], np.int64) for c in ("_h1", "_h2"))
+        self.at = np.array([row["_first"]["_at"] for row in rows], np.int64)
+        self.order = [[row["_first"][c] for row in rows] for c in order]
+
+    def state(self, h1: np.ndarray, h2: np.ndarray, at: np.ndarray, order: list[pa.Array]) -> np.ndarray:
+        """0 for spans with other hashes, 1 for the first span of a hash that is here, 2 for its later ones."""
+        if not len(self.h1):
+            return np.zeros(len(h1), np.int32)
+        i = np.minimum(np.searchsorted(self.h1, h1), len(self.h1) - 1)
+        out = np.where((self.h1[i] == h1) & (self.h2[i] == h2), 2, 0).astype(np.int32)
+        for row in np.flatnonzero((out > 0) & (self.at[i] == at)).tolist():
+            if all(column[row].as_py() == first[i[row]] for column, first in zip(order, self.order, strict=True)):
+                out[row] = 1
+        return out
+
+
 def repeated_spans(spans: DataFrame, order: list[str]) -> DataFrame:
-    """The rows of `spans` that are not the first with their hash, in the order of these columns and `_at`."""
+    """The rows of `spans` that are not the first with their hash, in the order of these columns and `_at`.
+
+    Spans of hot hashes stay where they are and are compared there with the first one.
+    """
     keys = ["_h1", "_h2"]
     first = F.min(F.struct(*order, "_at")).alias("_first")
     groups = spans.groupBy(*keys).agg(first, F.count(F.lit(1)).alias("_times")).filter("_times > 1")
     groups = stored(groups, "repeated")
-    total = spans.count()
-    hot = groups.filter(is_hot("_times", total)).select(*keys)
-    joined = join_hot(spans, groups.drop("_times"), keys, hot)
-    return joined.filter(~F.struct(*order, "_at").eqNullSafe(F.col("_first"))).drop("_first")
+    # At most one over the share that makes a hash hot.
+    hot = HotFirsts(groups.filter(is_hot("_times", spans.count())).collect(), order)
+    shared, names = spans.sparkSession.sparkContext.broadcast(hot), spans.columns
+    at = [names.index(c) for c in (*keys, "_at", *order)]
+    schema = T.StructType([*spans.schema.fields, T.StructField("_state", T.IntegerType())])
+
+    def run(batches):
+        for batch in batches:
+            h1, h2, place = (batch.column(i).to_numpy().astype(np.int64) for i in at[:3])
+            state = shared.value.state(h1, h2, place, [batch.column(i) for i in at[3:]])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(state)], names=schema.names)
+
+    told = map_arrow(spans, run, schema)
+    often = told.filter("_state = 2").drop("_state")
+    rest = told.filter("_state = 0").drop("_state").join(groups.drop("_times"), keys)
+    return often.unionByName(rest.filter(~F.struct(*order, "_at").eqNullSafe(F.col("_first"))).drop("_first"))
 
 
 def remove_repeats(

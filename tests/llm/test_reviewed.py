@@ -192,3 +192,17 @@ def test_each_part_of_the_shuffle_has_its_own_task(spark):
     assert len(rows) == 7 * 3 and max(r["count"] for r in rows) < 300
     slots = dealt.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("a"), F.max("slot").alias("b")).collect()
     assert all((r.a, r.b) == (0, r.n - 1) for r in slots) and len(slots) == 7
+
+
+def test_spans_of_a_hot_passage(spark, monkeypatch):
+    from osspulse.llm import common
+
+    monkeypatch.setattr(common, "HOT_LEAST", 3)
+    passage = " ".join(f"word{i} is here." if i % 9 == 8 else f"word{i}" for i in range(60))
+    rows = [(i if i % 7 else None, f"Own {i} begin.\n{passage}\nOwn {i} end.") for i in range(40)] + [(50, passage + "\n" + passage)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = sentence_spans.remove_repeats(docs).collect()
+    texts = {(r.doc_id, r.n_removed > 0) for r in found}
+    assert len(found) == 41 and sum("word30" in r.text for r in found) == 1
+    # The first of the rows without an id keeps it.
+    assert (None, False) in texts and all(removed for i, removed in texts if i is not None)
