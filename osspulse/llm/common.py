@@ -141,6 +141,23 @@ def join_hot(big: DataFrame, small: DataFrame, keys: Sequence[str], hot: DataFra
     return often.unionByName(rest)
 
 
+def least_hashed(rows: DataFrame, kind: str, id: str, most: int) -> tuple[DataFrame, dict]:
+    """Of each kind the `most` rows with the least hash of the id, and how many rows each kind has.
+
+    A bound on the hash, from the kinds' counts, leaves little more than that to rank, however many rows there are; the least
+    hash itself is always within it. Rows of one id that tie are settled by their other columns' hash.
+    """
+    spark, draw = rows.sparkSession, F.xxhash64(F.col(id).cast("string"), F.lit("sample"))
+    known = rows.filter(F.col(kind).isNotNull())
+    found = known.groupBy(kind).agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("least")).collect()
+    bounds = [(r[0], max(r["least"], int(min(1.0, (2 * most + 50) / r["n"]) * (2**64 - 1)) - 2**63)) for r in found]
+    schema = T.StructType([T.StructField("_k", rows.schema[kind].dataType), T.StructField("_bound", T.LongType())])
+    near = known.join(F.broadcast(spark.createDataFrame([(k, min(b, 2**63 - 1)) for k, b in bounds], schema)), F.col(kind) == F.col("_k"))
+    order = Window.partitionBy(kind).orderBy(draw, F.xxhash64(*rows.columns))
+    ranked = near.filter(draw <= F.col("_bound")).withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= most).select(*rows.columns, "_rank"), {r[0]: r["n"] for r in found}
+
+
 def bounded_sample(
     rows: DataFrame, kind: str, id: str, text: str, most_texts: int, most_bytes: int
 ) -> tuple[list[tuple], dict]:
@@ -151,14 +168,12 @@ def bounded_sample(
     driver gets not more than about twice `most_bytes` per kind (in ASCII). Rows without kind or text do not count.
     """
     known = rows.select(F.col(kind).alias("_kind"), F.col(id).alias("_id"), F.col(text).alias("_text"))
-    known = known.filter("_kind is not null and _text is not null")
-    draw, key = F.xxhash64(F.col("_id").cast("string"), F.lit("sample")), F.xxhash64("_text")
-    sized = known.select("_kind", "_id", key.alias("_key"), draw.alias("_draw"), F.octet_length("_text").alias("_size"))
-    order = Window.partitionBy("_kind").orderBy("_draw", "_id", "_key")
-    first = sized.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= most_texts)
-    before = F.coalesce(F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    chosen = first.withColumn("_before", before).filter(F.col("_before") < most_bytes).select("_kind", "_id", "_key")
-    counts = {r[0]: r[1] for r in known.groupBy("_kind").count().collect()}
+    known, key = known.filter("_kind is not null and _text is not null"), F.xxhash64("_text")
+    sized = known.select("_kind", "_id", key.alias("_key"), F.octet_length("_text").alias("_size"))
+    first, counts = least_hashed(sized, "_kind", "_id", most_texts)
+    before = Window.partitionBy("_kind").orderBy("_rank").rowsBetween(Window.unboundedPreceding, -1)
+    first = first.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    chosen = first.filter(F.col("_before") < most_bytes).select("_kind", "_id", "_key")
     wanted = F.broadcast(chosen.distinct().toDF("_k", "_i", "_h"))
     same = (F.col("_kind") == F.col("_k")) & F.col("_id").eqNullSafe(F.col("_i")) & (key == F.col("_h"))
     found = known.join(wanted, same, "left_semi").select("_kind", "_id", F.substring("_text", 1, most_bytes).alias("_text"))

@@ -15,12 +15,12 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import flatten
-from osspulse.llm.common import bounded_sample, with_arrow_columns, without
+from osspulse.llm.common import bounded_sample, least_hashed, with_arrow_columns, without
 
 # Labelled texts of one class that the model is learned from, and bytes of text of one class.
 SAMPLE_TEXTS, SAMPLE_BYTES = 4000, 8_000_000
@@ -141,12 +141,10 @@ def train(
     known = labels.filter(F.col(id).isNotNull() & F.col(label).isNotNull() & ~held_out(id))
     known = known.groupBy(F.col(id).alias("_id")).agg((F.avg(label) >= 0.5).cast("int").alias("_label"))
     # Chosen among the ids first, so that the documents meet a few rows only.
-    order = Window.partitionBy("_label").orderBy(F.xxhash64(F.col("_id").cast("string"), F.lit("sample")), "_id")
-    few = known.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= sample_texts)
+    few, counts = least_hashed(known, "_label", "_id", sample_texts)
     few = F.broadcast(few.drop("_rank"))
     texts = docs.select(F.col(id).alias("_id"), F.col(text).cast("string").alias("_text")).join(few, "_id")
     rows, _ = bounded_sample(texts, "_label", "_id", "_text", sample_texts, sample_bytes)
-    counts = {r[0]: r[1] for r in known.groupBy("_label").count().collect()}
     return fit(rows, counts)
 
 
