@@ -9,15 +9,17 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from osspulse import schemas
+from osspulse import schemas, upkeep
 from osspulse.functions import date_key, utc_naive
 from osspulse.operators.filters import after_watermark, watermark
 from osspulse.plans import activity, dims, facts, staging
 from osspulse.quality.suites import mart_suites, run_suites, staging_suites
 from osspulse.sinks import (
     Layer,
+    assert_contract,
     catalog_marts,
     ensure_layers,
+    finish_switches,
     merge_table,
     snapshot_table,
     write_table,
@@ -39,9 +41,8 @@ RAW_PARTITION = "_month"
 UNDATED = "0000-00"
 # Copies of a dimension for its join with the facts, so that no key is one task's alone.
 SALTS = 4
-# Storage partitions of the facts.
+# Storage partition of the facts that are merged by key.
 FACT_PARTITION = "date_key"
-OPENED_PARTITION = "opened_date_key"
 # The day up to which landed records were loaded, by endpoint; the results of the checks.
 LOAD_STATE = Layer.RAW.table("load_state")
 CHECK_RESULTS = Layer.INTERMEDIATE.table("check_results")
@@ -127,6 +128,8 @@ def load_raw(
         order_by=[table.version, "_loaded_at", PAGE],
         transient=[PAGE],
         key_fixes_partition=table.key_fixes_partition,
+        indexed=not table.key_fixes_partition and endpoint in upkeep.LOGGED,
+        change_log=upkeep.change_log(endpoint) if endpoint in upkeep.LOGGED else None,
     )
 
 
@@ -224,10 +227,12 @@ def build_marts(
 ) -> None:
     """Snapshot, dimensions and facts from the raw tables.
 
-    `backfill` lifts the day watermark of downloads and metrics, which otherwise leaves out days
-    older than the newest one loaded. `full_refresh` rebuilds the incremental facts from all raw rows.
+    What follows from commits, issues and pull requests is kept up from their logged changes (`osspulse.upkeep`), and made
+    from all raw rows the first time. `backfill` lifts the day watermark of downloads and metrics, which otherwise leaves out days
+    older than the newest one loaded. `full_refresh` rebuilds everything from all raw rows.
     """
-    s = staged(raw_tables(spark))
+    raw = raw_tables(spark)
+    s = staged(raw)
 
     def rebuild(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         table = Layer.MARTS.table(name)
@@ -249,22 +254,15 @@ def build_marts(
         run_ts,
     )
     history = spark.table(Layer.SNAPSHOTS.table("snap_repositories"))
-    rebuild("dim_dates", dims.dim_dates(spark))
-    rebuild("dim_labels", dims.dim_labels(s["stg_issue_labels"], s["stg_pr_labels"]))
-    repositories = rebuild("dim_repositories", dims.dim_repositories(history))
-    people = rebuild(
-        "dim_contributors",
-        dims.dim_contributors(s["stg_commits"], s["stg_pull_requests"], s["stg_issues"]),
-    )
-
-    pulls = facts.fct_pull_requests(s["stg_pull_requests"], repositories, people, SALTS)
-    rebuild("fct_pull_requests", pulls, OPENED_PARTITION)
-    rebuild("fct_issues", facts.fct_issues(s["stg_issues"], repositories, people, SALTS), OPENED_PARTITION)
-    rebuild("bridge_issue_labels", facts.bridge_issue_labels(s["stg_issue_labels"]))
-    events = activity.contributor_activity(s["stg_commits"], s["stg_pull_requests"], s["stg_issues"])
-    rebuild(
-        "fct_contributor_activity_monthly", facts.fct_contributor_activity_monthly(events, people)
-    )
+    if not spark.catalog.tableExists(Layer.MARTS.table("dim_dates")) or full_refresh:
+        rebuild("dim_dates", dims.dim_dates(spark))
+    versions = dims.dim_repositories(history)
+    if full_refresh or not upkeep.can_keep_up(spark):
+        rebuild("dim_repositories", versions)
+        upkeep.rebuild_all(spark, raw, s, spark.table(Layer.MARTS.table("dim_repositories")), SALTS)
+    else:
+        upkeep.Upkeep(spark, raw, assert_contract(versions, schemas.MARTS["dim_repositories"]), SALTS).run()
+    repositories, people = (fresh_table(spark, Layer.MARTS.table(name)) for name in ("dim_repositories", "dim_contributors"))
 
     # By load time: author and publishing dates do not only grow.
     loaded = F.col("_loaded_at")
@@ -374,6 +372,8 @@ def run_day(
     severity `error` stops the run there.
     """
     ensure_layers(spark)
+    for layer in Layer:
+        finish_switches(spark, layer.value)
     write_table(read_projects(spark, projects_path), Layer.STAGING.table("projects"), schemas.PROJECTS)
     projects = spark.table(Layer.STAGING.table("projects"))
 

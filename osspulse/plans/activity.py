@@ -25,24 +25,30 @@ def _two_step(rows: DataFrame, opened: str, finished_at: str, finished: str) ->
             F.when(F.col(finished_at).isNotNull(), event(finished_at, finished)),
         )
     )
-    return rows.select(F.col("author_login").alias("username"), F.inline(happened))
+    return rows.select(F.col("author_login").alias("username"), "repository", F.inline(happened))
 
 
-def contributor_activity(
-    commits: DataFrame, pull_requests: DataFrame, issues: DataFrame
-) -> DataFrame:
-    """One row per event of a known login: `username, event_date, event_month, activity_type`."""
+def login_events(commits: DataFrame, pull_requests: DataFrame, issues: DataFrame) -> DataFrame:
+    """One row per event of a known login: `username, activity_type, repository, event_date`."""
     known = F.col("author_login").isNotNull()
     events = (
         commits.filter(known)
         .select(
             F.col("author_login").alias("username"),
+            "repository",
             F.to_date("committed_at").alias("event_date"),
             F.lit("commit").alias("activity_type"),
         )
         .unionByName(_two_step(pull_requests.filter(known), "pr_opened", "merged_at", "pr_merged"))
         .unionByName(_two_step(issues.filter(known), "issue_opened", "closed_at", "issue_closed"))
     )
-    return events.select(
+    return events.select("username", "activity_type", "repository", "event_date")
+
+
+def contributor_activity(
+    commits: DataFrame, pull_requests: DataFrame, issues: DataFrame
+) -> DataFrame:
+    """One row per event of a known login: `username, event_date, event_month, activity_type`."""
+    return login_events(commits, pull_requests, issues).select(
         "username", "event_date", month_start(F.col("event_date")).alias("event_month"), "activity_type"
     )

@@ -82,6 +82,25 @@ def dim_contributors(commits: DataFrame, pull_requests: DataFrame, issues: DataF
     people = by_project.unionByName(by_author, allowMissingColumns=True).unionByName(
         askers, allowMissingColumns=True
     )
+    return _people(people)
+
+
+def contributors_of_counts(counted: DataFrame) -> DataFrame:
+    """`dim_contributors` from `n` events per username, activity_type, repository and event_date."""
+    is_commit = F.col("activity_type") == "commit"
+    day, n = F.when(is_commit, F.col("event_date")), F.col("n")
+    by_project = counted.groupBy("username", "repository").agg(
+        F.sum(F.when(is_commit, n)).alias("commits"),
+        F.min(day).alias("first_day"),
+        F.max(day).alias("last_day"),
+        F.sum(F.when(F.col("activity_type") == "pr_opened", n)).alias("opened"),
+        F.sum(F.when(F.col("activity_type") == "pr_merged", n)).alias("merged"),
+    )
+    # A project counts where there are commits.
+    return _people(by_project.withColumn("repository", F.when(F.col("commits").isNotNull(), F.col("repository"))))
+
+
+def _people(people: DataFrame) -> DataFrame:
     # Most commits first, then the name in text order, a missing name last.
     rank = F.when(
         F.col("commits").isNotNull(),
@@ -143,9 +162,15 @@ def dim_labels(issue_labels: DataFrame, pr_labels: DataFrame) -> DataFrame:
     tasks, while a maximum over text has to sort its input.
     """
     columns = ["label_name", "label_color"]
-    pairs = issue_labels.select(*columns).unionByName(pr_labels.select(*columns))
+    return labels_of(issue_labels.select(*columns).unionByName(pr_labels.select(*columns)))
+
+
+def labels_of(pairs: DataFrame) -> DataFrame:
+    """`dim_labels` from the pairs of name and color."""
+    columns = ["label_name", "label_color"]
     return (
-        pairs.filter(F.col("label_name").isNotNull())
+        pairs.select(*columns)
+        .filter(F.col("label_name").isNotNull())
         .distinct()
         .groupBy("label_name")
         .agg(F.max("label_color").alias("label_color"))

@@ -5,10 +5,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from osspulse.functions import date_key, hour_diff, surrogate_key
+from osspulse.functions import date_key, hour_diff, month_start, surrogate_key
 from osspulse.operators.joins import lookup_join, scd2_join
 from osspulse.plans.activity import ACTIVITY_TYPES
 
@@ -125,14 +127,10 @@ def fct_repository_metrics(repositories_now: DataFrame, repositories: DataFrame,
     )
 
 
-def fct_contributor_activity_monthly(activity: DataFrame, contributors: DataFrame) -> DataFrame:
-    """One row per contributor and month, a column per activity type.
-
-    Counted before the join, so the join sees one row per login and month.
-    """
+def _monthly(activity: DataFrame, contributors: DataFrame, count) -> DataFrame:
     names = ("commits", "prs_opened", "prs_merged", "issues_opened", "issues_closed")
     counts = [
-        F.count_if(F.col("activity_type") == kind).alias(name)
+        count(F.col("activity_type") == kind).alias(name)
         for kind, name in zip(ACTIVITY_TYPES, names, strict=True)
     ]
     monthly = activity.groupBy("username", "event_month").agg(*counts)
@@ -147,12 +145,26 @@ def fct_contributor_activity_monthly(activity: DataFrame, contributors: DataFram
     )
 
 
-def bridge_issue_labels(issue_labels: DataFrame) -> DataFrame:
-    """One row per issue and label, under the issue key of `fct_issues`.
+def fct_contributor_activity_monthly(activity: DataFrame, contributors: DataFrame) -> DataFrame:
+    """One row per contributor and month, a column per activity type.
+
+    Counted before the join, so the join sees one row per login and month.
+    """
+    return _monthly(activity, contributors, F.count_if)
+
+
+def activity_monthly_of_counts(counted: DataFrame, contributors: DataFrame) -> DataFrame:
+    """The same from `n` events per username, activity_type and event_date."""
+    months = counted.withColumn("event_month", month_start(F.col("event_date")))
+    return _monthly(months, contributors, lambda kind: F.coalesce(F.sum(F.when(kind, F.col("n"))), F.lit(0)))
+
+
+def bridge_issue_labels(issue_labels: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per issue and label, under the issue key of `fct_issues`, with columns of the issue to `keep`.
 
     `dim_labels` has every label name, and its key follows from the name: no join, so no hot label.
     """
     named = issue_labels.filter(F.col("label_name").isNotNull())
-    pairs = named.select("repository", "issue_number", "label_name").distinct()
+    pairs = named.select("repository", "issue_number", "label_name", *keep).distinct()
     issue = surrogate_key(F.col("repository"), F.col("issue_number"))
-    return pairs.select(issue.alias("issue_key"), surrogate_key(F.col("label_name")).alias("label_key"))
+    return pairs.select(issue.alias("issue_key"), surrogate_key(F.col("label_name")).alias("label_key"), *keep)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,18 +81,19 @@ def stg_pull_requests(pull_requests: DataFrame) -> DataFrame:
     )
 
 
-def _labels(parents: DataFrame, number: str) -> DataFrame:
-    return child_rows(parents, "labels", ["_repo", "number"]).select(
+def _labels(parents: DataFrame, number: str, keep: Sequence[str] = ()) -> DataFrame:
+    return child_rows(parents, "labels", ["_repo", "number", *keep]).select(
         F.col("_repo").alias("repository"),
         F.col("number").alias(number),
         F.col("name").alias("label_name"),
         F.col("color").alias("label_color"),
+        *keep,
     )
 
 
-def stg_issue_labels(issues: DataFrame) -> DataFrame:
-    """One row per label on a true issue."""
-    return _labels(_true_issues(issues), "issue_number")
+def stg_issue_labels(issues: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per label on a true issue, with columns of the raw issue to `keep`."""
+    return _labels(_true_issues(issues), "issue_number", keep)
 
 
 def stg_pr_labels(pull_requests: DataFrame) -> DataFrame:

@@ -31,7 +31,8 @@ class _CatalogMarts(Mapping[str, DataFrame]):
         self._spark = spark
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self._spark.table(Layer.MARTS.table(name))
+        # Without columns that only place the rows.
+        return self._spark.table(Layer.MARTS.table(name)).select(*schemas.MARTS[name].fieldNames())
 
     def __iter__(self) -> Iterator[str]:
         return iter(schemas.MARTS)

@@ -6,20 +6,25 @@ any more are deleted last. A run that stops before the switch has changed nothin
 between the switches of two partitions leaves whole partitions, old or new, and repeating the batch
 completes it. Nothing is renamed, so object stores suit. A merge rewrites only the partitions that hold
 keys of the batch: the cost of a run follows the batch, not the table.
+
+Tables that must fit together are switched by a `WriteGroup`: all its files are written first, then a journal says which
+switches follow, and `finish_switches` completes what a journal says after a stop in between.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.functions import utc_naive
+from osspulse.operators.deltas import signed
 from osspulse.operators.history import OPEN_END, scd2_snapshot
 from osspulse.operators.merge import latest_in_batch
 from osspulse.sinks.contracts import assert_contract, assert_same_schema
@@ -30,6 +35,8 @@ from osspulse.sources.tables import fresh_table
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 # Partitions added or dropped by one statement.
 PER_STATEMENT = 200
+# Storage partition of a change log, and the number of buckets of a key index.
+BATCH, INDEX_BUCKETS = "_batch", 64
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -81,6 +88,11 @@ def _location(spark: SparkSession, name: str, partition: str = "") -> str:
     return next(row[1] for row in rows if row[0] == "Location")
 
 
+def _tail(path: str) -> list[str]:
+    """The new folder and the partition of a location, however its root is written."""
+    return unquote(path).rstrip("/").split("/")[-2:]
+
+
 def _switch_partitions(
     spark: SparkSession, name: str, partition_by: str, folders: dict[str, str], gone: Iterable[str]
 ) -> None:
@@ -89,6 +101,8 @@ def _switch_partitions(
     gone = sorted(set(gone) & known)
     again = sorted(set(folders) & known)
     left = [_location(spark, name, _spec(partition_by, value)) for value in [*again, *gone]]
+    # Switched already, if this completes an earlier try.
+    left = [path for path in left if _tail(path) not in map(_tail, folders.values())]
     new = sorted(set(folders) - known)
     for at in range(0, len(new), PER_STATEMENT):
         added = " ".join(
@@ -104,6 +118,78 @@ def _switch_partitions(
     _delete(spark, left)
 
 
+def _switch_table(spark: SparkSession, name: str, path: str) -> None:
+    before = _location(spark, name)
+    if _tail(before) == _tail(path):
+        return
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+    _delete(spark, [before])
+
+
+class WriteGroup:
+    """New contents of several tables that appear together.
+
+    A stop before the journal is complete leaves all tables as they were; after one later than that
+    `finish_switches` brings all of them to their new contents.
+    """
+
+    def __init__(self, spark: SparkSession, database: str):
+        # One journal at a time: what an earlier group left is completed first.
+        finish_switches(spark, database)
+        self.spark, self.journal = spark, _journal(spark, database)
+        self.switches: list[dict] = []
+
+    def replace_partitions(self, df: DataFrame, name: str, partition_by: str, touched: Iterable) -> DataFrame:
+        """`df` in place of the `touched` partitions, at the commit; returns it as it was written."""
+        spark, path = self.spark, _new_folder(self.spark, name)
+        columns = spark.table(name).columns
+        _write_files(df.select(*columns), path, partition_by)
+        folders = _written_partitions(spark, path, partition_by)
+        gone = sorted({_text(value) for value in touched} - set(folders))
+        self.switches.append({"name": name, "partition_by": partition_by, "folders": folders, "gone": gone})
+        return spark.read.schema(spark.table(name).schema).parquet(path)
+
+    def replace_table(self, df: DataFrame, name: str) -> DataFrame:
+        """`df` in place of an unpartitioned table, at the commit."""
+        path = _new_folder(self.spark, name)
+        _write_files(df.select(*self.spark.table(name).columns), path, None)
+        self.switches.append({"name": name, "path": path})
+        return self.spark.read.schema(self.spark.table(name).schema).parquet(path)
+
+    def drop_partitions(self, name: str, partition_by: str, values: Iterable) -> None:
+        self.switches.append({"name": name, "partition_by": partition_by, "folders": {}, "gone": sorted(map(_text, values))})
+
+    def commit(self) -> None:
+        if self.switches:
+            lines = self.spark.createDataFrame([(json.dumps(x),) for x in self.switches], "line string").coalesce(1)
+            lines.write.mode("overwrite").text(self.journal)
+            _finish(self.spark, self.journal, self.switches)
+
+
+def _journal(spark: SparkSession, database: str) -> str:
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/_switches"
+
+
+def _finish(spark: SparkSession, journal: str, switches: Iterable[dict]) -> None:
+    for x in switches:
+        if "path" in x:
+            _switch_table(spark, x["name"], x["path"])
+        else:
+            _switch_partitions(spark, x["name"], x["partition_by"], x["folders"], x["gone"])
+    _delete(spark, [journal])
+
+
+def finish_switches(spark: SparkSession, database: str) -> bool:
+    """Complete the switches of a group that stopped after its journal was written; whether there was one."""
+    journal = _journal(spark, database)
+    fs, done = _filesystem(spark, f"{journal}/_SUCCESS")
+    if not fs.exists(done):
+        return False
+    _finish(spark, journal, [json.loads(row[0]) for row in spark.read.text(journal).collect()])
+    return True
+
+
 def _create(df: DataFrame, name: str, partition_by: str | None) -> None:
     writer = df.write.format("parquet").option("path", _new_folder(df.sparkSession, name))
     if partition_by:
@@ -144,10 +230,7 @@ def write_table(
         known = _known_partitions(spark, name, partition_by)
         _switch_partitions(spark, name, partition_by, folders, known - set(folders))
         return
-    before = _location(spark, name)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-    spark.catalog.refreshTable(name)
-    _delete(spark, [before])
+    _switch_table(spark, name, path)
 
 
 def _text(value) -> str:
@@ -175,6 +258,8 @@ def merge_table(
     transient: Sequence[str] = (),
     schema: T.StructType | None = None,
     key_fixes_partition: bool = False,
+    indexed: bool = False,
+    change_log: str | None = None,
 ) -> int:
     """Replace the table's rows that have a key of the batch by the batch; returns the batch's rows.
 
@@ -183,8 +268,10 @@ def merge_table(
     The first batch creates the table; a later one with other columns fails. Rows without a value of
     `partition_by` have a partition of their own.
 
-    A key may move to another partition, so its old one is looked up in the key columns of the
-    table. `key_fixes_partition` says that the key implies the partition, which saves that look.
+    A key may move to another partition, so its old one is looked up: in the key index of the table if it is
+    `indexed`, else in its key columns. `key_fixes_partition` says that the key implies the partition,
+    which saves that look. `change_log`: a table that gets the replaced rows and the batch as signed
+    rows, in a partition of their own (`_batch`). Table, index and log change together.
     """
     if schema is not None:
         batch = assert_contract(batch, schema)
@@ -192,30 +279,103 @@ def merge_table(
         batch = latest_in_batch(batch, keys, order_by)
     batch = batch.drop(*transient)
     if not spark.catalog.tableExists(name):
-        _create(batch, name, partition_by)
-        return spark.table(name).count()
+        if change_log is None and not indexed:
+            _create(batch, name, partition_by)
+            return spark.table(name).count()
+        _create(batch.limit(0), name, partition_by)
 
+    group = WriteGroup(spark, name.rpartition(".")[0] or spark.catalog.currentDatabase())
     target = fresh_table(spark, name)
     batch = cut_lineage(assert_same_schema(target, batch))
     per_value = batch.groupBy(partition_by).agg(F.count("*").alias("n")).collect()
     rows = sum(row["n"] for row in per_value)
     touched = {row[0] for row in per_value}
     batch_keys = batch.select(*keys).distinct()
-    if not key_fixes_partition:
+    if indexed:
+        index = KeyIndex(spark, name, keys, partition_by)
+        touched |= index.places(batch_keys)
+        index.stage(group, batch)
+    elif not key_fixes_partition:
         places = target.select(*dict.fromkeys([*keys, partition_by]))
         known = places.join(batch_keys, list(keys), "left_semi")
         touched |= {row[0] for row in known.select(partition_by).distinct().collect()}
     if not touched:
         return 0
-    # Partition values, not rows: a list as long as the partitions the batch touches.
-    chosen = F.col(partition_by).isin([value for value in touched if value is not None])
-    if None in touched:
-        chosen = chosen | F.col(partition_by).isNull()
-    kept = fresh_table(spark, name).filter(chosen).join(batch_keys, list(keys), "left_anti")
-    _replace_partitions(kept.unionByName(batch), name, partition_by, touched)
+    inside = fresh_table(spark, name).filter(in_partitions(partition_by, touched))
+    kept = inside.join(batch_keys, list(keys), "left_anti")
+    group.replace_partitions(kept.unionByName(batch), name, partition_by, touched)
+    if change_log is not None:
+        replaced = inside.join(batch_keys, list(keys), "left_semi").select(*batch.columns)
+        number = uuid.uuid4().hex
+        changes = signed(replaced, batch).withColumn(BATCH, F.lit(number))
+        if not spark.catalog.tableExists(change_log):
+            _create(changes.limit(0), change_log, BATCH)
+        group.replace_partitions(changes, change_log, BATCH, [number])
+    group.commit()
     return rows
 
 
+def in_partitions(partition_by: str, values: Iterable) -> Column:
+    """Rows of these partitions. A list of partition values, not of rows."""
+    values = set(values)
+    chosen = F.col(partition_by).isin([value for value in values if value is not None])
+    return chosen | F.col(partition_by).isNull() if None in values else chosen
+
+
+class KeyIndex:
+    """Where a table's keys are: hashes of keys and their partition, in buckets of the hash.
+
+    A look-up reads the buckets of the wanted keys, and a merge rewrites those in which a key is new or
+    has moved. A table that has rows but no index gets one from its key columns, once.
+    """
+
+    def __init__(self, spark: SparkSession, table: str, keys: Sequence[str], partition_by: str):
+        self.spark, self.table, self.keys, self.partition_by = spark, table, list(keys), partition_by
+        self.name = f"{table}__keys"
+        self.kind = spark.table(table).schema[partition_by].dataType
+        if not spark.catalog.tableExists(self.name):
+            _create(self.entries(fresh_table(spark, table)), self.name, "_bucket")
+
+    def entries(self, rows: DataFrame) -> DataFrame:
+        known = rows.select(
+            F.xxhash64(*self.keys).alias("_k1"),
+            F.hash(*self.keys).alias("_k2"),
+            F.coalesce(F.col(self.partition_by).cast("string"), F.lit(NO_VALUE)).alias("_place"),
+        )
+        return known.distinct().withColumn("_bucket", self.bucket())
+
+    @staticmethod
+    def bucket() -> Column:
+        return F.pmod("_k1", F.lit(INDEX_BUCKETS)).cast("int")
+
+    def read(self, keys: DataFrame) -> DataFrame:
+        """The index's rows in the buckets of these keys (columns `_k1`, `_k2`)."""
+        buckets = [row[0] for row in keys.select(self.bucket()).distinct().collect()]
+        return fresh_table(self.spark, self.name).filter(F.col("_bucket").isin(buckets))
+
+    def hashed(self, keys: DataFrame) -> DataFrame:
+        return keys.select(F.xxhash64(*self.keys).alias("_k1"), F.hash(*self.keys).alias("_k2"))
+
+    def places(self, keys: DataFrame) -> set:
+        """The partitions that hold any of these keys."""
+        wanted = self.hashed(keys)
+        found = self.read(wanted).join(wanted, ["_k1", "_k2"], "left_semi").select("_place").distinct()
+        value = F.when(F.col("_place") != NO_VALUE, F.col("_place").try_cast(self.kind))
+        return {row[0] for row in found.select(value).collect()}
+
+    def stage(self, group: WriteGroup, batch: DataFrame) -> None:
+        """The batch's keys at their new places, in the buckets where that changes anything."""
+        entries = cut_lineage(self.entries(batch))
+        there = self.read(entries)
+        moved = entries.join(there.select("_k1", "_k2", "_place"), ["_k1", "_k2", "_place"], "left_anti")
+        buckets = [row[0] for row in moved.select("_bucket").distinct().collect()]
+        if not buckets:
+            return
+        chosen = F.col("_bucket").isin(buckets)
+        kept = there.filter(chosen).join(entries, ["_k1", "_k2"], "left_anti")
+        group.replace_partitions(kept.unionByName(entries.filter(chosen)), self.name, "_bucket", buckets)
+
+
 def snapshot_table(
     spark: SparkSession,
     name: str,
