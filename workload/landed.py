@@ -11,6 +11,7 @@ from osspulse import schemas
 from osspulse.functions import utc_literal
 from osspulse.operators import by_repos, scd2_snapshot, upsert
 from osspulse.operators.merge import latest_in_batch
+from osspulse.operators.numbering import row_numbers
 from osspulse.pipeline import RAW_TABLES, after_cursor, with_month
 from osspulse.plans import dims, facts, queries, staging
 from osspulse.plans.metrics import retention_heatmap
@@ -262,6 +263,7 @@ def upsert_equal_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = Tables(spark, sf_dir)["lineitem"].select(
         "l_orderkey", F.lit(1).alias("version"), F.col("l_shipdate").alias("landed"), F.col("l_linenumber").alias("page"), "l_partkey"
     )
+    # Rows that tie in all of that go by their content, column by column.
     return latest_in_batch(rows, ["l_orderkey"], ["version", "landed", "page"])
 
 
@@ -271,9 +273,7 @@ mart_question("retention_heatmap_full", lambda m: retention_heatmap(queries.rete
 # ----- order -----
 def _positions(df: DataFrame) -> DataFrame:
     """`df` with the place of each row in its order. Reads the order that came out, so it numbers rows of partitions."""
-    schema = schemas.record(position=schemas.BIGINT)
-    rows = df.rdd.zipWithIndex().map(lambda pair: (pair[1] + 1, *pair[0]))
-    return df.sparkSession.createDataFrame(rows, type(schema)(schema.fields + df.schema.fields))
+    return row_numbers(df, (), is_sorted=True)
 
 
 def _ordered(name: str, plan) -> None:

@@ -408,4 +408,4 @@ def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_counts({name: t[name] for name in mapping.SCHEMAS})
 
 
-from workload import landed  # noqa: E402, F401  registers its queries
+from workload import landed, replays  # noqa: E402, F401  they register their queries
