@@ -13,6 +13,8 @@ import os
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +25,14 @@ from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import byte_class, flatten, mix
 from osspulse.llm.common import SLICE_BYTES, map_arrow, ship_package, sliced, stored, text_column, with_arrow_columns, without
+from osspulse.llm.packing import encoding
 
 # Keys of one bucket, on average; keys that a task holds at once, with 17 bytes each; vectors that are added at once.
 BUCKET_KEYS, SHARD_KEYS, FAN_IN = 1 << 12, 1 << 21, 16
-# Distinct pairs that a task of the first pass holds, and bytes of parts of texts whose alignment it remembers.
-HELD_PAIRS, REMEMBERED_BYTES = 1 << 20, 1 << 23
+# Distinct pairs that a task of the first pass holds, and parts of texts whose alignment it remembers.
+HELD_PAIRS, REMEMBERED = 1 << 20, 300_000
+# Longer parts are encoded alone. A byte that no UTF-8 text has.
+LONG_PART, CUT = 20_000, 0xFF
 # First bytes of characters that are white space, or may be.
 MAYBE_SPACE = byte_class((0x00, 0x20), (0xC2, 0xC2), (0xE1, 0xE3))
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
@@ -52,6 +57,7 @@ class Aligner:
 
     Both tokenizers end a token before a space that follows something else than a space and precedes
     something else than white space; so texts are cut there, and the parts' alignments are put together.
+    A rank file of the first tokenizer's vocabulary beside it is used where it can be, as it is faster.
     """
 
     def __init__(self, a: str, b: str):
@@ -61,76 +67,120 @@ class Aligner:
 
         self.a, self.b = Tokenizer.from_file(a), SentencePieceProcessor(model_file=b)
         self.a.encode_special_tokens = True
+        ranks = Path(a).with_suffix(".tiktoken")
+        self.ranks = encoding(str(ranks))[0] if ranks.exists() else None
         letters = byte_of_letter()
         vocabulary = self.a.get_vocab(with_added_tokens=False)
-        self.a_bytes = {i: bytes(letters[c] for c in token) for token, i in vocabulary.items()}
+        a_bytes = [b""] * (max(vocabulary.values()) + 2)
+        for token, i in vocabulary.items():
+            a_bytes[i] = bytes(letters[c] for c in token)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.b_bytes = [
-            bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
-        ]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         # A piece with a space after something else would span a cut; then texts stay whole.
-        self.cuts = not any(" " in raw.lstrip(b" ").decode(errors="ignore") for raw in self.b_bytes)
+        self.cuts = not any(b" " in raw.lstrip(b" ") for raw in b_bytes)
+        self.raw = [objects(a_bytes), objects(b_bytes)]
+        self.lengths = [np.array([len(x) for x in table], np.int64) for table in (a_bytes, b_bytes)]
+        # Ids as text, inside a group and at the end of its half.
+        self.inner = [objects([f"{i}," for i in range(len(table))]) for table in (a_bytes, b_bytes)]
+        self.last = [objects([f"{i}{end}" for i in range(len(table))]) for table, end in ((a_bytes, "|"), (b_bytes, ";"))]
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.held = 0
-        self.groups: list[str | None] = []
-        self.sizes: list[tuple[int, int, int]] = []
-        self.links: list[np.ndarray] = []
+        self.groups: list[str] = []
+        self.bad: set[int] = set()
+        self.sizes = np.zeros((0, 3), np.int64)
+        self.links, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
+
+    def plain(self, part: bytes) -> bool:
+        """Whether the part's tokens are the same with others around it; white space at its ends and great length forbid it."""
+        return self.ranks is not None and part[-1] != 0x20 and not MAYBE_SPACE[part[0]] and len(part) < LONG_PART
+
+    def encode_first(self, plain: Sequence[bytes], alone: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the first tokenizer for all parts, each with a space before it, and each part's number of ids."""
+        ids, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if plain:
+            ids = np.asarray(self.ranks.encode_to_numpy((b" " + b" ".join(plain)).decode()), np.int64)
+            ends = np.cumsum([len(part) + 1 for part in plain], dtype=np.int64)
+            counts = np.diff(np.searchsorted(np.cumsum(self.lengths[0][ids]), ends) + 1, prepend=0)
+        found = [x.ids for x in self.a.encode_batch([" " + part.decode() for part in alone], add_special_tokens=False)]
+        more = np.fromiter(chain.from_iterable(found), np.int64)
+        return np.concatenate((ids, more)), np.concatenate((counts, np.array([len(x) for x in found], np.int64)))
 
     def learn(self, parts: Sequence[bytes]) -> None:
-        """Align parts, each beginning with a space; None as groups where the tokens do not give the bytes back."""
-        texts = [part.decode() for part in parts]
-        found = self.a.encode_batch(texts, add_special_tokens=False)
-        pieces = self.b.encode([text[1:] for text in texts], num_threads=1)
-        for part, a, b in zip(parts, (x.ids for x in found), pieces, strict=True):
-            self.known[part] = len(self.groups)
-            self.held += len(part)
-            a_bytes, b_bytes = [self.a_bytes.get(i, b"") for i in a], [self.b_bytes[i] for i in b]
-            if b"".join(a_bytes) != part or b"".join(b_bytes) != part:
-                self.add(None, (0, 0, 0), [])
-                continue
-            groups, links, i, j, i_at, j_at, i_first, j_first = [], [], 0, 0, 0, 0, 0, 0
-            while i < len(a):
-                i_at, i = i_at + len(a_bytes[i]), i + 1
-                while j < len(b) and j_at + len(b_bytes[j]) <= i_at:
-                    j_at, j = j_at + len(b_bytes[j]), j + 1
-                if i_at == j_at:
-                    groups.append(f"{','.join(map(str, a[i_first:i]))}|{','.join(map(str, b[j_first:j]))}")
-                    links.append(a[i - 1] << 32 | b[j - 1])
-                    i_first, j_first = i, j
-            self.add(";".join(groups), (len(a), len(b), len(groups)), links)
-
-    def add(self, groups: str | None, sizes: tuple[int, int, int], links: list[int]) -> None:
-        self.groups.append(groups)
-        self.sizes.append(sizes)
-        self.links.append(np.array(links, np.int64))
+        """Align parts, each with a space before it; those whose tokens do not give the bytes back are marked."""
+        plain, alone = [part for part in parts if self.plain(part)], [part for part in parts if not self.plain(part)]
+        parts = plain + alone
+        first, first_counts = self.encode_first(plain, alone)
+        second = self.b.encode([part.decode() for part in parts], num_threads=1)
+        flat = [first, np.fromiter(chain.from_iterable(second), np.int64)]
+        counts = [first_counts, np.array([len(x) for x in second], np.int64)]
+        want = b" " + b" ".join(parts)
+        if any(b"".join(raw[x].tolist()) != want for raw, x in zip(self.raw, flat, strict=True)):
+            good = []
+            each = [np.split(x, np.cumsum(n)[:-1]) for x, n in zip(flat, counts, strict=True)]
+            for part, *both in zip(parts, *each, strict=True):
+                if all(b"".join(raw[x].tolist()) == b" " + part for raw, x in zip(self.raw, both, strict=True)):
+                    good.append(part)
+                else:
+                    self.bad.add(len(self.groups))
+                    self.add([part], [""], np.zeros((1, 3), np.int64), np.zeros(0, np.int64))
+            if good:
+                self.learn(good)
+            return
+        ends = [np.cumsum(table[x]) for table, x in zip(self.lengths, flat, strict=True)]
+        common = np.intersect1d(*ends, assume_unique=True)
+        at = [np.searchsorted(x, common) for x in ends]
+        part_ends = np.cumsum([len(part) + 1 for part in parts], dtype=np.int64)
+        n_groups = np.diff(np.searchsorted(common, part_ends, "right"), prepend=0)
+        # A group's first ids stand behind all ids of earlier groups, its second ids behind its first ones.
+        before = [np.concatenate(([0], x + 1)) for x in at]
+        group = [np.searchsorted(common, x) for x in ends]
+        text = np.empty(len(flat[0]) + len(flat[1]), object)
+        for side, place in enumerate((before[1][group[0]], before[0][group[1] + 1])):
+            names = self.inner[side][flat[side]]
+            names[at[side]] = self.last[side][flat[side][at[side]]]
+            text[np.arange(len(names)) + place] = names
+        names, upto = text.tolist(), [0, *np.cumsum(counts[0] + counts[1]).tolist()]
+        groups = ["".join(names[i:j])[:-1] for i, j in zip(upto, upto[1:], strict=False)]
+        links = flat[0][at[0]] << 32 | flat[1][at[1]]
+        self.add(parts, groups, np.stack([counts[0], counts[1], n_groups], axis=1), links)
+
+    def add(self, parts: Sequence[bytes], groups: list[str], sizes: np.ndarray, links: np.ndarray) -> None:
+        self.known.update(zip(parts, range(len(self.groups), len(self.groups) + len(parts)), strict=True))
+        self.groups += groups
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.links = np.concatenate((self.links, links))
+        self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes[:, 2])))
 
     def parts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all parts of the texts, and where each text's begin; a text that cannot be aligned has none."""
-        if self.held > REMEMBERED_BYTES:
+        if len(self.known) > REMEMBERED:
             self.forget()
         data, offsets = flatten(column)
         sizes = np.diff(offsets)
-        n = len(sizes)
-        begin, end = offsets[:-1] + np.arange(n), offsets[1:] + np.arange(1, n + 1)
-        # One space before each text, and one behind the last.
-        joined = np.full(len(data) + n + 1, 0x20, np.uint8)
-        joined[np.arange(len(data)) + np.repeat(np.arange(1, n + 1), sizes)] = data
+        n, full = len(sizes), np.flatnonzero(sizes)
+        # One byte before each text that is not empty. Cuts become a byte that no text has.
+        begin = offsets[full] + np.arange(len(full))
+        joined = np.full(len(data) + len(full) + 1, 0x20, np.uint8)
+        joined[np.arange(len(data)) + np.repeat(np.arange(1, len(full) + 1), sizes[full])] = data
         space = joined == 0x20
-        cut = np.flatnonzero(space[1:-1] & ~space[:-2] & ~MAYBE_SPACE[joined[2:]]) + 1 if self.cuts and n else np.zeros(0, np.int64)
-        starts = np.union1d(begin[sizes > 0], cut)
-        owner = np.searchsorted(begin, starts, "right") - 1
-        ends = np.minimum(np.append(starts[1:], len(joined)), end[owner]) if len(starts) else starts
-        raw = joined.tobytes()
-        parts = [raw[i:j] for i, j in zip(starts.tolist(), ends.tolist(), strict=True)]
-        fresh = list(dict.fromkeys(part for part in parts if part not in self.known))
-        if fresh:
-            self.learn(fresh)
-        numbers = np.fromiter((self.known[part] for part in parts), np.int64, len(parts))
-        bad = np.array([self.groups[i] is None for i in numbers.tolist()], bool)
-        if bad.any():
+        if self.cuts and len(data):
+            cut = np.flatnonzero(space[1:-1] & ~space[:-2] & ~MAYBE_SPACE[joined[2:]]) + 1
+        else:
+            cut = np.zeros(0, np.int64)
+        # A text's begin may look like a cut, too.
+        starts = np.union1d(begin, cut)
+        owner = full[np.searchsorted(begin, starts, "right") - 1] if len(full) else starts
+        joined[starts] = CUT
+        parts = joined[:-1].tobytes().split(bytes([CUT]))[1:]
+        numbers = list(map(self.known.get, parts))
+        if None in numbers:
+            self.learn(list(dict.fromkeys(part for part, number in zip(parts, numbers, strict=True) if number is None)))
+            numbers = list(map(self.known.get, parts))
+        numbers = np.array(numbers, np.int64)
+        if self.bad:
+            bad = np.isin(numbers, np.fromiter(self.bad, np.int64))
             whole = ~np.isin(owner, owner[bad])
             numbers, owner = numbers[whole], owner[whole]
         return numbers, np.searchsorted(owner, np.arange(n + 1))
@@ -138,9 +188,16 @@ class Aligner:
     def linked(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct parts, the inverse, and the links of the distinct parts with each one's first."""
         each, inverse = np.unique(numbers, return_inverse=True)
-        links = [self.links[i] for i in each.tolist()]
-        first = np.concatenate(([0], np.cumsum([len(x) for x in links], dtype=np.int64)))
-        return each, inverse, np.concatenate([*links, np.zeros(0, np.int64)]), first
+        counts = self.sizes[each, 2]
+        first = np.concatenate(([0], np.cumsum(counts)))
+        at = np.repeat(self.first[each] - first[:-1], counts) + np.arange(first[-1])
+        return each, inverse, self.links[at], first
+
+
+def objects(values: list) -> np.ndarray:
+    out = np.empty(len(values), object)
+    out[:] = values
+    return out
 
 
 @lru_cache(maxsize=1)
@@ -413,7 +470,7 @@ def align(
         known = aligner(a, b)
         numbers, first = known.parts(column)
         each, inverse = np.unique(numbers, return_inverse=True)
-        sizes = np.array([known.sizes[i] for i in each.tolist()], np.int64).reshape(-1, 3)[inverse]
+        sizes = known.sizes[each][inverse]
         n_a, n_b, n_groups = (sums_of(sizes[:, k], first) for k in range(3))
         n_best, count_sum = look_up(known, numbers, first, shard.value, best.value)
         names, at = [known.groups[i] for i in numbers.tolist()], first.tolist()
