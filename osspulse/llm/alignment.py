@@ -88,6 +88,7 @@ class Aligner:
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.groups: list[str] = []
+        self.unwritten: list[tuple] = []
         self.bad: set[int] = set()
         self.sizes = np.zeros((0, 3), np.int64)
         self.links, self.first = np.zeros(0, np.int64), np.zeros(1, np.int64)
@@ -109,7 +110,9 @@ class Aligner:
 
     def learn(self, parts: Sequence[bytes]) -> None:
         """Align parts, each with a space before it; those whose tokens do not give the bytes back are marked."""
-        plain, alone = [part for part in parts if self.plain(part)], [part for part in parts if not self.plain(part)]
+        plain, alone = [], []
+        for part in parts:
+            (plain if self.plain(part) else alone).append(part)
         parts = plain + alone
         first, first_counts = self.encode_first(plain, alone)
         second = self.b.encode([part.decode() for part in parts], num_threads=1)
@@ -124,35 +127,48 @@ class Aligner:
                     good.append(part)
                 else:
                     self.bad.add(len(self.groups))
-                    self.add([part], [""], np.zeros((1, 3), np.int64), np.zeros(0, np.int64))
+                    self.add([part], np.zeros((1, 3), np.int64), np.zeros(0, np.int64))
             if good:
                 self.learn(good)
             return
         ends = [np.cumsum(table[x]) for table, x in zip(self.lengths, flat, strict=True)]
-        common = np.intersect1d(*ends, assume_unique=True)
-        at = [np.searchsorted(x, common) for x in ends]
+        end_of = np.zeros((2, len(want) + 1), bool)
+        for marks, x in zip(end_of, ends, strict=True):
+            marks[x] = True
+        # Whether a token is the last of its group.
+        closing = [marks[x] for marks, x in zip(end_of[::-1], ends, strict=True)]
         part_ends = np.cumsum([len(part) + 1 for part in parts], dtype=np.int64)
-        n_groups = np.diff(np.searchsorted(common, part_ends, "right"), prepend=0)
-        # A group's first ids stand behind all ids of earlier groups, its second ids behind its first ones.
-        before = [np.concatenate(([0], x + 1)) for x in at]
-        group = [np.searchsorted(common, x) for x in ends]
-        text = np.empty(len(flat[0]) + len(flat[1]), object)
-        for side, place in enumerate((before[1][group[0]], before[0][group[1] + 1])):
-            names = self.inner[side][flat[side]]
-            names[at[side]] = self.last[side][flat[side][at[side]]]
-            text[np.arange(len(names)) + place] = names
-        names, upto = text.tolist(), [0, *np.cumsum(counts[0] + counts[1]).tolist()]
-        groups = ["".join(names[i:j])[:-1] for i, j in zip(upto, upto[1:], strict=False)]
-        links = flat[0][at[0]] << 32 | flat[1][at[1]]
-        self.add(parts, groups, np.stack([counts[0], counts[1], n_groups], axis=1), links)
-
-    def add(self, parts: Sequence[bytes], groups: list[str], sizes: np.ndarray, links: np.ndarray) -> None:
+        n_groups = np.diff(np.searchsorted(ends[0][closing[0]], part_ends, "right"), prepend=0)
+        flat = [x.astype(np.int32) for x in flat]
+        self.unwritten.append((len(self.groups), flat, closing, counts[0] + counts[1]))
+        links = flat[0][closing[0]].astype(np.int64) << 32 | flat[1][closing[1]]
+        self.add(parts, np.stack([counts[0], counts[1], n_groups], axis=1), links)
+
+    def add(self, parts: Sequence[bytes], sizes: np.ndarray, links: np.ndarray) -> None:
         self.known.update(zip(parts, range(len(self.groups), len(self.groups) + len(parts)), strict=True))
-        self.groups += groups
+        self.groups += [""] * len(parts)
         self.sizes = np.concatenate((self.sizes, sizes))
         self.links = np.concatenate((self.links, links))
         self.first = np.concatenate((self.first, self.first[-1] + np.cumsum(sizes[:, 2])))
 
+    def written_groups(self) -> list[str]:
+        """The groups of all known parts as text, which only the second pass needs."""
+        for start, flat, closing, counts in self.unwritten:
+            at = [np.flatnonzero(x) for x in closing]
+            # A group's first ids stand behind all ids of earlier groups, its second ids behind its first ones.
+            before = [np.concatenate(([0], x + 1)) for x in at]
+            group = [np.cumsum(x) - x for x in closing]
+            text = np.empty(len(flat[0]) + len(flat[1]), object)
+            for side, place in enumerate((before[1][group[0]], before[0][group[1] + 1])):
+                names = self.inner[side][flat[side]]
+                names[at[side]] = self.last[side][flat[side][at[side]]]
+                text[np.arange(len(names)) + place] = names
+            names, upto = text.tolist(), [0, *np.cumsum(counts).tolist()]
+            found = ["".join(names[i:j])[:-1] for i, j in zip(upto, upto[1:], strict=False)]
+            self.groups[start : start + len(found)] = found
+        self.unwritten = []
+        return self.groups
+
     def parts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of all parts of the texts, and where each text's begin; a text that cannot be aligned has none."""
         if len(self.known) > REMEMBERED:
@@ -163,14 +179,19 @@ class Aligner:
         # One byte before each text that is not empty. Cuts become a byte that no text has.
         begin = offsets[full] + np.arange(len(full))
         joined = np.full(len(data) + len(full) + 1, 0x20, np.uint8)
-        joined[np.arange(len(data)) + np.repeat(np.arange(1, len(full) + 1), sizes[full])] = data
+        own = np.ones(len(joined) - 1, bool)
+        own[begin] = False
+        joined[:-1][own] = data
         space = joined == 0x20
         if self.cuts and len(data):
-            cut = np.flatnonzero(space[1:-1] & ~space[:-2] & ~MAYBE_SPACE[joined[2:]]) + 1
+            cut = np.flatnonzero(space[1:-1] & ~space[:-2]) + 1
+            cut = cut[~MAYBE_SPACE[joined[cut + 1]]]
         else:
             cut = np.zeros(0, np.int64)
         # A text's begin may look like a cut, too.
-        starts = np.union1d(begin, cut)
+        marked = np.zeros(len(joined), bool)
+        marked[begin] = marked[cut] = True
+        starts = np.flatnonzero(marked)
         owner = full[np.searchsorted(begin, starts, "right") - 1] if len(full) else starts
         joined[starts] = CUT
         parts = joined[:-1].tobytes().split(bytes([CUT]))[1:]
@@ -473,7 +494,8 @@ def align(
         sizes = known.sizes[each][inverse]
         n_a, n_b, n_groups = (sums_of(sizes[:, k], first) for k in range(3))
         n_best, count_sum = look_up(known, numbers, first, shard.value, best.value)
-        names, at = [known.groups[i] for i in numbers.tolist()], first.tolist()
+        written = known.written_groups()
+        names, at = [written[i] for i in numbers.tolist()], first.tolist()
         groups = [";".join(names[i:j]) for i, j in zip(at, at[1:], strict=False)]
         return [*(pa.array(x) for x in (n_a, n_b, n_groups, n_groups, n_best, count_sum)), pa.array(groups, pa.string())]
 
