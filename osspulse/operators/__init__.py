@@ -14,6 +14,7 @@ from osspulse.operators.latest import latest_per_key
 from osspulse.operators.merge import delete_insert, latest_in_batch, upsert
 from osspulse.operators.nested import child_rows, flatten_struct
 from osspulse.operators.runs import expand_runs, weighted_median
+from osspulse.operators.selection import exact_median
 
 __all__ = [
     "OPEN_END",
@@ -22,6 +23,7 @@ __all__ = [
     "by_repos",
     "child_rows",
     "delete_insert",
+    "exact_median",
     "expand_runs",
     "flatten_struct",
     "latest_in_batch",

@@ -671,6 +671,10 @@ from commits where author_login is not null group by 1""",
     "bitmap_contributors_between": """
 select count(distinct author_login) as contributors from commits
 where date_trunc('month', committed_at) between date '1997-03-01' and date '1999-06-01'""",
+    "issue_midpoints": """
+select repository, median(epoch_us(created_at::timestamp)) as midpoint_us from issues group by 1""",
+    "issue_midpoint_overall": """
+select median(epoch_us(created_at::timestamp)) as midpoint_us from issues""",
 }
 
 # Queries that begin with names of their own, without the views.

@@ -13,6 +13,7 @@ from osspulse.operators.bitmaps import numbered_persons, person_bitmaps, persons
 from osspulse.operators.deltas import SIGN, add_counts, count_changes, replace_keys, signed
 from osspulse.operators.numbering import row_numbers
 from osspulse.operators.ordered_asof import ordered_asof
+from osspulse.operators.selection import exact_median
 from osspulse.plans import activity, dims, facts
 from workload import mapping
 from workload.mapping import Tables
@@ -160,3 +161,22 @@ def bitmap_contributors_between(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All distinct authors of a range of months, in one number."""
     _, bitmaps = _months(LazyMarts(spark, sf_dir))
     return persons_in(bitmaps.filter(F.col("month").between("1997-03-01", "1999-06-01")), [])
+
+
+def _moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many issues of a repository were opened in each microsecond."""
+    issues = mapping.issues(Tables(spark, sf_dir))
+    moment = F.unix_micros(F.col("created_at").cast("timestamp")).alias("moment")
+    return issues.select("repository", moment).groupBy("repository", "moment").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def issue_midpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The moment by which half of a repository's issues had been opened, among nearly as many distinct moments as issues."""
+    return exact_median(_moments(spark, sf_dir), ["repository"], "moment", "n", "midpoint_us")
+
+
+@query
+def issue_midpoint_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over all issues: one group that holds every row."""
+    return exact_median(_moments(spark, sf_dir), [], "moment", "n", "midpoint_us")
