@@ -22,7 +22,8 @@ from osspulse.functions import utc_naive
 class Check:
     """`row_fails` marks bad rows; `find` gives violations where one row cannot tell.
 
-    `weight` names the column of `find` with the number of rows a violation stands for.
+    `weight` names the column of `find` with the number of rows a violation stands for. `bounds` are
+    those of a table's row count.
     """
 
     name: str
@@ -30,6 +31,7 @@ class Check:
     row_fails: Column | None = None
     find: Callable[[DataFrame], DataFrame] | None = None
     weight: str | None = None
+    bounds: tuple[int, int | None] | None = None
 
     def violations(self, df: DataFrame) -> DataFrame:
         return self.find(df) if self.find is not None else df.filter(self.row_fails)
@@ -112,7 +114,7 @@ def row_count(low: int, high: int | None, severity: str = "error") -> Check:
         sound = n >= low if high is None else n.between(low, high)
         return df.agg(F.count("*").alias("n_rows")).filter(~sound)
 
-    return Check(f"row_count({low},{high})", severity, find=find)
+    return Check(f"row_count({low},{high})", severity, find=find, bounds=(low, high))
 
 
 def missing_days(calendar: DataFrame, day: str) -> DataFrame:

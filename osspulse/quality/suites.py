@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping
 from datetime import datetime
 from functools import reduce
@@ -193,6 +194,15 @@ def source_freshness(raw: Mapping[str, DataFrame], as_of: datetime) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
+def write_guards() -> dict[str, list[Check]]:
+    """The checks of the marts that a `WriteGuard` can make; none of them reads another mart."""
+    suites = mart_suites(defaultdict(lambda: None))
+    return {
+        name: [check for check in suite if check.row_fails is not None or check.bounds is not None]
+        for name, suite in suites.items()
+    }
+
+
 def run_suites(tables: Mapping[str, DataFrame], suites: Mapping[str, list[Check]]) -> DataFrame:
     """`table, check, severity, violations, status` for every table that has checks."""
     parts = [

@@ -17,6 +17,7 @@ import json
 import uuid
 from collections.abc import Iterable, Sequence
 from datetime import datetime
+from typing import Protocol
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -56,13 +57,24 @@ def _new_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}"
 
 
-def _write_files(df: DataFrame, path: str, partition_by: str | None) -> None:
-    if partition_by:
-        # Rebalanced by partition value: large values are split over several files, small ones do
-        # not leave a file per task.
-        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(path)
-    else:
-        df.write.parquet(path)
+class Guard(Protocol):
+    """Watches what is written, and afterwards raises if it must not become visible."""
+
+    def watch(self, df: DataFrame) -> DataFrame: ...
+
+    def verify(self) -> None: ...
+
+
+def _watched(df: DataFrame, partition_by: str | None, guard: Guard | None) -> DataFrame:
+    # Rebalanced by partition value: large values are split over several files, small ones do
+    # not leave a file per task.
+    out = df.hint("rebalance", partition_by) if partition_by else df
+    return guard.watch(out) if guard is not None else out
+
+
+def _write_files(df: DataFrame, path: str, partition_by: str | None, guard: Guard | None = None) -> None:
+    writer = _watched(df, partition_by, guard).write
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
 
 
 def _written_partitions(spark: SparkSession, path: str, partition_by: str) -> dict[str, str]:
@@ -190,41 +202,58 @@ def finish_switches(spark: SparkSession, database: str) -> bool:
     return True
 
 
-def _create(df: DataFrame, name: str, partition_by: str | None) -> None:
-    writer = df.write.format("parquet").option("path", _new_folder(df.sparkSession, name))
+def _create(df: DataFrame, name: str, partition_by: str | None, guard: Guard | None = None) -> None:
+    writer = _watched(df, partition_by, guard).write.format("parquet").option("path", _new_folder(df.sparkSession, name))
     if partition_by:
-        writer = df.hint("rebalance", partition_by).write.format("parquet").partitionBy(partition_by)
-        writer = writer.option("path", _new_folder(df.sparkSession, name))
+        writer = writer.partitionBy(partition_by)
     writer.mode("overwrite").saveAsTable(name)
 
 
 def write_table(
-    df: DataFrame, name: str, schema: T.StructType | None = None, partition_by: str | None = None
+    df: DataFrame,
+    name: str,
+    schema: T.StructType | None = None,
+    partition_by: str | None = None,
+    guard: Guard | None = None,
 ) -> None:
     """Full rebuild beside the old rows, to which the table is switched once it is complete.
 
-    Readers find the table at any time. A partitioned table is switched partition by partition.
+    Readers find the table at any time. A partitioned table is switched partition by partition. Rows that
+    the `guard` refuses are deleted again, and the table stays as it was, or absent.
     """
     spark = df.sparkSession
     if schema is not None:
         df = assert_contract(df, schema)
-    if not spark.catalog.tableExists(name):
+    exists = spark.catalog.tableExists(name)
+    if not exists and guard is None:
         _create(df, name, partition_by)
         return
-    path = _new_folder(spark, name)
-    old = spark.table(name)
-    rest = [c for c in df.columns if c != partition_by]
-    same = {(f.name, f.dataType) for f in old.schema} == {(f.name, f.dataType) for f in df.schema}
-    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
-    if not same or parts != ([partition_by] if partition_by else []):
+    if not exists or not _same_layout(df, name, partition_by):
         # Another layout is another table.
         fresh = f"{name}__next"
         spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-        _create(df, fresh, partition_by)
-        spark.sql(f"DROP TABLE {name}")
+        _create(df, fresh, partition_by, guard)
+        if guard is not None:
+            try:
+                guard.verify()
+            except Exception:
+                where = _location(spark, fresh)
+                spark.sql(f"DROP TABLE {fresh}")
+                _delete(spark, [where])
+                raise
+        if exists:
+            spark.sql(f"DROP TABLE {name}")
         spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
         return
-    _write_files(df.select(*rest, *([partition_by] if partition_by else [])), path, partition_by)
+    path = _new_folder(spark, name)
+    rest = [c for c in df.columns if c != partition_by]
+    _write_files(df.select(*rest, *([partition_by] if partition_by else [])), path, partition_by, guard)
+    if guard is not None:
+        try:
+            guard.verify()
+        except Exception:
+            _delete(spark, [path])
+            raise
     if partition_by:
         folders = _written_partitions(spark, path, partition_by)
         known = _known_partitions(spark, name, partition_by)
@@ -233,6 +262,13 @@ def write_table(
     _switch_table(spark, name, path)
 
 
+def _same_layout(df: DataFrame, name: str, partition_by: str | None) -> bool:
+    spark = df.sparkSession
+    same = {(f.name, f.dataType) for f in spark.table(name).schema} == {(f.name, f.dataType) for f in df.schema}
+    parts = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return same and parts == ([partition_by] if partition_by else [])
+
+
 def _text(value) -> str:
     return NO_VALUE if value is None else str(value)
 
