@@ -13,8 +13,8 @@ from osspulse import schemas, upkeep
 from osspulse.functions import date_key, utc_naive
 from osspulse.operators.filters import after_watermark, watermark
 from osspulse.plans import activity, dims, facts, staging
-from osspulse.quality.guards import ChecksFailed, WriteGuard
-from osspulse.quality.suites import mart_suites, run_suites, staging_suites, write_guards
+from osspulse.quality.guards import ChecksFailed
+from osspulse.quality.suites import mart_suites, run_suites, staging_suites
 from osspulse.sinks import (
     Layer,
     assert_contract,
@@ -221,23 +221,19 @@ def build_marts(
     run_ts: datetime,
     backfill: bool = False,
     full_refresh: bool = False,
-    enforce: bool = False,
 ) -> None:
     """Snapshot, dimensions and facts from the raw tables.
 
     What follows from commits, issues and pull requests is kept up from their logged changes (`osspulse.upkeep`), and made
     from all raw rows the first time. `backfill` lifts the day watermark of downloads and metrics, which otherwise leaves out days
-    older than the newest one loaded. `full_refresh` rebuilds everything from all raw rows. With `enforce` a table that is
-    written whole here appears only if the checks that its write can make have no violation of severity `error`.
+    older than the newest one loaded. `full_refresh` rebuilds everything from all raw rows.
     """
     raw = raw_tables(spark)
     s = staged(raw)
-    guards = write_guards()
 
     def rebuild(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         table = Layer.MARTS.table(name)
-        guard = WriteGuard(guards[name]) if enforce and name in guards else None
-        write_table(df, table, schemas.MARTS[name], partition_by, guard)
+        write_table(df, table, schemas.MARTS[name], partition_by)
         return spark.table(table)
 
     def merge(name: str, rows: DataFrame, moment: Column, mark: str, build, key: str, **options) -> None:
@@ -397,7 +393,7 @@ def run_day(
 
     checked = {**staged(raw_tables(spark)), "projects": projects}
     check_layer(spark, "staging", checked, staging_suites(), now, enforce)
-    build_marts(spark, projects, now, backfill, full_refresh, enforce)
+    build_marts(spark, projects, now, backfill, full_refresh)
     marts = catalog_marts(spark)
     check_layer(spark, "marts", marts, mart_suites(marts), now, enforce)
     return spark.createDataFrame([*loaded.items(), *child_counts(spark).items()], "table string, n bigint")
