@@ -1,10 +1,11 @@
 """Spelling variants: words one edit apart, found by walking a trie with a frontier of relational states.
 
 Words, read forwards and backwards, form two compressed tries that are kept as one distributed table of edges. A state
-(word, position, node, edits) is joined with the edges of its node, level by level; states that end in a
-word after exactly one edit become neighbours. An edit always falls on a node, because two words part where the trie
+(word, position, node) is joined with the edges of its node; the ways that take an edit there go on, level by level, and end as
+neighbours where a word ends. An edit always falls on a node, because two words part where the trie
 branches. One of the two parts beside an edit is at least half of the word, so states may take their edit
-only in the second half of the word in reading direction, where nodes branch little.
+only in the second half of the word in reading direction, where nodes branch little: the tries hold nothing of first halves, and every
+word starts at all of its nodes at once.
 """
 
 from __future__ import annotations
@@ -16,28 +17,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from osspulse.llm.bytestext import mix
 from osspulse.llm.common import SLICE_BYTES, is_hot, join_hot, map_arrow, sliced, stored, text_column
 
-RUN = re.compile("[a-zÀ-ÿ]+")
 LEAST_LENGTH, LEAST_COUNT, ONE_IN = 5, 3, 97
+# Whole runs that are long enough; a slip only makes them shorter.
+RUN = re.compile(f"[a-zÀ-ÿ]{{{LEAST_LENGTH},}}")
 # Distinct words that a task counts before it hands them on.
 HELD_WORDS = 200_000
 # Nodes from which words are read forwards and backwards.
 ROOTS = (1, 2)
 
 
-def slip(id: str, word: str) -> str:
-    """The word as this document has it: one in 97 words of a document lacks a letter."""
-    h = zlib.crc32(f"{id}:{word}".encode())
-    at = h % len(word)
-    return word if h % ONE_IN else word[:at] + word[at + 1 :]
-
-
 def word_counts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """`word` and `n`: the words of all documents that are long and frequent enough. A null id counts as empty, a null text has no words."""
     source = text_column(docs.select(F.coalesce(F.col(id).cast("string"), F.lit("")).alias("_id"), F.col(text).alias("_text")), "_text")
@@ -54,11 +49,17 @@ def word_counts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
                 for key, value in zip(part.column(0).to_pylist(), part.column(1), strict=True):
                     # Bytes lower-case A to Z alone.
                     raw = value.as_buffer()
-                    runs = Counter(RUN.findall(raw.to_pybytes().lower().decode())) if raw else {}
-                    for word, n in runs.items():
-                        word = slip(key, word)
-                        if len(word) >= LEAST_LENGTH:
-                            held[word] += n
+                    runs = RUN.findall(raw.to_pybytes().lower().decode()) if raw else []
+                    held.update(runs)
+                    # One in 97 words of a document lacks a letter there.
+                    start = zlib.crc32(f"{key}:".encode())
+                    for word in runs:
+                        h = zlib.crc32(word.encode(), start)
+                        if h % ONE_IN == 0:
+                            at = h % len(word)
+                            held[word] -= 1
+                            if len(word) > LEAST_LENGTH:
+                                held[word[:at] + word[at + 1 :]] += 1
                 if len(held) > HELD_WORDS:
                     yield batch_of(held)
                     held = Counter()
@@ -68,123 +69,148 @@ def word_counts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     return counted.filter(F.col("n") >= LEAST_COUNT)
 
 
-def prefix_nodes(keys: pa.Array, sides: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Row of the key, length, node and next code point (-1 at the end) of every prefix but the empty one."""
-    parts = [key.encode("utf-32-le") for key in keys.to_pylist()]
-    codes = np.frombuffer(b"".join(parts), np.uint32).astype(np.int64)
-    sizes = np.array([len(x) // 4 for x in parts], np.int64)
+def prefix_nodes(words: pa.Array, side: int) -> tuple[np.ndarray, ...]:
+    """Of every prefix that may stand before an edit: row of the word, length, node and the next two code points (-1 beyond the end).
+
+    Forwards those are prefixes of half a word and longer, backwards those of the other half and longer.
+    """
+    keys = [word[::-1] for word in words.to_pylist()] if side else words.to_pylist()
+    codes = np.frombuffer("".join(keys).encode("utf-32-le"), np.uint32).astype(np.int64)
+    sizes = np.array([len(key) for key in keys], np.int64)
     first = np.cumsum(sizes) - sizes
-    row = np.repeat(np.arange(len(parts)), sizes)
+    row = np.repeat(np.arange(len(keys)), sizes)
     at = np.arange(len(codes)) - first[row] + 1
     node = np.zeros(len(codes), np.uint64)
-    state = np.array(ROOTS, np.uint64)[sides]
-    alive = np.arange(len(parts))
+    state = np.full(len(keys), ROOTS[side], np.uint64)
+    alive = np.arange(len(keys))
     for step in range(int(sizes.max()) if len(sizes) else 0):
         alive = alive[sizes[alive] > step]
         place = first[alive] + step
         state[alive] = mix(state[alive] * np.uint64(0x9E3779B97F4A7C15) + codes[place].astype(np.uint64))
         node[place] = state[alive]
-    follows = np.append(codes[1:], -1)
-    follows[first + sizes - 1] = -1
-    return row, at, node.view(np.int64), follows
+    beyond = np.append(codes, [-1, -1])
+    next_ = np.where(at < sizes[row], beyond[1:-1], -1)
+    after = np.where(at + 1 < sizes[row], beyond[2:], -1)
+    kept = at >= (sizes[row] + side) // 2
+    return row[kept], at[kept], node[kept].view(np.int64), next_[kept], after[kept]
 
 
-def half(word: str) -> Column:
-    return F.floor(F.char_length(word) / 2)
+def bit(code: Column) -> Column:
+    """One of 64 bits for a letter."""
+    return F.call_function("shiftleft", F.lit(1).cast("long"), code.bitwiseAND(63))
 
 
-def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Edges (node, label, child, end, nexts) of the two tries of `word`, and the words (key, side, start, tail) with their last node before their
-    second half and their last one.
+def join_any(big: DataFrame, small: DataFrame, keys: list[str], counts: DataFrame, total: int) -> DataFrame:
+    """`join_hot` where `counts` (keys, _n) has a hot key, else one join."""
+    hot = counts.filter(is_hot("_n", total)).select(*keys)
+    return big.join(small, keys) if hot.isEmpty() else join_hot(big, small, keys, hot)
 
-    A node is where words end or part; chains between nodes are single edges. `nexts`: the letters that edges of the child begin with. Nodes are 64-bit
-    hashes of prefixes; two that clash would only offer neighbours that a later comparison refuses.
+
+def trie(words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The two tries of the second halves of `word` (in reading direction): states, edges and the number of states of each node (node, _n).
+
+    A node is where words end or part and more than one word goes; chains between nodes are single edges. Nodes are 64-bit hashes of prefixes; two that
+    clash would only offer words that are not there or are found twice. States: a word (key, read forwards or backwards by `side`; n) at each of
+    its nodes, with the position, the next two code points, and whether a word ends there. Edges: node, label, `child` (null if no other
+    word goes there), whether a word ends at the child, the bits of the letters that follow it (`nexts`), and the label's first two code points.
     """
-    forwards = words.select(F.col("word").alias("key"), F.lit(0).alias("side"))
-    both = forwards.unionByName(forwards.select(F.reverse("key").alias("key"), F.lit(1).alias("side")))
-    keyed = both.withColumn("_w", F.xxhash64("key", "side"))
-    schema = T.StructType.fromDDL("_w long, _at int, node long, _next int")
+    schema = T.StructType.fromDDL("_w long, _at int, node long, _next int, _after int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in sliced(batch, 0, SLICE_BYTES // 4):
-                row, at, node, follows = prefix_nodes(part.column(0), part.column(1).to_numpy())
-                columns = [part.column(2).to_numpy()[row], at.astype(np.int32), node, follows.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=schema.names)
+                for side in (0, 1):
+                    row, at, node, next_, after = prefix_nodes(part.column(0), side)
+                    key = part.column(1).to_numpy()[row] * 2 + side
+                    columns = [key, at.astype(np.int32), node, next_.astype(np.int32), after.astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=schema.names)
 
-    prefixes = stored(map_arrow(keyed, run, schema), "prefixes")
+    prefixes = stored(map_arrow(words.select("word", "_id"), run, schema), "prefixes")
     least, most = F.min("_next").alias("_least"), F.max("_next").alias("_most")
-    nodes = prefixes.groupBy("node").agg(least, most, F.count(F.lit(1)).alias("_n"))
-    nodes = stored(nodes.filter("_least = -1 or _least <> _most").select("node", "_n"), "nodes")
-    hot = nodes.filter(is_hot("_n", prefixes.count())).select("node")
-    cuts = join_hot(prefixes.select("_w", "_at", "node"), nodes.select("node"), ["node"], hot)
-    paths = cuts.groupBy("_w").agg(F.array_sort(F.collect_list(F.struct("_at", "node"))).alias("_path"))
-    root = F.struct(F.lit(0).alias("_at"), F.when(F.col("side") == 0, F.lit(ROOTS[0])).otherwise(F.lit(ROOTS[1])).cast("long").alias("node"))
-    walked = stored(keyed.join(paths, "_w").withColumn("_path", F.concat(F.array(root), "_path")).drop("_w"), "paths")
-
-    def edge(here: Column, i: Column) -> Column:
-        next_ = F.get("_path", i + 1)
-        size = next_["_at"] - here["_at"]
-        return F.struct(
-            here["node"].alias("node"),
-            F.substr(F.col("key"), here["_at"] + 1, size).alias("label"),
-            next_["node"].alias("child"),
-            (next_["_at"] == F.char_length("key")).alias("end"),
-        )
-
-    each = walked.select(F.inline(F.transform(F.slice("_path", F.lit(1), F.size("_path") - 1), edge)))
-    edges = stored(each.groupBy("node", "label", "child").agg(F.max("end").alias("end")), "edges")
-    letters = F.array_join(F.collect_set(F.substr("label", F.lit(1), F.lit(1))), "").alias("nexts")
-    follow = edges.groupBy(F.col("node").alias("child")).agg(letters)
-    edges = stored(edges.join(follow, "child", "left").withColumn("nexts", F.coalesce("nexts", F.lit(""))), "edges")
-    first = F.filter("_path", lambda x: x["_at"] < half("key"))
-    return edges, walked.select("key", "side", F.element_at(first, -1).alias("start"), F.element_at("_path", -1)["node"].alias("tail"))
-
-
-def advance(joined: DataFrame) -> DataFrame:
-    """The states that follow from states beside an edge of their node."""
-    at, label, l, size = F.col("at"), F.col("label"), F.char_length("label"), F.char_length("key")  # noqa: E741
-    rest = lambda skip, n: F.substr(F.col("key"), at + F.lit(1 + skip), n)
-    tail, letter = F.substr(label, F.lit(2), l), F.substr(label, F.lit(1), F.lit(1))
-    part = (F.col("edits") == 0) & (at >= half("key"))
-    to = lambda place, edits: F.struct(place.cast("int").alias("at"), F.col("child").alias("node"), edits.cast("int").alias("edits"), "end")
+    nexts = F.bit_or(F.when(F.col("_next") >= 0, bit(F.col("_next"))).otherwise(F.lit(0).cast("long"))).alias("_nexts")
+    nodes = prefixes.groupBy("node").agg(least, most, nexts, F.count(F.lit(1)).alias("_n"))
+    nodes = nodes.filter("_n > 1 and (_least = -1 or _least <> _most)")
+    nodes = stored(nodes.select("node", (F.col("_least") == -1).alias("_end"), "_nexts", "_n"), "nodes")
+    cuts = join_any(prefixes, nodes.drop("_n"), ["node"], nodes, prefixes.count())
+    onward = Window.partitionBy("_w").orderBy("_at")
+    names = ("_at", "node", "_end", "_nexts")
+    cuts = cuts.repartition("_w").select("*", *(F.lead(c).over(onward).alias(f"_to{c}") for c in names))
+    forwards = words.select(F.col("word").alias("key"), (F.col("_id") * 2).alias("_w"), F.lit(0).alias("side"), "n")
+    backwards = words.select(F.reverse("word").alias("key"), (F.col("_id") * 2 + 1).alias("_w"), F.lit(1).alias("side"), "n")
+    cuts = stored(cuts.join(forwards.unionByName(backwards), "_w"), "cuts")
+    states = cuts.filter("_next >= 0").select("key", "side", "n", F.col("_at").alias("at"), "node", "_next", "_after", "_end")
+    size = F.coalesce("_to_at", F.char_length("key")) - F.col("_at")
+    edges = cuts.filter("_next >= 0").select(
+        "node",
+        F.substr(F.col("key"), F.col("_at") + 1, size).alias("label"),
+        F.col("_tonode").alias("child"),
+        F.coalesce("_to_end", F.lit(True)).alias("end"),
+        F.coalesce("_to_nexts", F.lit(0).cast("long")).alias("nexts"),
+        F.col("_next").alias("_first"),
+        F.when(size > 1, F.col("_after")).alias("_second"),
+    )
+    # An edge to a child that no other word reaches stands once.
+    return states, edges.filter("child is null").unionByName(edges.filter("child is not null").distinct()), nodes.select("node", "_n")
+
+
+def letter(word: Column, at: Column) -> Column:
+    """The code point at this position, 0 where the word ends."""
+    return F.ascii(F.substr(word, at + 1, F.lit(1)))
+
+
+def goes_on(code: Column) -> Column:
+    """Whether a word whose next code point is `code` can go on at the child of an edge: a word ends there with it, or an edge begins so."""
+    follows = F.col("child").isNotNull() & (F.col("nexts").bitwiseAND(bit(code)) != 0)
+    return ((code == 0) & F.col("end")) | ((code != 0) & follows)
+
+
+def edited(states: DataFrame, edges: DataFrame, counts: DataFrame) -> DataFrame:
+    """The states after an edit (key, side, n, near, at, node, _first): `near` is what the whole word must be, `_first` its next code point, 0 at its end."""
+    at, key, label, second = F.col("at"), F.col("key"), F.col("label"), F.col("_second")
+    l, size = F.char_length("label"), F.char_length("key")  # noqa: E741
+    beside = join_any(states.drop("_end"), edges, ["node"], counts, states.count())
+    other = (F.col("_next") < F.col("_first")) & (second.isNull() | (second == F.col("_after")))
+    less = (F.col("_next") != F.col("_first")) & (F.col("_after") == F.col("_first"))
+    before, rest = F.substr(key, F.lit(1), at), F.substr(key, at + 2, size)
+
+    def way(fits: Column, near: Column, code: Column) -> Column:
+        to = F.struct(near.alias("near"), (at + l).cast("int").alias("at"), F.col("child").alias("node"), code.alias("_first"))
+        return F.when(fits & goes_on(code), to)
+
+    another = other & (second.isNull() | (F.substr(key, at + 2, l - 1) == F.substr(label, F.lit(2), l)))
     ways = F.array(
-        F.when(rest(0, l) == label, to(at + l, F.col("edits"))),
-        F.when(part & (rest(0, F.lit(1)) < letter) & (at < size) & (rest(1, l - 1) == tail), to(at + l, F.lit(1))),  # another letter
-        F.when(part & (rest(0, F.lit(1)) != letter) & (rest(1, l) == label), to(at + l + 1, F.lit(1))),  # a letter less
+        way(another, F.concat(before, F.substr(label, F.lit(1), F.lit(1)), rest), letter(key, at + l)),  # another letter
+        way(less & F.startswith(rest, label), F.concat(before, rest), letter(key, at + l + 1)),  # a letter less
     )
+    # Code points are compared in the join, so that it makes few rows.
+    step = beside.filter(other | less).select("key", "side", "n", F.inline(ways)).filter("near is not null")
+    # A word without its last letter ends at a node of the word.
+    last = states.filter(F.col("_end") & (at == size - 1))
+    return step.unionByName(last.select("key", "side", "n", before.alias("near"), "at", "node", F.lit(0).alias("_first")))
 
-    def alive(way: Column) -> Column:
-        on = F.substr(F.col("key"), way["at"] + 1, F.lit(1))
-        ended = way["end"] & (way["at"] == size)
-        return way.isNotNull() & ((way["edits"] == 0) | ended | ((way["at"] < size) & (F.instr(F.col("nexts"), on) > 0)))
 
-    # Said again of the letters alone, so that the join makes few rows.
-    here, next_ = rest(0, F.lit(1)), rest(1, F.lit(1))
-    fits = (letter == here) | (part & ((here < letter) | (letter == next_)))
-    return joined.filter(fits).select("key", "side", F.inline(F.filter(ways, alive)))
+def advance(states: DataFrame, edges: DataFrame) -> DataFrame:
+    """The states after the edge that goes on with the rest of `near`."""
+    at, near, l = F.col("at"), F.col("near"), F.char_length("label")  # noqa: E741
+    counts = states.groupBy("node", "_first").agg(F.count(F.lit(1)).alias("_n"))
+    beside = join_any(states, edges, ["node", "_first"], counts, states.count())
+    code = letter(near, at + l)
+    fits = beside.filter((F.substr(near, at + 1, l) == F.col("label")) & goes_on(code))
+    return fits.select("key", "side", "n", "near", (at + l).cast("int").alias("at"), F.col("child").alias("node"), code.alias("_first"))
 
 
 def neighbours(words: DataFrame) -> DataFrame:
-    """`word` and `near`: every ordered pair of words that differ by exactly one edit."""
-    edges, walked = trie(words)
-    states = walked.select("key", "side", F.col("start._at").alias("at"), F.col("start.node").alias("node"), F.lit(0).alias("edits"))
-    size = F.char_length("key")
-    found = None
-    while total := states.count():
-        hot = states.groupBy("node").count().filter(is_hot("count", total)).select("node")
-        step = stored(advance(join_hot(states, edges, ["node"], hot)), "frontier")
-        arrived = F.col("end") & (F.col("at") + 1 == size + F.col("edits"))
-        ended = step.filter(arrived).select("key", "side", F.col("node").alias("tail"))
-        found = ended if found is None else found.unionByName(ended)
-        states = step.filter((F.col("edits") == 0) | (F.col("at") < size)).drop("end")
-    if found is None:
-        return words.select("word", F.col("word").alias("near"))
+    """`word`, `n`, `near` and `near_n`: every pair of words that differ by exactly one edit, in one of its orders."""
+    states, edges, counts = trie(words)
+    edges = stored(edges, "edges")
+    step = stored(edited(states, edges, counts), "frontier")
+    found = step.filter("_first = 0")
+    while not (states := step.filter("_first <> 0")).isEmpty():
+        step = stored(advance(states, edges), "frontier")
+        found = found.unionByName(step.filter("_first = 0"))
     forwards = lambda c: F.when(F.col("side") == 0, F.col(c)).otherwise(F.reverse(c))
-    named = found.join(walked.select(F.col("key").alias("_near"), "tail"), "tail")
-    pairs = named.select(forwards("key").alias("word"), forwards("_near").alias("near"))
-    pairs = pairs.filter(F.levenshtein("word", "near", 1) == 1)
-    return pairs.unionByName(pairs.select(F.col("near").alias("word"), F.col("word").alias("near"))).distinct()
+    pairs = found.select(forwards("key").alias("word"), "n", forwards("near").alias("near"))
+    return pairs.join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near").distinct()
 
 
 def follow(forms: DataFrame) -> DataFrame:
@@ -208,19 +234,17 @@ def group_variants(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
     null; `root` is where the forms lead. Null and empty texts have no words; repeated rows
     count as often as they stand; a null id counts as an empty one. Without words the result is empty.
     """
-    words = stored(word_counts(docs, id, text), "words")
-    near = neighbours(words).join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
-    best = near.groupBy("word").agg(
-        F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("_less"), "near")).alias("_best")
-    )
-    joined = words.join(best, "word", "left")
-    strong = -F.col("_best._less") >= 2 * F.col("n")
-    formed = joined.select(
+    words = stored(word_counts(docs, id, text).withColumn("_id", F.monotonically_increasing_id()), "words")
+    strong = lambda n, near_n, near: F.when(near_n >= 2 * n, F.struct((-near_n).alias("_less"), near.alias("near"))).alias("_best")
+    word, n, near, near_n = (F.col(c) for c in ("word", "n", "near", "near_n"))
+    ways = F.array(F.struct(word, strong(n, near_n, near)), F.struct(near.alias("word"), strong(near_n, n, word)))
+    best = neighbours(words).select(F.inline(ways)).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), F.min("_best").alias("_best"))
+    formed = words.join(best, "word", "left").select(
         "word",
-        F.when(strong, F.col("_best.near")).alias("form"),
+        F.col("_best.near").alias("form"),
         "n",
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-        F.when(strong, -F.col("_best._less")).alias("form_n"),
+        (-F.col("_best._less")).alias("form_n"),
     )
     formed = stored(formed, "forms")
     rooted = formed.join(follow(formed.filter("form is not null")), "word", "left")

@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import product
 
 import pytest
 
@@ -96,6 +97,35 @@ def test_chains_are_followed_to_their_end(spark):
     assert [rows[w][1] for w in ("aaaaa", "aaabb", "abbbb", "zzzzzz")] == ["abbbb", "abbbb", "abbbb", "zzzzzz"]
 
 
+def test_only_second_halves_are_walked_and_only_edited_words(spark, monkeypatch):
+    rows = {}
+
+    def counted(df, label):
+        out = stored(df, label)
+        rows[label] = rows.get(label, 0) + out.count()
+        return out
+
+    stored = spelling.stored
+    monkeypatch.setattr(spelling, "stored", counted)
+    # Doubled letters: words share long beginnings and ends, and no two of them are one edit apart.
+    words = ["".join(x) for x in product(("aa", "bb"), repeat=5)] + ["aabbaaccddz"]
+    df = spark.createDataFrame([(i, " ".join(words)) for i in range(1000, 1004)], "doc_id long, text string")
+    assert found(spelling.group_variants(df)) == loops([(i, " ".join(words)) for i in range(1000, 1004)])
+    # Of a word's prefixes and suffixes, those that leave at most the other half; and one more where it is cut.
+    assert rows["prefixes"] == sum(len(w) + 2 for w in words)
+    assert rows["frontier"] == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_runs_of_letters_and_words_within_words(spark, seed):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("aàb") * rng.randint(1, 4) for _ in range(rng.randint(2, 4))) for _ in range(300)]
+    words += [w + "a" for w in words[:100]] + [w[1:] for w in words[100:200]]
+    docs = [(i, " ".join(rng.choices(words, k=80))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert found(spelling.group_variants(df)) == loops(docs)
+
+
 def test_defined_results(spark):
     long = "q" * 3000 + "w" + "q" * 3000
     rows = [
