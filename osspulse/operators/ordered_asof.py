@@ -52,15 +52,14 @@ def ordered_asof(
 
     # Each partition's last version, and what is open at the start of the next ones: a value per partition.
     part = F.shiftright("_at", 33).alias("_part")
-    last = F.max_by(F.struct(*keys, "_version"), "_at").alias("_open")
-    ends = rows.filter(~F.col("_late")).groupBy(part).agg(last).orderBy("_part").collect()
-    spark = events.sparkSession
-    known = spark.createDataFrame(ends, rows.filter(~F.col("_late")).groupBy(part).agg(last).schema)
-    nexts = rows.select(part).distinct()
-    before = known.select(F.col("_part").alias("_from"), "_open")
-    opens = nexts.join(F.broadcast(before), F.col("_from") < F.col("_part"), "left").groupBy("_part").agg(F.max_by("_open", "_from").alias("_open"))
-
     seen = F.when(~F.col("_late"), F.struct(*keys, "_version"))
+    last = rows.groupBy(part).agg(F.max_by(seen, F.when(~F.col("_late"), F.col("_at"))).alias("_open"))
+    starts, open_ = [], None
+    for end in last.orderBy("_part").collect():
+        starts.append((end["_part"], open_))
+        open_ = end["_open"] or open_
+    opens = events.sparkSession.createDataFrame(starts, last.schema)
+
     # Sorted by partition and place already; a window task holds the rows of one of them at a time.
     running = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     merged = rows.withColumn("_part", part).join(F.broadcast(opens), "_part")

@@ -71,6 +71,16 @@ def test_asof_without_versions_or_events(spark):
     assert ordered_asof(left.limit(0), right, ["k"], "at", ["name"], "a", "b", ["v"]).collect() == []
 
 
+def test_asof_over_partitions_without_versions(spark):
+    start = date(2024, 1, 1)
+    left = spark.createDataFrame([("a", start + timedelta(days=i), i) for i in range(4000)], "k string, at date, n int")
+    right = spark.createDataFrame([("a", start, date(2100, 1, 1), "v"), ("b", start, date(2100, 1, 1), "w")], "name string, a date, b date, v string")
+    found = ordered_asof(left, right, ["k"], "at", ["name"], "a", "b", ["v"])
+    # What is open at the start of a partition is not found by comparing partitions with each other.
+    assert "NestedLoopJoin" not in plan_of(found) and "CartesianProduct" not in plan_of(found)
+    assert found.filter("v = 'v'").count() == found.count() == 4000
+
+
 def test_one_name_with_many_versions_and_events(spark):
     versions = spark.range(20_000).select(
         F.lit("hot").alias("name"),
