@@ -106,8 +106,8 @@ def replayed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels of pull requests and issues as counts; those of the last issues come as changes and some colors go."""
     t = Tables(spark, sf_dir)
     labels, keys = mapping.issue_labels(t).select("issue_number", *upkeep.LABEL_KEYS), upkeep.LABEL_KEYS
-    half = labels.agg(F.avg("issue_number").alias("half"))
-    marked = labels.join(F.broadcast(half)).withColumn("late", F.col("issue_number") > F.col("half"))
+    half = labels.agg(F.avg("issue_number")).scalar()
+    marked = labels.withColumn("late", F.col("issue_number") > half)
     # The first load had another color for the labels of late issues.
     wrong = marked.filter("late").withColumn("label_color", F.lit("zzz")).select(*keys)
     right, kept = marked.filter("late").select(*keys), marked.filter("not late").select(*keys)
